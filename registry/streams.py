@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from registry.base import Registry
+from registry.base import Registry, sql_with
 from tallywright.session import work_dir
 from tallywright.sources import bindings
 from tallywright.streaming import monitors, reconcile, runner, sync
@@ -16,7 +16,8 @@ REGISTRY = Registry()
 
 def _stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     schema = bindings.table(spark, folder, name).schema
-    return runner.read_files(spark, f"{folder}/{name}.parquet", schema)
+    # A pattern, as the table may be one file and a plain path must be a folder.
+    return runner.read_files(spark, f"{folder}/{name}.parque[t]", schema)
 
 
 def _finish(stream: DataFrame, name: str) -> DataFrame:
@@ -25,3 +26,83 @@ def _finish(stream: DataFrame, name: str) -> DataFrame:
     base = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
     partitions = spark.sparkContext.defaultParallelism
     return runner.run_to_files(stream, f"{base}/table", f"{base}/checkpoint", partitions)
+
+
+def _events(spark: SparkSession, folder: str) -> DataFrame:
+    return _stream(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+@REGISTRY.query("SELECT event_id, user_id, event_type FROM events")
+def stream_dedupe(spark: SparkSession, folder: str) -> DataFrame:
+    """A feed that delivers every tenth event twice."""
+    copies = F.when(F.col("event_id") % 10 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    replayed = _events(spark, folder).withColumn("copy", F.explode(copies))
+    return _finish(monitors.dedupe(replayed, "event_id", "ts").select("event_id", "user_id", "event_type"), "dedupe")
+
+
+@REGISTRY.query(
+    """
+    WITH e AS (SELECT * FROM events WHERE event_type = 'error')
+    SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS hour, COUNT(*) AS failures FROM e
+    GROUP BY date_trunc('hour', ts)
+    HAVING COUNT(*) > 3 AND date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT MAX(ts) FROM e) - INTERVAL 1 DAY"""
+)
+def stream_auth_failures(spark: SparkSession, folder: str) -> DataFrame:
+    failed = _events(spark, folder).where(F.col("event_type") == "error")
+    return _finish(monitors.auth_failures(failed, "ts"), "auth")
+
+
+@REGISTRY.query(
+    """
+    WITH w AS (SELECT date_trunc('hour', ts) - INTERVAL 1 HOUR * i AS window_start, user_id, event_type
+               FROM events, range(24) r(i))
+    SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, CAST(user_id AS VARCHAR) AS auditor_id, COUNT(*) AS access_count,
+           CAST(COUNT(DISTINCT event_type) AS INTEGER) AS entity_types
+    FROM w GROUP BY w.window_start, user_id
+    HAVING COUNT(*) > 8 AND w.window_start + INTERVAL 1 DAY <= (SELECT MAX(ts) FROM events) - INTERVAL 1 DAY"""
+)
+def stream_access(spark: SparkSession, folder: str) -> DataFrame:
+    log = _events(spark, folder).withColumn("user_id", F.col("user_id").cast("string"))
+    return _finish(monitors.access_counts(log, "ts", "user_id", "event_type", limit=8), "access")
+
+
+@REGISTRY.query(
+    """
+    SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, user_id AS customer, COUNT(*) AS orders, 'LOW' AS severity FROM events
+    GROUP BY CAST(ts AS DATE), user_id
+    HAVING COUNT(*) > 5 AND CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT MAX(ts) FROM events) - INTERVAL 1 DAY"""
+)
+def stream_frequency(spark: SparkSession, folder: str) -> DataFrame:
+    return _finish(monitors.order_frequency(_events(spark, folder), "ts", "user_id", limit=5), "frequency")
+
+
+@REGISTRY.query(
+    """
+    SELECT user_id, event_id, event_type, value FROM (
+        SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS n FROM events)
+    WHERE n = 1 AND event_type <> 'error'"""
+)
+def stream_cdc(spark: SparkSession, folder: str) -> DataFrame:
+    """Latest state per user of a change feed in which an error event deletes the user."""
+    changes = _events(spark, folder).select("user_id", "event_id", "event_type", "value")
+    history = _finish(changes, "cdc")
+    return sync.current_state(history, "user_id", "event_id", op="event_type", delete="error")
+
+
+def _reconciled(spark: SparkSession, folder: str) -> DataFrame:
+    orders = _stream(spark, folder, "orders")
+    ops = bindings.order_columns(orders).withColumn("customer_name", F.lit(None).cast("string"))
+    fin = bindings.invoice_columns(_stream(spark, folder, "orders"))
+    return _finish(reconcile.reconcile(ops, fin), "reconcile")
+
+
+@REGISTRY.query(
+    sql_with("compared", body="""
+        , mark AS (SELECT least((SELECT MAX(order_date) FROM so), (SELECT MAX(invoice_date) FROM ar)) - 8 AS day)
+        SELECT order_id, CAST(order_date AS VARCHAR) AS order_date, CAST(invoice_date AS VARCHAR) AS invoice_date, CAST(sales AS DOUBLE) AS sales,
+               CAST(invoice_amount AS DOUBLE) AS invoice_amount, in_ops, in_fin, active, live, CAST(amount_diff AS DOUBLE) AS amount_diff, days_apart, status
+        FROM compared, mark
+        WHERE (in_ops AND in_fin) OR COALESCE(order_date, invoice_date) < mark.day""")
+)
+def stream_reconcile(spark: SparkSession, folder: str) -> DataFrame:
+    return _reconciled(spark, folder).drop("customer_name")

@@ -38,12 +38,10 @@ def line_profit() -> Column:
     return (price * kept - cost).cast("decimal(18,4)")
 
 
-def sales_orders(
-    spark: SparkSession, folder: str, customer: bool = True, profit: bool = True
-) -> DataFrame:
-    """One row per order, with customer columns and profit on request."""
+def order_columns(orders: DataFrame) -> DataFrame:
+    """Canonical order columns of the orders table itself, batch or stream."""
     key = F.col("o_orderkey")
-    orders = table(spark, folder, "orders").select(
+    return orders.select(
         "o_orderkey",
         "o_custkey",
         key.cast("string").alias("order_id"),
@@ -53,6 +51,13 @@ def sales_orders(
         _status(key, F.col("o_orderstatus")).alias("order_status"),
         F.col("o_orderpriority").alias("order_priority"),
     )
+
+
+def sales_orders(
+    spark: SparkSession, folder: str, customer: bool = True, profit: bool = True
+) -> DataFrame:
+    """One row per order, with customer columns and profit on request."""
+    orders = order_columns(table(spark, folder, "orders"))
     if customer:
         nation = table(spark, folder, "nation").select("n_nationkey", "n_name")
         people = (
@@ -101,8 +106,9 @@ def shipping_logs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def accounts_receivable(spark: SparkSession, folder: str, customer: bool = False) -> DataFrame:
-    """Invoices of most orders, some off in amount or date, and ghosts without an order."""
+def invoice_columns(orders: DataFrame) -> DataFrame:
+    """Invoices of the orders table, batch or stream: most orders have one, some are off
+    in amount or date, and ghosts belong to no order."""
     key = F.col("o_orderkey")
     ids = F.array_compact(
         F.array(F.when(key % 50 != 0, key), F.when(key % 101 == 0, key + F.lit(GHOST_OFFSET)))
@@ -112,7 +118,7 @@ def accounts_receivable(spark: SparkSession, folder: str, customer: bool = False
     state = (
         F.when(key % 113 == 0, "Cancelled").when(F.col("o_orderstatus") == "F", "Paid").otherwise("Outstanding")
     )
-    rows = table(spark, folder, "orders").withColumn("_id", F.explode(ids)).select(
+    return orders.withColumn("_id", F.explode(ids)).select(
         "o_custkey",
         F.col("_id").cast("string").alias("order_id"),
         F.col("o_custkey").cast("string").alias("customer_id"),
@@ -120,6 +126,11 @@ def accounts_receivable(spark: SparkSession, folder: str, customer: bool = False
         F.when(key % 37 == 0, total + F.lit(5)).otherwise(total).cast(MONEY).alias("invoice_amount"),
         state.alias("payment_status"),
     )
+
+
+def accounts_receivable(spark: SparkSession, folder: str, customer: bool = False) -> DataFrame:
+    """:func:`invoice_columns` with the derived amounts, with customer names on request."""
+    rows = invoice_columns(table(spark, folder, "orders"))
     if customer:
         people = table(spark, folder, "customer").select(
             F.col("c_custkey").alias("o_custkey"), F.col("c_name").alias("customer_name")
@@ -304,9 +315,10 @@ def sync_runs(spark: SparkSession, folder: str) -> DataFrame:
 def risk_flags(spark: SparkSession, folder: str) -> DataFrame:
     """Flags with the time they took to settle, from the error events."""
     events = table(spark, folder, "events").where(F.col("event_type") == "error")
+    raised = F.col("ts").cast("timestamp")
     hours = F.expr("make_dt_interval(0, cast(event_id % 72 as int), 0, 0)")
     return events.select(
         F.col("event_id").cast("string").alias("flag_id"),
-        F.col("ts").alias("flag_date"),
-        F.when(F.col("event_id") % 4 != 0, F.col("ts") + hours).alias("resolved_at"),
+        raised.alias("flag_date"),
+        F.when(F.col("event_id") % 4 != 0, raised + hours).alias("resolved_at"),
     )

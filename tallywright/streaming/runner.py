@@ -56,7 +56,9 @@ def run_to_files(
             .trigger(availableNow=True)
             .start(path)
         )
-    if not query.awaitTermination(timeout):
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"stream to {path} did not end in {timeout} s")
     return spark.read.schema(stream.schema).parquet(path)
