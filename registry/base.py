@@ -18,9 +18,9 @@ def present(df: DataFrame) -> DataFrame:
         if isinstance(field.dataType, DecimalType):
             value = value.cast("double")
         elif isinstance(field.dataType, DateType):
-            value = F.date_format(value, "yyyy-MM-dd")
+            value = value.cast("string")
         elif isinstance(field.dataType, (TimestampType, TimestampNTZType)):
-            value = F.date_format(value, "yyyy-MM-dd HH:mm:ss")
+            value = F.substring(value.cast("string"), 1, 19)
         shown.append(value.alias(field.name))
     return df.select(*shown)
 

@@ -6,14 +6,17 @@ from pyspark.sql import Column, functions as F
 
 # Cell texts that mean "no value" in an extract.
 MISSING_TEXTS = (
-    "", "#N/A", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
 
-def clean(c: Column) -> Column:
-    """Trimmed text, NULL for every spelling of a missing value."""
-    trimmed = F.trim(c)
-    return F.when(~trimmed.isin(*MISSING_TEXTS), trimmed)
+def clean(column: str) -> Column:
+    """Trimmed text of a column, NULL for every spelling of a missing value."""
+    name = "`" + column.replace("`", "``") + "`"
+    missing = ", ".join(f"'{text}'" for text in MISSING_TEXTS)
+    text = f"trim(cast({name} as string))"
+    return F.expr(f"CASE WHEN {text} NOT IN ({missing}) THEN {text} END")
 
 
 def mask_name(c: Column) -> Column:

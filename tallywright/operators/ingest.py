@@ -67,7 +67,7 @@ def harmonise(raw: DataFrame, aliases: dict[str, tuple[str, ...]] = ALIASES, seq
         raise ValueError("the extract has no order id column")
 
     def text_of(name: str | None) -> Column:
-        return clean(F.col(f"`{name}`").cast("string")) if name else F.lit(None).cast("string")
+        return clean(name) if name else F.lit(None).cast("string")
 
     picked = [text_of(source).alias(canon) for canon, source in sources.items()]
     key = text_of(sources.get("customer_id") or sources["order_id"]).alias("customer_key")
@@ -84,8 +84,10 @@ def with_reject_reason(lines: DataFrame) -> DataFrame:
     problems = [F.when(F.col("order_id").isNull(), F.lit("order_id missing"))]
     problems += [broken(c, money.to_money(F.col(c))) for c in MONEY_COLUMNS]
     problems += [broken(c, money.to_whole(F.col(c))) for c in WHOLE_COLUMNS]
-    joined = F.concat_ws("; ", *problems)
-    return lines.withColumn("reject_reason", F.when(joined != "", joined))
+    # A one-element explode keeps every row; a filter on its result stays above it, where
+    # a plain column would be copied into the filter and all conversions run again.
+    joined = F.explode(F.array(F.concat_ws("; ", *problems)))
+    return lines.withColumn("reject_reason", joined).withColumn("reject_reason", F.nullif("reject_reason", F.lit("")))
 
 
 def split_rejects(lines: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -6,15 +6,19 @@ from pyspark.sql import DataFrame, functions as F
 
 SALTS = 64
 HOT_SHARE = 0.002  # a key above this share of the rows is treated as hot
+SALT_FROM_BYTES = 1 << 30  # below this estimate a whole input is no burden for a task
 NULL_SLOTS = 256
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of the result."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def fits_broadcast(df: DataFrame) -> bool:
-    """True when Catalyst's size estimate lies below the session's broadcast limit."""
-    state = df.sparkSession._jsparkSession.sessionState()
-    limit = state.conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return limit > 0 and int(str(size)) <= limit
+    """True when the size estimate lies below the session's broadcast limit."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return limit > 0 and estimated_bytes(df) <= limit
 
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
@@ -34,29 +38,26 @@ def join_to_unique(
     how: str = "inner",
     salts: int = SALTS,
     share: float = HOT_SHARE,
-    force_salting: bool = False,
+    salt_from: int = SALT_FROM_BYTES,
 ) -> DataFrame:
     """Join ``many`` rows per key to ``one`` row per key (``inner`` or ``left``).
 
-    A ``one`` side below the broadcast limit needs no shuffle at all and is left
-    to Spark.  Otherwise the rows of hot keys are spread over ``salts`` slots and
-    only their partners are copied, so no task gets a whole hot key.
+    A ``one`` side below the broadcast limit needs no shuffle at all and a small
+    ``many`` side cannot overload a task; both are left to Spark.  Otherwise the rows
+    of hot keys are spread over ``salts`` slots and only their partners are copied, so
+    no task gets a whole hot key.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type: {how}")
-    if not force_salting and fits_broadcast(one):
+    if salt_from > 0 and (estimated_bytes(many) <= salt_from or fits_broadcast(one)):
         return many.join(one, key, how)
     # Bounded by 1 / share rows, hence safe to broadcast.
     hot = F.broadcast(hot_keys(many, key, share).withColumn("_hot", F.lit(True)))
     # The slot follows the row's content and its input partition, never the order
     # of arrival, so a rerun task puts every row into the same slot again.
     spread = F.pmod(F.xxhash64(*many.columns, F.spark_partition_id()), F.lit(salts)).cast("int")
-    salted_many = many.join(hot, key, "left").withColumn(
-        "_slot",
-        F.when(F.col("_hot"), spread)
-        .when(F.col(key).isNull(), spread)
-        .otherwise(F.lit(0)),
-    )
+    scattered = F.col("_hot") | F.col(key).isNull()
+    salted_many = many.join(hot, key, "left").withColumn("_slot", F.when(scattered, spread).otherwise(F.lit(0)))
     slots = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     salted_one = one.join(hot, key, "left").withColumn("_slot", F.explode(slots))
     joined = salted_many.drop("_hot").join(salted_one.drop("_hot"), [key, "_slot"], how)
@@ -64,15 +65,21 @@ def join_to_unique(
 
 
 def outer_join(left: DataFrame, right: DataFrame, key: str, how: str = "full_outer") -> DataFrame:
-    """Outer equi join that spreads rows without a key instead of hashing them together.
+    """Left or full outer join on a text key that spreads rows without a key.
 
-    NULL keys never match, but an outer join keeps them; without a second join
-    column they would all land in one task.
+    NULL keys never match, but an outer join keeps them, all in one task.  Here each
+    gets a stand-in that exists on its own side only, one of :data:`NULL_SLOTS`.
     """
+    if how not in ("left", "full_outer"):
+        raise ValueError(f"unsupported join type: {how}")
 
-    def with_slot(df: DataFrame) -> DataFrame:
-        others = [c for c in df.columns if c != key] or [key]
-        spread = F.pmod(F.xxhash64(*others, F.spark_partition_id()), F.lit(NULL_SLOTS)).cast("int")
-        return df.withColumn("_slot", F.when(F.col(key).isNull(), spread).otherwise(F.lit(0)))
+    def with_stand_in(df: DataFrame, column: str, side: str) -> DataFrame:
+        slot = F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.lit(NULL_SLOTS))
+        stand_in = F.concat(F.lit(f"\u0000{side}"), slot.cast("string"))
+        return df.withColumn("_match", F.coalesce(F.col(column), stand_in))
 
-    return with_slot(left).join(with_slot(right), [key, "_slot"], how).drop("_slot")
+    lefts = with_stand_in(left, key, "l")
+    named = right.withColumnRenamed(key, "_right_key")
+    rights = named.where(F.col("_right_key").isNotNull()) if how == "left" else named
+    joined = lefts.join(with_stand_in(rights, "_right_key", "r"), "_match", how)
+    return joined.withColumn(key, F.coalesce(key, "_right_key")).drop("_match", "_right_key")

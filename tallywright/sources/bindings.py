@@ -9,6 +9,15 @@ caller asks for.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import (
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+)
 
 from tallywright.functions.hashing import content_id
 from tallywright.operators import ingest, joins
@@ -17,8 +26,69 @@ from tallywright.schemas import MONEY
 GHOST_OFFSET = 100_000_000
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def _schema(**kinds: str) -> StructType:
+    names = {
+        "long": LongType(),
+        "int": IntegerType(),
+        "double": DoubleType(),
+        "string": StringType(),
+        "time": TimestampNTZType(),
+    }
+    return StructType([StructField(name, names[kind]) for name, kind in kinds.items()])
+
+
+# Stated, so that no read starts with a job of its own to look the schema up.
+SCHEMAS = {
+    "nation": _schema(n_nationkey="int", n_name="string", n_regionkey="int"),
+    "customer": _schema(
+        c_custkey="long", c_name="string", c_nationkey="int", c_acctbal="double", c_mktsegment="string"
+    ),
+    "part": _schema(
+        p_partkey="long", p_name="string", p_brand="string", p_type="string", p_size="int", p_retailprice="double"
+    ),
+    "orders": _schema(
+        o_orderkey="long",
+        o_custkey="long",
+        o_orderstatus="string",
+        o_totalprice="double",
+        o_orderdate="time",
+        o_orderpriority="string",
+    ),
+    "lineitem": _schema(
+        l_orderkey="long",
+        l_partkey="long",
+        l_suppkey="long",
+        l_linenumber="int",
+        l_quantity="double",
+        l_extendedprice="double",
+        l_discount="double",
+        l_tax="double",
+        l_returnflag="string",
+        l_linestatus="string",
+        l_shipdate="time",
+    ),
+    "events": _schema(
+        event_id="long", ts="time", user_id="long", event_type="string", value="double", props="string"
+    ),
+}
+
+# Bytes per core below which a table is dealt out to the cores.
+SPREAD_BYTES = 16 * 1024 * 1024
+
+
+def table(spark: SparkSession, folder: str, name: str, spread: str | None = None) -> DataFrame:
+    """One of the given tables.
+
+    ``spread`` names a column for scans with costly expressions behind them: a small
+    table may come as a single file that only one task can read, so its rows are dealt
+    out to all cores by that column.  Above the size limit there are splits enough and
+    nothing moves.
+    """
+    df = spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if spread and joins.estimated_bytes(df) <= cores * SPREAD_BYTES:
+        df = df.repartition(cores, spread)
+    return df
 
 
 def _status(key: Column, code: Column) -> Column:
@@ -59,23 +129,20 @@ def sales_orders(
     """One row per order, with customer columns and profit on request."""
     orders = order_columns(table(spark, folder, "orders"))
     if customer:
-        nation = table(spark, folder, "nation").select("n_nationkey", "n_name")
-        people = (
-            table(spark, folder, "customer")
-            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-            .select(
-                F.col("c_custkey").alias("o_custkey"),
-                F.col("c_name").alias("customer_name"),
-                F.col("c_mktsegment").alias("customer_segment"),
-                F.col("n_name").alias("customer_country"),
-            )
+        people = table(spark, folder, "customer").select(
+            F.col("c_custkey").alias("o_custkey"),
+            F.col("c_name").alias("customer_name"),
+            F.col("c_mktsegment").alias("customer_segment"),
+            F.col("c_nationkey").alias("n_nationkey"),
         )
+        nation = table(spark, folder, "nation").select("n_nationkey", F.col("n_name").alias("customer_country"))
         orders = joins.join_to_unique(orders, people, "o_custkey", "left")
+        orders = joins.join_to_unique(orders, nation, "n_nationkey", "left").drop("n_nationkey")
     else:
         orders = orders.withColumn("customer_name", F.lit(None).cast("string"))
     if profit:
         prices = table(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), "p_retailprice")
-        lines = table(spark, folder, "lineitem").select(
+        lines = table(spark, folder, "lineitem", spread="l_orderkey").select(
             "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount"
         )
         earned = (
@@ -91,7 +158,7 @@ def sales_orders(
 
 def shipping_logs(spark: SparkSession, folder: str) -> DataFrame:
     """One row per order line."""
-    return table(spark, folder, "lineitem").select(
+    return table(spark, folder, "lineitem", spread="l_orderkey").select(
         content_id(
             F.lit("SHIP"),
             "l_orderkey",
@@ -157,7 +224,7 @@ def accounts_receivable(spark: SparkSession, folder: str, customer: bool = False
 
 def raw_extract(spark: SparkSession, folder: str, product: bool = True, customer: bool = True) -> DataFrame:
     """Order lines as a raw text extract, with some unreadable cells and missing ids."""
-    lines = table(spark, folder, "lineitem")
+    lines = table(spark, folder, "lineitem", spread="l_orderkey")
     key = F.col("l_orderkey")
     orders = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority"
@@ -242,7 +309,7 @@ def erp_orders(spark: SparkSession, folder: str, system: str) -> DataFrame:
 
 def ledger_feed(spark: SparkSession, folder: str) -> DataFrame:
     """Transactions of a finance feed, several per order, some off and some unknown."""
-    lines = table(spark, folder, "lineitem")
+    lines = table(spark, folder, "lineitem", spread="l_orderkey")
     key = F.col("l_orderkey")
     orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_totalprice")
     total = F.col("o_totalprice").cast(MONEY)
