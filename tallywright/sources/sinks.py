@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallywright.operators import windows
-from tallywright.session import work_dir
+from tallywright.session import settings, work_dir
 
 
 def replace_table(df: DataFrame, name: str, partition_by: str | None = None) -> None:
-    writer = df.write.mode("overwrite").format("parquet").option("partitionOverwriteMode", "static")
+    writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.saveAsTable(name)
@@ -62,7 +62,8 @@ def upsert(df: DataFrame, name: str, key: str, seq: str | Column, partition_by:
         .where(F.col(partition_by).isNotNull())
         .collect()  # one value per emptied partition
     )
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name)
+    with settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
+        merged.write.mode("overwrite").insertInto(name)
     for row in left_over:
         value = str(row[0]).replace("'", "\\'")
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({partition_by} = '{value}')")

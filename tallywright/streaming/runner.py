@@ -2,32 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from tallywright.session import settings
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-@contextmanager
-def stream_conf(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
-    """Settings a stream takes over at its start: state on disk, number of state partitions."""
+def stream_settings(partitions: int | None = None) -> dict[str, str]:
+    """What a stream takes over at its start: state on disk, number of state partitions."""
     wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
     if partitions:
         wanted["spark.sql.shuffle.partitions"] = str(partitions)
-    before = {key: spark.conf.get(key, None) for key in wanted}
-    for key, value in wanted.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
+    return wanted
 
 
 def read_files(
@@ -48,7 +36,7 @@ def run_to_files(
     The file sink's log makes a restarted or replayed batch count once.
     """
     spark = stream.sparkSession
-    with stream_conf(spark, partitions):
+    with settings(spark, stream_settings(partitions)):
         query = (
             stream.writeStream.format("parquet")
             .option("checkpointLocation", checkpoint)
