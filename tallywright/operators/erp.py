@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -108,7 +109,7 @@ def convert_types(df: DataFrame, amounts_in_cents: bool = False) -> DataFrame:
         if column.endswith("_date"):
             typed[column] = dates.parse_date(value.cast("string"))
         elif column in ("sales", "unit_price", "invoice_amount", "outstanding_amount", "amount_local_currency"):
-            whole = value.try_cast("decimal(20,2)") / 100 if amounts_in_cents else value
+            whole = value.try_cast("decimal(20,2)") * F.lit(Decimal("0.01")) if amounts_in_cents else value
             typed[column] = money.to_money(whole)
         elif column == "order_quantity":
             typed[column] = money.to_whole(value)

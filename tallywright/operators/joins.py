@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 SALTS = 64
 HOT_SHARE = 0.002  # a key above this share of the rows is treated as hot
-SALT_FROM_BYTES = 1 << 30  # below this estimate a whole input is no burden for a task
+SALT_FROM_BYTES = 256 << 20  # below this estimate a whole input is no burden for a task
 NULL_SLOTS = 256
 
 
@@ -64,22 +64,28 @@ def join_to_unique(
     return joined.drop("_slot")
 
 
-def outer_join(left: DataFrame, right: DataFrame, key: str, how: str = "full_outer") -> DataFrame:
-    """Left or full outer join on a text key that spreads rows without a key.
+def _with_stand_in(df: DataFrame, column: str, side: str) -> DataFrame:
+    """Add ``_match``: the text key, or for a missing one a text found on this side only.
 
-    NULL keys never match, but an outer join keeps them, all in one task.  Here each
-    gets a stand-in that exists on its own side only, one of :data:`NULL_SLOTS`.
+    Rows without a key match nothing, yet outer and anti joins keep them, and hashing
+    NULL would put them all into one task.  :data:`NULL_SLOTS` stand-ins spread them.
     """
-    if how not in ("left", "full_outer"):
-        raise ValueError(f"unsupported join type: {how}")
+    slot = F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.lit(NULL_SLOTS))
+    stand_in = F.concat(F.lit(f"\u0000{side}"), slot.cast("string"))
+    return df.withColumn("_match", F.coalesce(F.col(column), stand_in))
 
-    def with_stand_in(df: DataFrame, column: str, side: str) -> DataFrame:
-        slot = F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.lit(NULL_SLOTS))
-        stand_in = F.concat(F.lit(f"\u0000{side}"), slot.cast("string"))
-        return df.withColumn("_match", F.coalesce(F.col(column), stand_in))
 
-    lefts = with_stand_in(left, key, "l")
+def outer_join(left: DataFrame, right: DataFrame, key: str, how: str = "full_outer") -> DataFrame:
+    """Left or full outer join on a text key, rows without a key spread over the tasks."""
+    if how not in ("left", "full_outer"):
+        raise ValueError(f"unsupported join type: {how}")
     named = right.withColumnRenamed(key, "_right_key")
     rights = named.where(F.col("_right_key").isNotNull()) if how == "left" else named
-    joined = lefts.join(with_stand_in(rights, "_right_key", "r"), "_match", how)
+    joined = _with_stand_in(left, key, "l").join(_with_stand_in(rights, "_right_key", "r"), "_match", how)
     return joined.withColumn(key, F.coalesce(key, "_right_key")).drop("_match", "_right_key")
+
+
+def anti_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left rows whose text key the right side lacks, rows without a key among them."""
+    there = right.where(F.col(key).isNotNull()).select(F.col(key).alias("_match"))
+    return _with_stand_in(left, key, "l").join(there, "_match", "left_anti").select(*left.columns)

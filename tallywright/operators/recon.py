@@ -56,15 +56,13 @@ def missing_ar(
 ) -> DataFrame:
     """Active orders without an invoice (``live_only``: without one that still counts)."""
     fin = filters.live_invoices(invoices) if live_only else invoices
-    return _ops_side(orders, preset).join(fin.select("order_id"), "order_id", "left_anti")
+    return joins.anti_join(_ops_side(orders, preset), fin, "order_id")
 
 
 def ghost_invoices(orders: DataFrame, invoices: DataFrame) -> DataFrame:
     """Invoices whose order exists in no status at all."""
     fin = invoices.select("order_id", "invoice_amount", "customer_name")
-    return fin.join(orders.select("order_id"), "order_id", "left_anti").withColumn(
-        "orphan_type", F.lit("ORPHAN_FIN_ONLY")
-    )
+    return joins.anti_join(fin, orders, "order_id").withColumn("orphan_type", F.lit("ORPHAN_FIN_ONLY"))
 
 
 def amount_mismatch(
@@ -382,5 +380,4 @@ def handling(compared: DataFrame) -> DataFrame:
 
 def draft_ar(orders: DataFrame, invoices: DataFrame, preset: str = "strict") -> DataFrame:
     """Receivables proposed for active orders that have no invoice of any kind."""
-    unbooked = filters.active_orders(orders, preset).join(invoices.select("order_id"), "order_id", "left_anti")
-    return ingest.receivables_of(unbooked)
+    return ingest.receivables_of(joins.anti_join(filters.active_orders(orders, preset), invoices, "order_id"))

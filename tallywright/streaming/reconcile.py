@@ -7,7 +7,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, functions as F
 
 from tallywright.functions import money
-from tallywright.operators import recon
+from tallywright.operators import joins, recon
 
 LATENESS = "1 day"
 MATCH_WINDOW = "7 days"
@@ -63,4 +63,4 @@ def reconcile(
 def late_rows(source: DataFrame, seen: DataFrame, key: str = "order_id") -> DataFrame:
     """Batch catch-up: source rows the stream's result does not hold, because they came
     after the watermark or are still waiting for their partner."""
-    return source.join(seen.select(key).distinct(), key, "left_anti")
+    return joins.anti_join(source, seen, key)

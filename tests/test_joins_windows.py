@@ -32,10 +32,15 @@ def test_salting_spreads_the_hot_key(spark):
     assert {r.k for r in joins.hot_keys(many, "k", 0.05).collect()} >= {"hot"}
 
 
-def test_small_inputs_are_left_to_spark(spark):
+def test_only_inputs_known_to_be_small_are_left_to_spark(spark, tmp_path):
     one = spark.createDataFrame([("hot", 1)], "k string, w int")
-    plan = joins.join_to_unique(skewed(spark), one, "k")._jdf.queryExecution().optimizedPlan().toString()
-    assert "_slot" not in plan
+    skewed(spark).write.parquet(str(tmp_path / "many"))
+
+    def plan(many):
+        return joins.join_to_unique(many, one, "k")._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "_slot" not in plan(spark.read.parquet(str(tmp_path / "many")))
+    assert "_slot" in plan(skewed(spark))  # no estimate
 
 
 @pytest.mark.parametrize("how", ["left", "full_outer"])
@@ -46,6 +51,12 @@ def test_outer_join_keeps_rows_without_key(spark, rows, how):
     assert found == rows(left.join(right, "k", how), "k", "l", "r")
 
 
+def test_anti_join_keeps_rows_without_key(spark, rows):
+    left = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, l int")
+    right = spark.createDataFrame([("a",), (None,)], "k string")
+    assert rows(joins.anti_join(left, right, "k")) == rows(left.join(right, "k", "left_anti"))
+
+
 def test_keep_last_and_first(spark, rows):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 2, None), ("b", 5, "z")], "k string, seq int, t string")
     assert rows(windows.keep_last(df, "k", "seq")) == [("a", 2, None), ("b", 5, "z")]
