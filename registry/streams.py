@@ -73,7 +73,10 @@ def stream_access(spark: SparkSession, folder: str) -> DataFrame:
     HAVING COUNT(*) > 5 AND CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT MAX(ts) FROM events) - INTERVAL 1 DAY"""
 )
 def stream_frequency(spark: SparkSession, folder: str) -> DataFrame:
-    return _finish(monitors.order_frequency(_events(spark, folder), "ts", "user_id", limit=5), "frequency")
+    # Day windows follow UTC: read the zone-free time as UTC whatever the session's zone.
+    as_utc = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts")).cast("timestamp")
+    orders = _stream(spark, folder, "events").withColumn("ts", as_utc)
+    return _finish(monitors.order_frequency(orders, "ts", "user_id", limit=5), "frequency")
 
 
 @REGISTRY.query(

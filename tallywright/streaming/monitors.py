@@ -53,14 +53,15 @@ def access_counts(
 def order_frequency(
     orders: DataFrame, ts: str, customer: str, limit: int = DAILY_ORDER_LIMIT, lateness: str = LATENESS
 ) -> DataFrame:
-    """Customers above ``limit`` orders on one day, with their level."""
+    """Customers above ``limit`` orders on one UTC day, with their level."""
+    utc_day = F.date_from_unix_date(F.floor(F.unix_seconds("w.start") / 86_400).cast("int"))
     return (
         orders.withWatermark(ts, lateness)
         .groupBy(F.window(ts, "1 day").alias("w"), F.col(customer).alias("customer"))
         .agg(F.count("*").alias("orders"))
         .where(F.col("orders") > limit)
         .select(
-            F.to_date("w.start").alias("day"),
+            utc_day.alias("day"),
             "customer",
             "orders",
             bands.severity(F.col("orders"), bands.FREQUENCY_BANDS).alias("severity"),

@@ -12,7 +12,11 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 def stream_settings(partitions: int | None = None) -> dict[str, str]:
     """What a stream takes over at its start: state on disk, number of state partitions."""
-    wanted = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
+    wanted = {
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        # A commit then ships the changes of the batch, not a snapshot of the state.
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    }
     if partitions:
         wanted["spark.sql.shuffle.partitions"] = str(partitions)
     return wanted
