@@ -36,10 +36,17 @@ def live_invoices(df: DataFrame) -> DataFrame:
 def date_range(
     df: DataFrame, start: str | dt.date | None, end: str | dt.date | None, column: str = "order_date"
 ) -> DataFrame:
-    """Inclusive range; both ends or no filter at all."""
+    """Inclusive range; both ends or no filter at all.
+
+    Stored orders are partitioned by year, so a range on their date also names the
+    years and skips the other folders.
+    """
     if start is None or end is None:
         return df
-    return df.where(dates.between_dates(F.col(column), start, end))
+    inside = dates.between_dates(F.col(column), start, end)
+    if column == "order_date" and "order_year" in df.columns:
+        inside = inside & F.col("order_year").between(int(str(start)[:4]), int(str(end)[:4]))
+    return df.where(inside)
 
 
 def period(df: DataFrame, year: int, month: int | None = None, column: str = "order_date") -> DataFrame:

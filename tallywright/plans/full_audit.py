@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallywright.functions import dates
-from tallywright.operators import audit_log, quality, recon, reports, rules
+from tallywright.operators import audit_log, filters, quality, recon, reports, rules
 from tallywright.plans.build_stores import create_audit_tables
 from tallywright.session import work_dir
 from tallywright.sources import catalog, sinks
@@ -63,9 +63,10 @@ def run(
     shipments = catalog.table(spark, "operations", "shipping_logs")
     label = "all"
     if year is not None:
-        inside = dates.between_dates(F.col("order_date"), *dates.period_bounds(year, month))
+        first, last = dates.period_bounds(year, month)
+        inside = dates.between_dates(F.col("order_date"), first, last)
         outside = orders.where(~F.coalesce(inside, F.lit(False))).select("order_id")
-        orders = orders.where(inside)
+        orders = filters.date_range(orders, first, last)
         invoices = invoices.join(outside, "order_id", "left_anti")
         label = f"{year}" if month is None else f"{year}-{month:02d}"
     create_audit_tables(spark)

@@ -33,20 +33,25 @@ def build_session(app_name: str = "tallywright", master: str | None = None, **co
     return builder.getOrCreate()
 
 
+_own_folders: dict[str, str] = {}
+
+
 def work_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 
     A cluster names it in ``spark.checkpoint.dir``.  Only a local master, where
     the driver's disk is the executors' disk, may fall back to a new folder.
     """
+    context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        named = tempfile.mkdtemp(prefix="tallywright-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(named)
+        named = _own_folders.get(context.applicationId)
+        if named is None:
+            named = _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="tallywright-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(named)
     return named.rstrip("/")
 
 

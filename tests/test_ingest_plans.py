@@ -10,7 +10,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tallywright.operators import erp, governance, ingest, quality
+from tallywright.operators import erp, filters, governance, ingest, quality
 from tallywright.plans import build_stores, export_check, full_audit, preprocess, sample_match, score_rules
 from tallywright.sources import catalog, readers, sinks
 
@@ -114,6 +114,9 @@ def test_stores_audit_and_rerun(stores, raw_file):
     flags = spark.table("audit.risk_flags")
     assert flags.count() == flags.select("risk_type", "entity_id").distinct().count()
 
+    stored = spark.table("operations.sales_orders")
+    plan = filters.period(stored, 2018, 1)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(order_year" in plan
     january = full_audit.run(spark, stamp, 2018, 1)
     assert {r.order_id for r in january.compared.collect()} == {"1"}
 
