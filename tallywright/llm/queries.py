@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywright.llm import token_counts, url_filter
+from tallywright.llm import substrings, token_counts, url_filter
 from tallywright.llm.common import documents
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -19,5 +19,11 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, folder), public_tokenizers.path(BYTE_BPE), limit=512)
 
 
-QUERIES = {f.__name__: f for f in (op2_url_filter, op4_token_counts)}
-SQL = {"op2_url_filter": url_filter.SQL}
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "text")
+    found = substrings.remove_repeats(docs, length=13)
+    return found.select("doc_id", "repeats.n_words", "repeats.n_removed", F.sha2("repeats.kept", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op2_url_filter, op4_token_counts, op5_substring_dedup)}
+SQL = {"op2_url_filter": url_filter.SQL, "op5_substring_dedup": substrings.SQL}
