@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywright.llm import substrings, token_counts, url_filter
+from tallywright.llm import near_dup, substrings, token_counts, url_filter
 from tallywright.llm.common import documents
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -25,5 +25,9 @@ def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "repeats.n_words", "repeats.n_removed", F.sha2("repeats.kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_url_filter, op4_token_counts, op5_substring_dedup)}
-SQL = {"op2_url_filter": url_filter.SQL, "op5_substring_dedup": substrings.SQL}
+def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dup.near_duplicates(documents(spark, folder), shingle=4, percent=80)
+
+
+QUERIES = {f.__name__: f for f in (op2_url_filter, op4_token_counts, op5_substring_dedup, op10_near_duplicates)}
+SQL = {"op2_url_filter": url_filter.SQL, "op5_substring_dedup": substrings.SQL, "op10_near_duplicates": near_dup.SQL}
