@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywright.llm import near_dup, substrings, token_counts, url_filter
+from tallywright.llm import near_dup, packing, substrings, token_counts, url_filter
 from tallywright.llm.common import documents
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -29,5 +29,15 @@ def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.near_duplicates(documents(spark, folder), shingle=4, percent=80)
 
 
-QUERIES = {f.__name__: f for f in (op2_url_filter, op4_token_counts, op5_substring_dedup, op10_near_duplicates)}
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.pack(documents(spark, folder), public_tokenizers.path(BYTE_BPE), length=2048, end_id=1)
+    return packed_rows(pieces)
+
+
+def packed_rows(pieces: DataFrame) -> DataFrame:
+    """Pieces with a checksum in place of their ids."""
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+QUERIES = {f.__name__: f for f in (op2_url_filter, op4_token_counts, op5_substring_dedup, op8_packing, op10_near_duplicates)}
 SQL = {"op2_url_filter": url_filter.SQL, "op5_substring_dedup": substrings.SQL, "op10_near_duplicates": near_dup.SQL}

@@ -52,6 +52,13 @@ class Vocabulary:
         self.ids: dict[str, int] = model["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
 
+    @classmethod
+    def of(cls, parts: dict) -> Vocabulary:
+        """From ``vars`` of another one: broadcasts carry plain values."""
+        made = cls.__new__(cls)
+        made.__dict__.update(parts)
+        return made
+
     def merge(self, letters: str) -> list[str]:
         """The pieces that a pre-token, given in byte letters, ends as."""
         pieces, ranks = list(letters), self.ranks
@@ -150,10 +157,11 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 512, id_column: str =
     """
     spark = docs.sparkSession
     vocabulary = Vocabulary(path)
-    shared = spark.sparkContext.broadcast((vocabulary, whole_tokens(vocabulary)))
+    shared = spark.sparkContext.broadcast((vars(vocabulary), whole_tokens(vocabulary)))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = counter(*shared.value)
+        parts, proven = shared.value
+        count = counter(Vocabulary.of(parts), proven)
         for batch in batches:
             tokens = pa.array((count(t) if t else 0 for t in batch.column(2).to_pylist()), pa.int64())
             yield pa.record_batch([batch.column(0), batch.column(1), tokens], names=[id_column, "n_bytes", "n_tokens"])
