@@ -5,10 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywright.llm import near_dup, packing, substrings, token_counts, url_filter
+from tallywright.llm import near_dup, packing, pieces, substrings, token_counts, url_filter
 from tallywright.llm.common import documents
 
 BYTE_BPE = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
@@ -39,5 +40,28 @@ def packed_rows(pieces: DataFrame) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op2_url_filter, op4_token_counts, op5_substring_dedup, op8_packing, op10_near_duplicates)}
+def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every document, and whether decoding them gives the document back."""
+    model = public_tokenizers.path(PIECES)
+    both = pieces.decode(pieces.encode(documents(spark, folder), model), model)
+    return both.select(
+        "doc_id",
+        F.octet_length("text").cast("long").alias("n_bytes"),
+        (F.octet_length("ids") / 4).cast("long").alias("n_ids"),
+        F.crc32("ids").alias("ids_crc32"),
+        (F.col("text") == F.col("decoded")).alias("round_trip"),
+    )
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_url_filter,
+        op4_token_counts,
+        op5_substring_dedup,
+        op8_packing,
+        op9_sentencepiece,
+        op10_near_duplicates,
+    )
+}
 SQL = {"op2_url_filter": url_filter.SQL, "op5_substring_dedup": substrings.SQL, "op10_near_duplicates": near_dup.SQL}
