@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywright.llm import near_dup, packing, pieces, substrings, token_counts, url_filter
+from tallywright.llm import near_dup, packing, pieces, quality, substrings, token_counts, url_filter
 from tallywright.llm.common import documents
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -30,6 +30,12 @@ def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_dup.near_duplicates(documents(spark, folder), shingle=4, percent=80)
 
 
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    found = quality.judge_quality(documents(spark, folder), carry=["doc_id", "lang", "source"])
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return found.select("doc_id", *[f"quality.{name}" for name in names])
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pack(documents(spark, folder), public_tokenizers.path(BYTE_BPE), length=2048, end_id=1)
     return packed_rows(pieces)
@@ -59,6 +65,7 @@ QUERIES = {
         op2_url_filter,
         op4_token_counts,
         op5_substring_dedup,
+        op6_quality_rules,
         op8_packing,
         op9_sentencepiece,
         op10_near_duplicates,
