@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywright.llm import near_dup, packing, pieces, quality, substrings, token_counts, url_filter
+from tallywright.llm import near_dup, packing, pieces, quality, substrings, token_counts, toxicity, url_filter
 from tallywright.llm.common import documents
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -36,6 +36,11 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", *[f"quality.{name}" for name in names])
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    scored = toxicity.score(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pack(documents(spark, folder), public_tokenizers.path(BYTE_BPE), length=2048, end_id=1)
     return packed_rows(pieces)
@@ -66,6 +71,7 @@ QUERIES = {
         op4_token_counts,
         op5_substring_dedup,
         op6_quality_rules,
+        op7_toxicity,
         op8_packing,
         op9_sentencepiece,
         op10_near_duplicates,
