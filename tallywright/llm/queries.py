@@ -5,17 +5,24 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywright.llm import near_dup, packing, pieces, quality, substrings, token_counts, toxicity, url_filter
+from tallywright.llm import near_dup, packing, pieces, pii, quality, substrings, token_counts, toxicity, url_filter
 from tallywright.llm.common import documents
 
 BYTE_BPE = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
+#: Stands for the secret that a user of pii.pseudonymise keeps.
+KEY = "a secret of the caller"
 
 
 def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_urls(spark.read.parquet(f"{folder}/pages.parquet"), url_filter.rule_table(spark))
 
 
+def op3_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.pseudonymise(documents(spark, folder).select("doc_id", "text"), KEY)
+    return found.select("doc_id", "text", F.size("private").alias("n_found"), "private")
+
+
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, folder), public_tokenizers.path(BYTE_BPE), limit=512)
 
@@ -68,6 +75,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op2_url_filter,
+        op3_pseudonyms,
         op4_token_counts,
         op5_substring_dedup,
         op6_quality_rules,
