@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywright.llm import near_dup, packing, pieces, pii, quality, substrings, token_counts, toxicity, url_filter
+from tallywright.llm import ann, near_dup, packing, pieces, pii, quality, substrings, token_counts, toxicity, url_filter
 from tallywright.llm.common import documents
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -14,6 +14,10 @@ PIECES = "piece_bpe_32k.model"
 KEY = "a secret of the caller"
 
 
+def op1_multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.search(spark.read.parquet(f"{folder}/embeddings.parquet"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op2_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_urls(spark.read.parquet(f"{folder}/pages.parquet"), url_filter.rule_table(spark))
 
@@ -74,6 +78,7 @@ def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_multi_index,
         op2_url_filter,
         op3_pseudonyms,
         op4_token_counts,
