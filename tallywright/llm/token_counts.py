@@ -21,6 +21,13 @@ from tallywright.llm.common import Memo
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
+_NEVER = 1 << 60
+
+
+class _Loose(Exception):
+    """A space-separated stretch that is empty or has other white space at an end."""
+
+
 def byte_letters() -> list[str]:
     """The letter that stands for each byte: itself if printable, else the next free one from 256."""
     shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -61,21 +68,19 @@ class Vocabulary:
 
     def merge(self, letters: str) -> list[str]:
         """The pieces that a pre-token, given in byte letters, ends as."""
-        pieces, ranks = list(letters), self.ranks
-        while len(pieces) > 1:
-            best = min(range(len(pieces) - 1), key=lambda k: ranks.get((pieces[k], pieces[k + 1]), 1 << 60))
-            pair = (pieces[best], pieces[best + 1])
-            if pair not in ranks:
+        pieces, rank = list(letters), self.ranks.get
+        ranks = [rank(pair, _NEVER) for pair in zip(pieces, pieces[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == _NEVER:
                 break
-            done, k = [], 0
-            while k < len(pieces):
-                if k + 1 < len(pieces) and (pieces[k], pieces[k + 1]) == pair:
-                    done.append(pair[0] + pair[1])
-                    k += 2
-                else:
-                    done.append(pieces[k])
-                    k += 1
-            pieces = done
+            k = ranks.index(best)
+            pieces[k : k + 2] = [pieces[k] + pieces[k + 1]]
+            del ranks[k]
+            if k:
+                ranks[k - 1] = rank((pieces[k - 1], pieces[k]), _NEVER)
+            if k < len(ranks):
+                ranks[k] = rank((pieces[k], pieces[k + 1]), _NEVER)
         return pieces
 
 
@@ -111,11 +116,29 @@ def counter(vocabulary: Vocabulary, proven: list[str]) -> Callable[[str], int]:
     size, find = sizes.__getitem__, regex.compile(PATTERN).findall
     special = regex.compile("|".join(map(regex.escape, sorted(vocabulary.special, key=len, reverse=True)))) if vocabulary.special else None
 
+    def spaced(stretch: str) -> int:
+        if not stretch or stretch[0].isspace() or stretch[-1].isspace():
+            raise _Loose
+        return sum(map(size, find(" " + stretch)))
+
+    stretches = Memo(spaced).__getitem__
+
+    def part(text: str) -> int:
+        # A pre-token begins at every single space between two other characters, so the stretches
+        # in between count by themselves, and each distinct one needs the pattern once.
+        first, *rest = text.split(" ")
+        try:
+            if first and rest and first[-1].isspace():
+                raise _Loose
+            return sum(map(size, find(first))) + sum(map(stretches, rest))
+        except _Loose:
+            return sum(map(size, find(text)))
+
     def count(text: str) -> int:
         if special is None or not any(s in text for s in vocabulary.special):
-            return sum(map(size, find(text)))
+            return part(text)
         between = special.split(text)
-        return len(between) - 1 + sum(sum(map(size, find(t))) for t in between)
+        return len(between) - 1 + sum(map(part, between))
 
     return count
 
