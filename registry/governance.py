@@ -115,7 +115,7 @@ def masked_ar(spark: SparkSession, folder: str) -> DataFrame:
 
 @REGISTRY.query(
     sql_with("access", body="""
-        SELECT log_id, strftime(audit_date, '%Y-%m-%d %H:%M:%S') AS audit_date, auditor_id, action, entity_type, entity_id, notes
+        SELECT log_id, CAST(audit_date AS VARCHAR) AS audit_date, auditor_id, action, entity_type, entity_id, notes
         FROM access WHERE action LIKE '%PERMISSION%' OR action LIKE '%ROLE%' ORDER BY access.audit_date DESC, log_id""")
 )
 def permission_changes(spark: SparkSession, folder: str) -> DataFrame:

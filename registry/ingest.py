@@ -84,14 +84,28 @@ def ingest_products(spark: SparkSession, folder: str) -> DataFrame:
     return products.select("product_id", "product_name", "product_category", "product_price")
 
 
+def _numbered(product: bool) -> str:
+    """The good lines with their stored ids: the SHA-256 of all columns by name and of the number
+    among identical lines."""
+    own = {"product_name", "category_name"} if product else set()
+    lacking = {"category_name", "customer_city", "customer_country", "customer_name", "customer_segment", "days_for_shipment_real",
+               "days_for_shipment_scheduled", "delivery_status", "market", "product_name", "region"} - own
+    columns = sorted([*ingest.ALIASES, "customer_key"])
+    sources = {c: "''" for c in lacking} | {"customer_key": "customer_id"} | ({} if product else {"profit": "'0.00'"})
+    told = ", ".join(f"coalesce(CAST({sources.get(c, c)} AS VARCHAR), '')" for c in columns)
+    content = f"concat_ws('|', {told})"
+    return f"""SELECT *, sha256({content} || '|' || row_number() OVER (PARTITION BY {content})) AS line_id FROM good"""
+
+
 @REGISTRY.query(
-    sql_with("good", body="""
-        SELECT order_id, shipping_mode, CAST(shipping_date AS VARCHAR) AS shipping_date, late_delivery_risk,
-               CAST(NULL AS INTEGER) AS days_for_shipment_real, CAST(NULL AS VARCHAR) AS market FROM good""")
+    sql_with("good", body=f"""
+        SELECT sha256('SHIP|' || order_id || '|' || line_id) AS log_id, order_id, shipping_mode, CAST(shipping_date AS VARCHAR) AS shipping_date, late_delivery_risk,
+               CAST(NULL AS INTEGER) AS days_for_shipment_real, CAST(NULL AS VARCHAR) AS market
+        FROM ({_numbered(False)})""")
 )
 def ingest_shipping(spark: SparkSession, folder: str) -> DataFrame:
-    logs = ingest.build_shipping_logs(_good(spark, folder, product=False, customer=False))
-    return logs.select("order_id", "shipping_mode", "shipping_date", "late_delivery_risk", "days_for_shipment_real", "market")
+    logs = ingest.build_shipping_logs(ingest.numbered_lines(_good(spark, folder, product=False, customer=False)))
+    return logs.select("log_id", "order_id", "shipping_mode", "shipping_date", "late_delivery_risk", "days_for_shipment_real", "market")
 
 
 @REGISTRY.query(
@@ -110,17 +124,17 @@ def ingest_ar(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @REGISTRY.query(
-    sql_with("good", body="""
-        SELECT order_id, CAST(order_date AS VARCHAR) AS transaction_date, '4000' AS account_code, 'Sales Revenue' AS account_name,
+    sql_with("good", body=f"""
+        SELECT sha256(concat_ws('|', 'GL', order_id, line_id, '4000')) AS entry_id, order_id, CAST(order_date AS VARCHAR) AS transaction_date, '4000' AS account_code, 'Sales Revenue' AS account_name,
                CAST(0 AS DOUBLE) AS debit_amount, CAST(sales AS DOUBLE) AS credit_amount, 'Sales for Order ' || order_id AS description,
-               order_id AS reference_number FROM good
+               order_id AS reference_number FROM ({_numbered(True)})
         UNION ALL
-        SELECT order_id, CAST(order_date AS VARCHAR), '5000', 'Cost of Goods Sold', CAST(sales - profit AS DOUBLE), CAST(0 AS DOUBLE),
-               'COGS for Order ' || order_id, order_id FROM good WHERE sales - profit > 0""")
+        SELECT sha256(concat_ws('|', 'GL', order_id, line_id, '5000')), order_id, CAST(order_date AS VARCHAR), '5000', 'Cost of Goods Sold', CAST(sales - profit AS DOUBLE), CAST(0 AS DOUBLE),
+               'COGS for Order ' || order_id, order_id FROM ({_numbered(True)}) WHERE sales - profit > 0""")
 )
 def ingest_ledger(spark: SparkSession, folder: str) -> DataFrame:
-    ledger = ingest.build_general_ledger(_good(spark, folder, customer=False))
-    return ledger.drop("entry_id", "created_at")
+    ledger = ingest.build_general_ledger(ingest.numbered_lines(_good(spark, folder, customer=False)))
+    return ledger.drop("created_at")
 
 
 _ERP = """

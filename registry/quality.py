@@ -158,7 +158,7 @@ def table_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 @REGISTRY.query(
     sql_with("runs", body="""
-        SELECT system, table_name, strftime(run_ts, '%Y-%m-%d %H:%M:%S') AS run_ts, record_count, prev AS previous_count,
+        SELECT system, table_name, CAST(run_ts AS VARCHAR) AS run_ts, record_count, prev AS previous_count,
                round_even(abs(record_count - prev) / CAST(prev AS DOUBLE), 4) AS count_change, peak / 20 > 5 AS latency_alert,
                peak / 10 > 10 AS response_alert, COALESCE(abs(record_count - prev) / CAST(prev AS DOUBLE) > 0.2, FALSE) AS count_alert
         FROM (SELECT *, lag(record_count) OVER (PARTITION BY system, table_name ORDER BY run_ts) AS prev FROM runs)""")

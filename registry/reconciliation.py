@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from registry.base import BASIC, STRICT, Registry, sql_with
+from tallywright.functions import dates
 from tallywright.operators import recon
+from tallywright.plans import full_audit
 from tallywright.sources import bindings
 
 REGISTRY = Registry()
@@ -134,6 +136,20 @@ def recon_full(spark: SparkSession, folder: str) -> DataFrame:
     return _compared(spark, folder, customer=True)
 
 
+@REGISTRY.query(
+    sql_with("compared", body="""
+        SELECT order_id, CAST(order_date AS VARCHAR) AS order_date, CAST(invoice_date AS VARCHAR) AS invoice_date, in_ops, in_fin,
+               CAST(sales AS DOUBLE) AS sales, CAST(invoice_amount AS DOUBLE) AS invoice_amount, status
+        FROM compared
+        WHERE CASE WHEN in_ops THEN order_date ELSE invoice_date END BETWEEN DATE '1998-03-01' AND DATE '1998-03-31'""")
+)
+def recon_period(spark: SparkSession, folder: str) -> DataFrame:
+    """One month, cut on both sides: ghosts by their own date."""
+    orders, invoices = _orders(spark, folder, customer=False), bindings.accounts_receivable(spark, folder)
+    compared = recon.full(*full_audit.period_sides(orders, invoices, *dates.period_bounds(1998, 3)))
+    return compared.select("order_id", "order_date", "invoice_date", "in_ops", "in_fin", "sales", "invoice_amount", "status")
+
+
 @REGISTRY.query(
     sql_with("so", "ar", body=f"""
         SELECT s.order_id, CAST(s.order_date AS VARCHAR) AS order_date, CAST(a.invoice_date AS VARCHAR) AS invoice_date,

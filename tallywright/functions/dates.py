@@ -15,18 +15,23 @@ _TO_ISO = (
 )
 
 
+# A four-digit year, month and day, alone or before a time of day.
+_ISO_DATE = r"^(\d{4}-\d{1,2}-\d{1,2})(?:[T ]+\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?: ?[AaPp][Mm])?(?:Z|[+-]\d{2}:?\d{2})?)?$"
+
+
 def parse_date(c: Column) -> Column:
     """Text to date, NULL when it is none.
 
     Reads ``2018-01-31``, ``2018/1/31``, ``20180131`` and ``1/31/2018``, each with or
     without a time of day behind it.  The text is brought to ISO order and cast: unlike
     a list of date formats that costs no exception per miss, and the input expression
-    occurs only once.
+    occurs only once.  Anything else before, between or behind is no date: neither a
+    spreadsheet's day number nor a date with words after it.
     """
     text = F.trim(c)
     for pattern, iso_order in _TO_ISO:
         text = F.regexp_replace(text, pattern, iso_order)
-    return text.try_cast("date")
+    return F.regexp_extract(text, _ISO_DATE, 1).try_cast("date")
 
 
 def days_between(later: Column, earlier: Column) -> Column:

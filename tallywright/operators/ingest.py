@@ -200,8 +200,22 @@ def build_products(lines: DataFrame, seq: str = "seq", loaded_at: str | None = N
     )
 
 
-def build_shipping_logs(lines: DataFrame, seq: str = "seq", loaded_at: str | None = None) -> DataFrame:
-    """One row per line.  The ship date is the source's own or NULL, never the order date."""
+def numbered_lines(lines: DataFrame, seq: str = "seq") -> DataFrame:
+    """All lines with a ``line_id`` in place of ``seq``, for keys that are stored.
+
+    The id is made of the line's content and its number among identical lines, so it depends
+    neither on files, splits nor the order of reading.  Identical lines are counted (with partial
+    counts before the shuffle) and then repeated.
+    """
+    told = sorted(c for c in lines.columns if c != seq)
+    counted = lines.groupBy(*told).agg(F.count("*").alias("_times"))
+    each = counted.withColumn("_nth", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    return each.select(*told, content_id(*told, "_nth").alias("line_id"))
+
+
+def build_shipping_logs(lines: DataFrame, seq: str = "line_id", loaded_at: str | None = None) -> DataFrame:
+    """One row per line of :func:`numbered_lines`.  The ship date is the source's own or NULL,
+    never the order date."""
     return lines.select(
         content_id(F.lit("SHIP"), "order_id", seq).alias("log_id"),
         "order_id",
@@ -219,8 +233,8 @@ def build_shipping_logs(lines: DataFrame, seq: str = "seq", loaded_at: str | Non
     )
 
 
-def build_general_ledger(lines: DataFrame, seq: str = "seq", loaded_at: str | None = None) -> DataFrame:
-    """Per line a revenue credit and, where the cost is positive, a cost debit."""
+def build_general_ledger(lines: DataFrame, seq: str = "line_id", loaded_at: str | None = None) -> DataFrame:
+    """Per line of :func:`numbered_lines` a revenue credit and, where the cost is positive, a cost debit."""
     cost = (F.col("sales") - F.col("profit")).cast(MONEY)
     zero = F.lit(0).cast(MONEY)
 

@@ -4,64 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-SALTS = 64
-HOT_SHARE = 0.002  # a key above this share of the rows is treated as hot
-SALT_FROM_BYTES = 256 << 20  # below this estimate a whole input is no burden for a task
 NULL_SLOTS = 256
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the result."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """True when the size estimate lies below the session's broadcast limit."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return limit > 0 and estimated_bytes(df) <= limit
-
-
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
-    """Keys that may hold more than ``share`` of the rows: at most ``1 / share`` of them.
-
-    One pass with bounded counters per task and no shuffle of the keys.  The
-    answer can hold a few cooler keys too, which only costs a little salting.
-    """
-    found = df.where(F.col(key).isNotNull()).stat.freqItems([key], share)
-    return found.select(F.explode(f"{key}_freqItems").alias(key))
-
-
-def join_to_unique(
-    many: DataFrame,
-    one: DataFrame,
-    key: str,
-    how: str = "inner",
-    salts: int = SALTS,
-    share: float = HOT_SHARE,
-    salt_from: int = SALT_FROM_BYTES,
-) -> DataFrame:
+def join_to_unique(many: DataFrame, one: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join ``many`` rows per key to ``one`` row per key (``inner`` or ``left``).
 
-    A ``one`` side below the broadcast limit needs no shuffle at all and a small
-    ``many`` side cannot overload a task; both are left to Spark.  Otherwise the rows
-    of hot keys are spread over ``salts`` slots and only their partners are copied, so
-    no task gets a whole hot key.
+    One plan at every size: Spark broadcasts a side whose known size is below its limit, and
+    otherwise AQE splits the partitions of ``many`` in which a key is hot
+    (``forceOptimizeSkewedJoin`` keeps that on below aggregates).  Each input is read once.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type: {how}")
-    if salt_from > 0 and (estimated_bytes(many) <= salt_from or fits_broadcast(one)):
-        return many.join(one, key, how)
-    # Bounded by 1 / share rows, hence safe to broadcast.
-    hot = F.broadcast(hot_keys(many, key, share).withColumn("_hot", F.lit(True)))
-    # The slot follows the row's content and its input partition, never the order
-    # of arrival, so a rerun task puts every row into the same slot again.
-    spread = F.pmod(F.xxhash64(*many.columns, F.spark_partition_id()), F.lit(salts)).cast("int")
-    scattered = F.col("_hot") | F.col(key).isNull()
-    salted_many = many.join(hot, key, "left").withColumn("_slot", F.when(scattered, spread).otherwise(F.lit(0)))
-    slots = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_one = one.join(hot, key, "left").withColumn("_slot", F.explode(slots))
-    joined = salted_many.drop("_hot").join(salted_one.drop("_hot"), [key, "_slot"], how)
-    return joined.drop("_slot")
+    return many.join(one, key, how)
 
 
 def _with_stand_in(df: DataFrame, column: str, side: str) -> DataFrame:

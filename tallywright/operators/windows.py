@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 def _pick(df: DataFrame, keys: list[str], order: Column, choose) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
     return (
-        df.groupBy(*keys)
+        df.dropna(subset=keys)
+        .groupBy(*keys)
         .agg(choose(F.struct(*rest), order).alias("_row"))
         .select(*keys, "_row.*")
         .select(*df.columns)
@@ -18,16 +19,20 @@ def _pick(df: DataFrame, keys: list[str], order: Column, choose) -> DataFrame:
 def keep_last(df: DataFrame, keys: str | list[str], order: Column | str) -> DataFrame:
     """The row with the greatest ``order`` per key, whole, inner NULLs included.
 
-    ``max_by`` combines before the shuffle, so a hot key sends one row per task.
+    A NULL order comes before all others.  Rows that lack a key column belong to no key and are
+    left out; :func:`tallywright.operators.ingest.split_rejects` reports them.  ``max_by`` combines
+    before the shuffle, so a hot key sends one row per task (text columns make it a sort aggregate).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    return _pick(df, keys, F.col(order) if isinstance(order, str) else order, F.max_by)
+    by = F.col(order) if isinstance(order, str) else order
+    return _pick(df, keys, F.struct(by.isNotNull(), by), F.max_by)
 
 
 def keep_first(df: DataFrame, keys: str | list[str], order: Column | str) -> DataFrame:
-    """The row with the smallest ``order`` per key."""
+    """The row with the smallest ``order`` per key; a NULL order comes after all others."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    return _pick(df, keys, F.col(order) if isinstance(order, str) else order, F.min_by)
+    by = F.col(order) if isinstance(order, str) else order
+    return _pick(df, keys, F.struct(by.isNull(), by), F.min_by)
 
 
 def top(df: DataFrame, n: int, *order: Column) -> DataFrame:

@@ -35,11 +35,12 @@ def canonical_tables(
         work_dir(raw.sparkSession)
         lines = lines.checkpoint()
     good = ingest.typed_lines(lines.where(F.col("reject_reason").isNull()).drop("reject_reason"))
+    numbered = ingest.numbered_lines(good)
     return CanonicalTables(
         products=ingest.build_products(good, loaded_at=loaded_at),
         sales_orders=ingest.build_sales_orders(good, loaded_at=loaded_at, sum_lines=sum_lines),
-        shipping_logs=ingest.build_shipping_logs(good, loaded_at=loaded_at),
-        general_ledger=ingest.build_general_ledger(good, loaded_at=loaded_at),
+        shipping_logs=ingest.build_shipping_logs(numbered, loaded_at=loaded_at),
+        general_ledger=ingest.build_general_ledger(numbered, loaded_at=loaded_at),
         accounts_receivable=ingest.build_accounts_receivable(good, loaded_at=loaded_at),
         rejects=lines.where(F.col("reject_reason").isNotNull()),
     )

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallywright.functions import dates
-from tallywright.operators import audit_log, filters, quality, recon, reports, rules
+from tallywright.operators import audit_log, filters, joins, quality, recon, reports, rules
 from tallywright.plans.build_stores import create_audit_tables
 from tallywright.session import work_dir
 from tallywright.sources import catalog, sinks
@@ -49,14 +50,22 @@ def audit(orders: DataFrame, invoices: DataFrame, shipments: DataFrame, as_of: s
     return _results(orders, shipments, compared, audit_log.all_findings(orders, invoices, shipments, as_of))
 
 
+def period_sides(orders: DataFrame, invoices: DataFrame, first: dt.date, last: dt.date) -> tuple[DataFrame, DataFrame]:
+    """Orders and invoices of a period: the orders dated in it, their invoices whatever their date,
+    and the invoices dated in it that belong to no order at all."""
+    inside = filters.date_range(orders, first, last)
+    own = invoices.join(inside.select("order_id"), "order_id", "left_semi")
+    ghosts = joins.anti_join(invoices.where(dates.between_dates(F.col("invoice_date"), first, last)), orders, "order_id")
+    return inside, own.select(*invoices.columns).unionByName(ghosts)
+
+
 def run(
     spark: SparkSession, as_of: str, year: int | None = None, month: int | None = None, executed_by: str = "scheduler"
 ) -> AuditResult:
     """Audit the stored tables (or one period of them) and log what is new.
 
-    For a period, orders are cut to it and invoices of orders outside it are left
-    out, so an invoice of another period is not taken for a ghost.  The comparison
-    and the findings feed several outputs each and are checkpointed once.
+    For a period both sides are cut (:func:`period_sides`).  The comparison and the
+    findings feed several outputs each and are checkpointed once.
     """
     orders = catalog.table(spark, "operations", "sales_orders")
     invoices = catalog.table(spark, "finance", "accounts_receivable")
@@ -64,10 +73,7 @@ def run(
     label = "all"
     if year is not None:
         first, last = dates.period_bounds(year, month)
-        inside = dates.between_dates(F.col("order_date"), first, last)
-        outside = orders.where(~F.coalesce(inside, F.lit(False))).select("order_id")
-        orders = filters.date_range(orders, first, last)
-        invoices = invoices.join(outside, "order_id", "left_anti")
+        orders, invoices = period_sides(orders, invoices, first, last)
         label = f"{year}" if month is None else f"{year}-{month:02d}"
     create_audit_tables(spark)
     work_dir(spark)

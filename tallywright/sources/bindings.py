@@ -72,23 +72,9 @@ SCHEMAS = {
     ),
 }
 
-# Bytes per core below which a table is dealt out to the cores.
-SPREAD_BYTES = 16 * 1024 * 1024
-
-
-def table(spark: SparkSession, folder: str, name: str, spread: str | None = None) -> DataFrame:
-    """One of the given tables.
-
-    ``spread`` names a column for scans with costly expressions behind them: a small
-    table may come as a single file that only one task can read, so its rows are dealt
-    out to all cores by that column.  Above the size limit there are splits enough and
-    nothing moves.
-    """
-    df = spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if spread and joins.estimated_bytes(df) <= cores * SPREAD_BYTES:
-        df = df.repartition(cores, spread)
-    return df
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """One of the given tables."""
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def _status(key: Column, code: Column) -> Column:
@@ -142,7 +128,7 @@ def sales_orders(
         orders = orders.withColumn("customer_name", F.lit(None).cast("string"))
     if profit:
         prices = table(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), "p_retailprice")
-        lines = table(spark, folder, "lineitem", spread="l_orderkey").select(
+        lines = table(spark, folder, "lineitem").select(
             "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount"
         )
         earned = (
@@ -158,7 +144,7 @@ def sales_orders(
 
 def shipping_logs(spark: SparkSession, folder: str) -> DataFrame:
     """One row per order line."""
-    return table(spark, folder, "lineitem", spread="l_orderkey").select(
+    return table(spark, folder, "lineitem").select(
         content_id(
             F.lit("SHIP"),
             "l_orderkey",
@@ -224,7 +210,7 @@ def accounts_receivable(spark: SparkSession, folder: str, customer: bool = False
 
 def raw_extract(spark: SparkSession, folder: str, product: bool = True, customer: bool = True) -> DataFrame:
     """Order lines as a raw text extract, with some unreadable cells and missing ids."""
-    lines = table(spark, folder, "lineitem", spread="l_orderkey")
+    lines = table(spark, folder, "lineitem")
     key = F.col("l_orderkey")
     orders = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority"
@@ -309,7 +295,7 @@ def erp_orders(spark: SparkSession, folder: str, system: str) -> DataFrame:
 
 def ledger_feed(spark: SparkSession, folder: str) -> DataFrame:
     """Transactions of a finance feed, several per order, some off and some unknown."""
-    lines = table(spark, folder, "lineitem", spread="l_orderkey")
+    lines = table(spark, folder, "lineitem")
     key = F.col("l_orderkey")
     orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_totalprice")
     total = F.col("o_totalprice").cast(MONEY)

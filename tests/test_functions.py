@@ -28,6 +28,12 @@ def one(spark, column):
         ("soon", None),
         ("", None),
         (None, None),
+        ("43131", None),
+        ("2018-01-31 xyz", None),
+        ("1/31/20181", None),
+        ("x2018-01-31", None),
+        ("2018-01-31T10:20:30.5Z", dt.date(2018, 1, 31)),
+        ("1/31/2018 10:20 PM", dt.date(2018, 1, 31)),
     ],
 )
 def test_parse_date(spark, written, day):

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tallywright.operators import erp, filters, governance, ingest, quality
 from tallywright.plans import build_stores, export_check, full_audit, preprocess, sample_match, score_rules
+from tallywright.session import settings
 from tallywright.sources import catalog, readers, sinks
 
 HEAD = (
@@ -59,6 +60,35 @@ def test_tables_of_a_raw_file(spark, raw_file):
     assert prices == {"p1": ("Ring", Decimal("26.67")), "p2": ("Bolt", Decimal("40.00"))}
 
 
+def test_stored_ids_do_not_depend_on_files_or_splits(spark, tmp_path):
+    """Another split size, another dealing into files and one more file keep all ids; repeated lines stay apart."""
+    body = [f"{k % 40},1/31/2018 22:56,c{k % 7},Ann,France,p{k % 3},Ring,Gold,1,{k % 5}.00,0,1,Complete,0,Europe" for k in range(400)]
+
+    def ids(folder, files, split):
+        (tmp_path / folder).mkdir()
+        for k, part in enumerate(files):
+            (tmp_path / folder / f"{k}.csv").write_text("\n".join([HEAD, *part]) + "\n", encoding="utf-8")
+        with settings(spark, {"spark.sql.files.maxPartitionBytes": split}):
+            t = build_stores.canonical_tables(readers.read_raw(spark, str(tmp_path / folder)))
+            return [r.log_id for r in t.shipping_logs.collect()], {r.entry_id for r in t.general_ledger.collect()}
+
+    logs, entries = ids("one", [body], "1m")
+    assert len(set(logs)) == len(logs) == 400
+    again, more = ids("two", [body[200:], body[:200], ["900,1/31/2018 22:56,c1,Ann,France,p1,Ring,Gold,1,9.00,0,1,Complete,0,Europe"]], "2k")
+    assert set(logs) < set(again) and len(again) == 401 and entries < more
+
+
+def test_a_period_is_cut_on_both_sides(spark):
+    orders = spark.createDataFrame([("a", dt.date(2024, 1, 5)), ("b", dt.date(2024, 2, 1))], "order_id string, order_date date")
+    invoices = spark.createDataFrame(
+        [("a", dt.date(2024, 2, 9)), ("b", dt.date(2024, 1, 9)), ("g", dt.date(2024, 1, 31)), ("h", dt.date(2023, 12, 31)), (None, dt.date(2024, 1, 1))],
+        "order_id string, invoice_date date",
+    )
+    own, billed = full_audit.period_sides(orders, invoices, dt.date(2024, 1, 1), dt.date(2024, 1, 31))
+    assert [r.order_id for r in own.collect()] == ["a"]
+    assert sorted((r.order_id for r in billed.collect()), key=str) == [None, "a", "g"]
+
+
 def test_ledger_balances(spark, raw_file):
     t = build_stores.canonical_tables(readers.read_raw(spark, raw_file))
     entries = t.general_ledger.collect()

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from tallywright.operators import joins, windows
+from tallywright.session import settings
 
 
 def skewed(spark, n=3000):
@@ -17,30 +18,23 @@ def skewed(spark, n=3000):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_salted_join_equals_plain_join(spark, rows, how):
-    many = skewed(spark)
+def test_a_hot_key_is_split_at_run_time(spark, rows, how):
+    """Without broadcasts AQE deals the hot key's partition out to several tasks."""
+    many = skewed(spark, 60_000)
     one = spark.createDataFrame([("hot", 1)] + [(f"k{i}", i) for i in range(0, 200, 2)], "k string, w int")
-    salted = joins.join_to_unique(many, one, "k", how, salts=8, share=0.05, salt_from=0)
-    assert rows(salted, "k", "v", "w") == rows(many.join(one, "k", how), "k", "v", "w")
-
-
-def test_salting_spreads_the_hot_key(spark):
-    many = skewed(spark)
-    one = spark.createDataFrame([("hot", 1)], "k string, w int")
-    with_plan = joins.join_to_unique(many, one, "k", salts=8, share=0.05, salt_from=0)
-    assert "_slot" in with_plan._jdf.queryExecution().optimizedPlan().toString()
-    assert {r.k for r in joins.hot_keys(many, "k", 0.05).collect()} >= {"hot"}
-
-
-def test_only_inputs_known_to_be_small_are_left_to_spark(spark, tmp_path):
-    one = spark.createDataFrame([("hot", 1)], "k string, w int")
-    skewed(spark).write.parquet(str(tmp_path / "many"))
-
-    def plan(many):
-        return joins.join_to_unique(many, one, "k")._jdf.queryExecution().optimizedPlan().toString()
-
-    assert "_slot" not in plan(spark.read.parquet(str(tmp_path / "many")))
-    assert "_slot" in plan(skewed(spark))  # no estimate
+    forced = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+    }
+    with settings(spark, forced):
+        joined = joins.join_to_unique(many, one, "k", how).select("k", "v", "w")
+        found = sorted(map(tuple, joined.collect()), key=repr)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert found == rows(many.join(one, "k", how), "k", "v", "w")
+    assert "skew=true" in plan
 
 
 @pytest.mark.parametrize("how", ["left", "full_outer"])
@@ -65,6 +59,12 @@ def test_keep_last_and_first(spark, rows):
     assert rows(twice) == rows(windows.keep_last(df, "k", "seq"))
 
 
+def test_keep_last_with_missing_orders_and_keys(spark, rows):
+    df = spark.createDataFrame([("a", None, "x"), ("b", None, "y"), ("b", 3, "z"), (None, 9, "p"), (None, 8, "q")], "k string, seq int, t string")
+    assert rows(windows.keep_last(df, "k", "seq")) == [("a", None, "x"), ("b", 3, "z")]
+    assert rows(windows.keep_first(df, "k", "seq")) == [("a", None, "x"), ("b", 3, "z")]
+
+
 def test_previous_value_equals_lag(spark, rows):
     rnd = random.Random(3)
     data = [("s" if i % 3 else "t", i, rnd.randrange(90) if i % 11 else None) for i in range(400)]

@@ -7,11 +7,12 @@ import os
 import pytest
 
 import __spark_entry__ as contract
-from tallywright.operators import joins
+import registry
+from tallywright.session import settings
 from tests import oracle
 
 SMALL, MIDDLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = registry.collect().queries, registry.collect().sql
 
 needs_data = pytest.mark.skipif(not os.path.isdir(SMALL), reason="given tables not there")
 
@@ -32,13 +33,25 @@ def test_query_equals_sql(spark, con, name):
     assert oracle.compare(QUERIES[name](spark, SMALL), con, SQL[name]) == []
 
 
+NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+
+
 @needs_data
 @pytest.mark.slow
 @pytest.mark.parametrize("name", ["orders_shipping", "metrics_all", "recon_match_ledger", "ingest_ledger", "masked_ar"])
-def test_salted_plans_give_the_same_rows(spark, con, name, monkeypatch):
-    """The joins taken for large inputs, forced on the small tables."""
-    monkeypatch.setattr(joins, "estimated_bytes", lambda df: 1 << 50)
-    assert oracle.compare(QUERIES[name](spark, SMALL), con, SQL[name]) == []
+def test_shuffled_joins_give_the_same_rows(spark, con, name):
+    """The joins of large inputs, forced on the small tables."""
+    with settings(spark, NO_BROADCAST):
+        assert oracle.compare(QUERIES[name](spark, SMALL), con, SQL[name]) == []
+
+
+@needs_data
+@pytest.mark.parametrize("name", [n for n in sorted(QUERIES) if not n.startswith("stream_") and n not in ("findings_not_logged",)])
+def test_lines_are_scanned_at_most_twice(spark, name):
+    """Three times where several metrics are put together."""
+    with settings(spark, NO_BROADCAST):
+        plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_orderkey#") == 0 or sum("Relation [l_orderkey" in line for line in plan.splitlines()) <= (3 if name.startswith("metrics") else 2)
 
 
 @needs_data
