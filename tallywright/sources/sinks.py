@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallywright.operators import windows
 from tallywright.session import settings, work_dir
@@ -27,46 +27,64 @@ def append_new(df: DataFrame, name: str, key: str) -> None:
     fresh.join(known, key, "left_anti").select(*columns).write.mode("append").insertInto(name)
 
 
-def upsert(df: DataFrame, name: str, key: str, seq: str | Column, partition_by: str | None = None) -> None:
-    """Insert or replace by key; among new rows of one key the last one wins.
+#: What an upserted table keeps beside its own columns: the change a row comes from, and whether
+#: that change deleted the key (the mark stays, so that an older change cannot bring the key back).
+SEQUENCE, DELETED = "_seq", "_deleted"
 
-    The merged rows are checkpointed to the shared folder before the table is
-    overwritten, so losing executors in between loses nothing.  A partitioned
-    table only rewrites the partitions that hold an old or a new row of a key.
+
+def upsert(
+    df: DataFrame,
+    name: str,
+    key: str,
+    seq: str | Column,
+    partition_by: str | None = None,
+    deleted: Column | None = None,
+) -> None:
+    """Insert, replace or delete by key; the change with the greatest ``seq`` wins, whether it comes
+    in this call or came before.  Read the table with :func:`live`.
+
+    Rows without a key are left out.  What changes is checkpointed to the shared folder before the
+    table is overwritten, so losing executors in between loses nothing.  A partitioned table only
+    rewrites the partitions that lose or gain a row; without ``partition_by`` the whole table is
+    rewritten, for large tables see :func:`tallywright.streaming.sync.append_changes`.
     """
     spark = df.sparkSession
     work_dir(spark)
-    fresh = windows.keep_last(df, key, seq)
-    if isinstance(seq, str) and seq in fresh.columns:
-        fresh = fresh.drop(seq)
+    order = F.col(seq) if isinstance(seq, str) else seq
+    marked = df.withColumns({SEQUENCE: order, DELETED: F.coalesce(deleted, F.lit(False)) if deleted is not None else F.lit(False)})
+    fresh = windows.keep_last(marked.drop(seq) if isinstance(seq, str) else marked, key, SEQUENCE)
     if not spark.catalog.tableExists(name):
         replace_table(fresh, name, partition_by)
         return
     current = spark.table(name)
     columns = current.columns
-    fresh = fresh.select(*columns).checkpoint()
+    had = [F.col(key), F.col(SEQUENCE).alias("_had"), F.lit(True).alias("_known")]
+    known = current.select(*had, *([F.col(partition_by).alias("_was")] if partition_by else []))
+    newer = F.col("_known").isNull() | F.coalesce(F.col(SEQUENCE) > F.col("_had"), F.col("_had").isNull() & F.col(SEQUENCE).isNotNull())
+    changes = fresh.join(known, key, "left").where(newer).checkpoint()
+    rows = changes.select(*columns)
     if partition_by is None:
-        merged = current.join(fresh.select(key), key, "left_anti").select(*columns).unionByName(fresh)
+        merged = current.join(rows.select(key), key, "left_anti").select(*columns).unionByName(rows)
         merged.checkpoint().write.mode("overwrite").insertInto(name)
         return
-    replaced = current.join(fresh.select(key), key, "left_semi").select(partition_by)
-    touched = replaced.unionByName(fresh.select(partition_by)).distinct().withColumn("_hit", F.lit(True))
+    lost = changes.where("_known").select(F.col("_was").alias(partition_by)).distinct()
+    touched = lost.unionByName(rows.select(partition_by)).distinct()
     in_touched = current.join(touched, current[partition_by].eqNullSafe(touched[partition_by]), "left_semi")
-    kept = in_touched.join(fresh.select(key), key, "left_anti").select(*columns)
-    merged = kept.unionByName(fresh).checkpoint()
-    # A touched partition whose rows all moved elsewhere must end up empty; dynamic
-    # overwrite leaves partitions alone that receive no row, so drop those.
-    left_over = (
-        replaced.distinct()
-        .join(merged.select(partition_by).distinct(), partition_by, "left_anti")
-        .where(F.col(partition_by).isNotNull())
-        .collect()  # one value per emptied partition
-    )
+    merged = in_touched.join(rows.select(key), key, "left_anti").select(*columns).unionByName(rows).checkpoint()
+    # A touched partition whose rows all moved elsewhere must end up empty; dynamic overwrite
+    # leaves partitions alone that receive no row, so drop those.
+    filled = merged.select(F.col(partition_by).alias("_filled")).distinct()
+    left_over = lost.join(filled, lost[partition_by].eqNullSafe(filled["_filled"]), "left_anti").collect()  # one value per emptied partition
     with settings(spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}):
         merged.write.mode("overwrite").insertInto(name)
     for row in left_over:
-        value = str(row[0]).replace("'", "\\'")
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({partition_by} = '{value}')")
+        value = "null" if row[0] is None else "'" + str(row[0]).replace("'", "\\'") + "'"
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({partition_by} = {value})")
+
+
+def live(spark: SparkSession, name: str) -> DataFrame:
+    """The rows of an upserted table that are not deleted, in the table's own columns."""
+    return spark.table(name).where(~F.col(DELETED)).drop(SEQUENCE, DELETED)
 
 
 def write_processed(df: DataFrame, folder: str, name: str) -> tuple[str, str]:

@@ -65,13 +65,22 @@ def current_state(
 
 
 def upsert_stream(
-    changes: DataFrame, table: str, key: str, seq: str, checkpoint: str, partition_by: str | None = None
+    changes: DataFrame,
+    table: str,
+    key: str,
+    seq: str,
+    checkpoint: str,
+    partition_by: str | None = None,
+    op: str | None = None,
+    delete: str = "D",
 ) -> StreamingQuery:
-    """Apply each micro-batch to a table in place; replaying a batch changes nothing."""
+    """Apply each micro-batch to a table in place, deletes (rows whose ``op`` says so) included;
+    replaying a batch or getting an older one changes nothing.  Read it with :func:`sinks.live`."""
 
     def apply(batch: DataFrame, _: int) -> None:
         if not batch.isEmpty():
-            sinks.upsert(batch, table, key, seq, partition_by)
+            gone = None if op is None else F.col(op) == delete
+            sinks.upsert(batch, table, key, seq, partition_by, gone)
 
     return (
         changes.writeStream.foreachBatch(apply)

@@ -272,7 +272,12 @@ def test_append_new_and_upsert(stores, rows):
 
     sinks.upsert(spark.createDataFrame([("a", 1, 0), ("b", 2, 0)], "k string, v int, seq int"), "operations.up", "k", "seq")
     sinks.upsert(spark.createDataFrame([("b", 7, 1), ("b", 8, 2), ("c", 3, 1)], "k string, v int, seq int"), "operations.up", "k", "seq")
-    assert rows(spark.table("operations.up")) == [("a", 1), ("b", 8), ("c", 3)]
+    assert rows(sinks.live(spark, "operations.up")) == [("a", 1), ("b", 8), ("c", 3)]
+    sinks.upsert(spark.createDataFrame([("b", 0, 1), ("a", 5, 0), (None, 1, 9)], "k string, v int, seq int"), "operations.up", "k", "seq")
+    assert rows(sinks.live(spark, "operations.up")) == [("a", 1), ("b", 8), ("c", 3)]  # nothing newer
+    sinks.upsert(spark.createDataFrame([("b", 0, 5)], "k string, v int, seq int"), "operations.up", "k", "seq", deleted=F.col("v") == 0)
+    sinks.upsert(spark.createDataFrame([("b", 6, 4), ("c", 4, 2)], "k string, v int, seq int"), "operations.up", "k", "seq")
+    assert rows(sinks.live(spark, "operations.up")) == [("a", 1), ("c", 4)]  # an older change does not bring b back
 
 
 def test_upsert_moves_rows_between_partitions(stores, rows):
@@ -282,6 +287,9 @@ def test_upsert_moves_rows_between_partitions(stores, rows):
     sinks.upsert(start, "operations.parted", "k", "seq", "m")
     sinks.upsert(spark.createDataFrame([("b", 20, 1, "jan")], schema), "operations.parted", "k", "seq", "m")
     assert rows(spark.table("operations.parted"), "k", "v", "m") == [("a", 1, "jan"), ("b", 20, "jan"), ("c", 3, "mar")]
+    sinks.upsert(spark.createDataFrame([("d", 4, 0, None)], schema), "operations.parted", "k", "seq", "m")
+    sinks.upsert(spark.createDataFrame([("d", 5, 1, "may"), ("a", 0, -1, "dec")], schema), "operations.parted", "k", "seq", "m")
+    assert rows(spark.table("operations.parted"), "k", "v", "m") == [("a", 1, "jan"), ("b", 20, "jan"), ("c", 3, "mar"), ("d", 5, "may")]
 
 
 def test_erp_mappings(spark):

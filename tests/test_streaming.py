@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallywright.operators import recon
 from tallywright.schemas import AUDIT_LOGS
+from tallywright.sources import sinks
 from tallywright.streaming import audit, monitors, reconcile, runner, sync
 
 D = dt.date
@@ -105,7 +106,21 @@ def test_upsert_stream(stores, land, tmp_path, rows):
     sync.upsert_stream(stream, "operations.live", "k", "seq", str(tmp_path / "chk")).awaitTermination(120)
     land("c", [("b", 5, 50)], "k string, seq int, v int")
     sync.upsert_stream(stream, "operations.live", "k", "seq", str(tmp_path / "chk")).awaitTermination(120)
-    assert rows(stores.table("operations.live"), "k", "v") == [("a", 20), ("b", 50)]
+    land("c", [("b", 4, 40), ("c", 1, 7)], "k string, seq int, v int")
+    sync.upsert_stream(stream, "operations.live", "k", "seq", str(tmp_path / "chk")).awaitTermination(120)
+    assert rows(stores.table("operations.live"), "k", "v") == [("a", 20), ("b", 50), ("c", 7)]
+
+
+def test_upsert_stream_deletes(stores, land, tmp_path, rows):
+    schema = "k string, seq int, op string, v int"
+    stream = land("d", [("a", 1, "I", 10), ("b", 1, "I", 1)], schema)
+    args = ("operations.gone", "k", "seq", str(tmp_path / "chk"), None, "op")
+    sync.upsert_stream(stream, *args).awaitTermination(120)
+    land("d", [("a", 3, "D", None)], schema)
+    sync.upsert_stream(stream, *args).awaitTermination(120)
+    land("d", [("a", 2, "U", 20)], schema)
+    sync.upsert_stream(stream, *args).awaitTermination(120)
+    assert rows(sinks.live(stores, "operations.gone"), "k", "v") == [("b", 1)]
 
 
 def test_log_stream_is_idempotent(stores, land, tmp_path):
