@@ -100,25 +100,22 @@ def examples(findings: DataFrame, n: int = 5) -> DataFrame:
 # -- transaction exports ------------------------------------------------------
 
 
+def _export_rules(export: DataFrame) -> list[tuple[str, Column, Column]]:
+    """(type, condition, value) of each export rule, in the order of the report.  Marks of unreadable
+    cells come from :func:`tallywright.sources.readers.typed_export`."""
+    none = F.lit(None).cast(export.schema["amount"].dataType)
+    checks = [("negative_amount", F.col("amount") < 0, F.col("amount")), ("missing_account_code", F.col("account_code").isNull(), none)]
+    return checks + [(f"unreadable_{c}", F.col(f"{c}_unreadable"), none) for c in ("amount", "date") if f"{c}_unreadable" in export.columns]
+
+
 def export_anomalies(export: DataFrame, row: str = "row") -> DataFrame:
-    """One line per row and broken rule: a negative amount, a missing account code."""
-    found = F.array_compact(
-        F.array(
-            F.when(
-                F.col("amount") < 0,
-                F.struct(F.lit(0).alias("rule_no"), F.lit("negative_amount").alias("type"), F.col("amount").alias("value")),
-            ),
-            F.when(
-                F.col("account_code").isNull(),
-                F.struct(
-                    F.lit(1).alias("rule_no"),
-                    F.lit("missing_account_code").alias("type"),
-                    F.lit(None).cast(export.schema["amount"].dataType).alias("value"),
-                ),
-            ),
-        )
-    )
-    return export.select(row, "transaction_id", F.explode(found).alias("a")).select(
+    """One line per row and broken rule: a negative amount, a missing account code, an amount or a
+    date that does not read."""
+    hits = [
+        F.when(condition, F.struct(F.lit(k).alias("rule_no"), F.lit(name).alias("type"), value.alias("value")))
+        for k, (name, condition, value) in enumerate(_export_rules(export))
+    ]
+    return export.select(row, "transaction_id", F.explode(F.array_compact(F.array(*hits))).alias("a")).select(
         row, "transaction_id", "a.rule_no", "a.type", "a.value"
     )
 
@@ -133,12 +130,7 @@ def export_summary(export: DataFrame, row: str = "row", shown: int = 10) -> Data
     )
     counts = export.agg(
         F.count("*").alias("rows_processed"),
-        F.coalesce(
-            F.sum(
-                F.when(F.col("amount") < 0, 1).otherwise(0) + F.when(F.col("account_code").isNull(), 1).otherwise(0)
-            ),
-            F.lit(0),
-        )
+        F.coalesce(F.sum(sum((F.when(hit, 1).otherwise(0) for _, hit, _ in _export_rules(export)), F.lit(0))), F.lit(0))
         .cast("bigint")
         .alias("anomalies_found"),
     )

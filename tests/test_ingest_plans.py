@@ -200,6 +200,19 @@ def test_export_report(spark, tmp_path):
     ]
 
 
+def test_unreadable_cells_are_reported(spark, tmp_path):
+    path = tmp_path / "odd.csv"
+    path.write_text('transaction_id,amount,date,account_code\nt1,"-1,250.00",2024-01-15,4000\nt2,abc,43131,\nt3,,,4000\nt4,-1,2024-13-45,4000\n')
+    row = export_check.report(spark, str(path), "r", "t").collect()[0]
+    assert (row.rows_processed, row.anomalies_found) == (4, 6)
+    assert [(a.row, a.type) for a in row.anomaly_list] == [
+        (0, "unreadable_amount"), (1, "missing_account_code"), (1, "unreadable_amount"), (1, "unreadable_date"),
+        (3, "negative_amount"), (3, "unreadable_date"),
+    ]
+    path.write_text("transaction_id,amount,date,account_code\nt1,1,2024-01-15,4000,too much\nt2,1\n")
+    assert readers.validate_export(spark, str(path)) == {"valid": False, "error": "malformed lines: 2"}
+
+
 def test_export_shows_ten_but_counts_all(spark, tmp_path):
     path = tmp_path / "many.csv"
     path.write_text("transaction_id,amount,date,account_code\n" + "".join(f"t{i},-1,2024-01-01,\n" for i in range(30)))
@@ -223,12 +236,12 @@ def test_row_numbers_over_several_splits(spark, tmp_path):
 
 
 def test_export_errors(spark, tmp_path):
-    assert readers.validate_export(spark, str(tmp_path / "none.csv"))["error"].startswith("File not found")
+    assert readers.validate_export(spark, str(tmp_path / "none.csv"))["error"].startswith("unreadable, PATH_NOT_FOUND")
     path = tmp_path / "bad.csv"
     path.write_text("transaction_id,amount\n1,2\n")
     assert readers.validate_export(spark, str(path)) == {
         "valid": False,
-        "error": "Missing columns: ['date', 'account_code']",
+        "error": "columns not there: account_code, date",
     }
     with pytest.raises(ValueError):
         export_check.run(spark, str(path), str(tmp_path), "r", "t")
