@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from registry import governance, ingest, quality, reconciliation, reports, rules, streams
+from registry import changes, governance, ingest, quality, reconciliation, reports, rules, streams
 from registry.base import Registry
 
-_PARTS = (reconciliation, rules, reports, ingest, quality, governance, streams)
+_PARTS = (reconciliation, rules, reports, ingest, quality, governance, changes, streams)
 
 
 def collect() -> Registry:
