@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from registry.base import Registry, sql_with
-from tallywright.operators import windows
+from tallywright.operators import erp, windows
 from tallywright.sources import bindings, readers, sinks
 
 REGISTRY = Registry()
@@ -70,3 +70,18 @@ def export_rejects(spark: SparkSession, folder: str) -> DataFrame:
     )
     typed = readers.typed_export(raw).where("amount_unreadable OR date_unreadable")
     return typed.select("transaction_id", "amount_unreadable", "date_unreadable")
+
+
+@REGISTRY.query("""
+    SELECT lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS order_id,
+           CASE WHEN o_orderkey % 13 = 0 THEN '2024-13-45' ELSE strftime(o_orderdate, '%Y%m%d') END AS order_date,
+           CASE WHEN o_orderkey % 5 = 0 THEN '1,234.50' ELSE CAST(CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT) AS VARCHAR) END AS sales,
+           concat_ws('; ', CASE WHEN o_orderkey % 13 = 0 THEN 'order_date unreadable' END, CASE WHEN o_orderkey % 5 = 0 THEN 'sales unreadable' END) AS reject_reason
+    FROM orders WHERE o_orderkey % 13 = 0 OR o_orderkey % 5 = 0""")
+def erp_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of an ERP extract that do not convert."""
+    key = F.col("VBELN").cast("long")
+    extract = bindings.erp_orders(spark, folder, "sap").withColumns(
+        {"AUDAT": F.when(key % 13 == 0, "2024-13-45").otherwise(F.col("AUDAT")), "NETWR": F.when(key % 5 == 0, "1,234.50").otherwise(F.col("NETWR"))}
+    )
+    return erp.rejects(extract, "sap", "sales_orders", amounts_in_cents=True).select("order_id", "order_date", "sales", "reject_reason")

@@ -118,6 +118,17 @@ def convert_types(df: DataFrame, amounts_in_cents: bool = False) -> DataFrame:
     return df.withColumns(typed) if typed else df
 
 
+def rejects(df: DataFrame, system: str, table: str, extra: Extra | None = None, amounts_in_cents: bool = False) -> DataFrame:
+    """Rows of an extract with a date, amount or quantity that does not read: the mapped fields as
+    they came and ``reject_reason``, which names the fields at fault."""
+    told = apply_mapping(df, system, table, extra)
+    both = convert_types(told.withColumn("_told", F.struct(*told.columns)), amounts_in_cents)
+    came = {c: F.col(f"_told.{c}").cast("string") for c in told.columns}
+    lost = [F.when((F.trim(came[c]) != "") & F.col(c).isNull(), F.lit(f"{c} unreadable")) for c in told.columns]
+    reason = both.withColumn("reject_reason", F.concat_ws("; ", *lost)).where("reject_reason <> ''")
+    return reason.select("_told.*", "reject_reason")
+
+
 def map_status(df: DataFrame, system: str, column: str = "order_status") -> DataFrame:
     """Canonical status; an unknown code stays and is flagged in ``status_unmapped``."""
     codes = STATUS_MAPS[system]
