@@ -91,7 +91,7 @@ def _numbered(product: bool) -> str:
     lacking = {"category_name", "customer_city", "customer_country", "customer_name", "customer_segment", "days_for_shipment_real",
                "days_for_shipment_scheduled", "delivery_status", "market", "product_name", "region"} - own
     columns = sorted([*ingest.ALIASES, "customer_key"])
-    sources = {c: "''" for c in lacking} | {"customer_key": "customer_id"} | ({} if product else {"profit": "'0.00'"})
+    sources = {c: "''" for c in lacking} | {"customer_key": "customer_id", "product_price": "sales"} | ({} if product else {"profit": "'0.00'"})
     told = ", ".join(f"coalesce(CAST({sources.get(c, c)} AS VARCHAR), '')" for c in columns)
     content = f"concat_ws('|', {told})"
     return f"""SELECT *, sha256({content} || '|' || row_number() OVER (PARTITION BY {content})) AS line_id FROM good"""

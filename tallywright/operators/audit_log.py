@@ -97,11 +97,12 @@ def latest(log: DataFrame, n: int = 20) -> DataFrame:
 
 
 def to_risk_flags(findings: DataFrame) -> DataFrame:
-    """One open flag per order and rule, however many lines triggered it."""
+    """One open flag per order and rule, however many lines triggered it, at the gravest level."""
+    gravity = F.array_position(F.array(*[F.lit(level) for level in ("LOW", "MEDIUM", "HIGH", "CRITICAL")]), F.col("risk_level"))
     return (
         findings.groupBy("entity_type", "entity_id", "action", "source_system")
         .agg(
-            F.max("risk_level").alias("severity"),
+            F.max(F.struct(gravity, "risk_level"))["risk_level"].alias("severity"),
             F.max("notes").alias("description"),
             F.max("audit_date").alias("flag_date"),
         )

@@ -19,9 +19,10 @@ ALIASES = {
     "customer_segment": ("Customer Segment", "customer_segment"),
     "customer_country": ("Customer Country", "customer_country", "Country"),
     "customer_city": ("Customer City", "customer_city", "City"),
-    "product_id": ("Product ID", "Product Card Id", "product_id"),
-    "product_name": ("Product Name", "product_name"),
-    "category_name": ("Category Name", "category_name", "Category"),
+    "product_id": ("Product ID", "Product Card Id", "product_id", "ProductId"),
+    "product_name": ("Product Name", "product_name", "ProductName"),
+    "category_name": ("Category Name", "category_name", "Category", "category"),
+    "product_price": ("Sales", "sales", "Product Price", "price"),
     "order_quantity": ("Order Item Quantity", "Quantity", "quantity"),
     "sales": ("Sales", "sales"),
     "discount": ("Order Item Discount", "Discount", "discount"),
@@ -101,6 +102,7 @@ def typed_lines(lines: DataFrame) -> DataFrame:
     """Harmonised text rows with their canonical types and defaults, one row per line."""
     zero = F.lit(0).cast(MONEY)
     typed = {c: F.coalesce(money.to_money(F.col(c)), zero) for c in MONEY_COLUMNS}
+    typed["product_price"] = F.coalesce(money.to_money(F.col("product_price")), zero)
     typed |= {c: money.to_whole(F.col(c)) for c in WHOLE_COLUMNS}
     for defaulted in ("order_quantity", "late_delivery_risk"):
         typed[defaulted] = F.coalesce(typed[defaulted], F.lit(0))
@@ -180,13 +182,14 @@ def build_sales_orders(
 
 
 def build_products(lines: DataFrame, seq: str = "seq", loaded_at: str | None = None) -> DataFrame:
-    """Products with the name and category seen first and their mean sales as price."""
+    """Products with the name and category seen first and their mean price: that of the sales, or
+    of the source's own price column where it has no sales."""
     known = lines.where(F.col("product_id").isNotNull())
     return (
         known.groupBy("product_id")
         .agg(
             F.min_by(F.struct("product_name", "category_name"), seq).alias("_first"),
-            F.avg("sales").cast(MONEY).alias("product_price"),
+            F.avg("product_price").cast(MONEY).alias("product_price"),
         )
         .select(
             "product_id",

@@ -114,6 +114,13 @@ def test_sum_lines_option(spark, raw_file):
     assert (row.sales, row.profit, row.order_quantity, row.product_name) == (Decimal("60.00"), Decimal("28.00"), 4, "Ring again")
 
 
+def test_product_names_of_other_sources(spark):
+    """A source without sales prices its products by its own price column."""
+    raw = spark.createDataFrame([("1", "p", "Ring", "Gold", "4.00", 0), ("2", "p", "Ring", "Gold", "6.00", 1)], "OrderId string, ProductId string, ProductName string, category string, price string, seq int")
+    (row,) = ingest.build_products(ingest.typed_lines(ingest.harmonise(raw))).collect()
+    assert (row.product_id, row.product_name, row.product_category, row.product_price) == ("p", "Ring", "Gold", Decimal("5.00"))
+
+
 def test_missing_customer_column_falls_back(spark):
     raw = spark.createDataFrame([("7", "1.00", 0)], "OrderId string, sales string, seq int")
     good, _ = ingest.split_rejects(ingest.harmonise(raw))
