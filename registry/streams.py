@@ -32,6 +32,11 @@ def _events(spark: SparkSession, folder: str) -> DataFrame:
     return _stream(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def _landed(spark: SparkSession, folder: str) -> DataFrame:
+    """The same events as a batch, for windows the stream leaves open."""
+    return bindings.table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 @REGISTRY.query("SELECT event_id, user_id, event_type FROM events")
 def stream_dedupe(spark: SparkSession, folder: str) -> DataFrame:
     """A feed that delivers every tenth event twice."""
@@ -45,11 +50,13 @@ def stream_dedupe(spark: SparkSession, folder: str) -> DataFrame:
     WITH e AS (SELECT * FROM events WHERE event_type = 'error')
     SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS hour, COUNT(*) AS failures FROM e
     GROUP BY date_trunc('hour', ts)
-    HAVING COUNT(*) > 3 AND date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT MAX(ts) FROM e) - INTERVAL 1 DAY"""
+    HAVING COUNT(*) > 3"""
 )
 def stream_auth_failures(spark: SparkSession, folder: str) -> DataFrame:
-    failed = _events(spark, folder).where(F.col("event_type") == "error")
-    return _finish(monitors.auth_failures(failed, "ts"), "auth")
+    failed = lambda events: events.where(F.col("event_type") == "error")
+    count = lambda events: monitors.auth_failures(events, "ts")
+    closed = _finish(count(failed(_events(spark, folder))), "auth")
+    return monitors.completed(closed, failed(_landed(spark, folder)), "ts", count, F.col("hour"), "1 hour")
 
 
 @REGISTRY.query(
@@ -59,24 +66,28 @@ def stream_auth_failures(spark: SparkSession, folder: str) -> DataFrame:
     SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, CAST(user_id AS VARCHAR) AS auditor_id, COUNT(*) AS access_count,
            CAST(COUNT(DISTINCT event_type) AS INTEGER) AS entity_types
     FROM w GROUP BY w.window_start, user_id
-    HAVING COUNT(*) > 8 AND w.window_start + INTERVAL 1 DAY <= (SELECT MAX(ts) FROM events) - INTERVAL 1 DAY"""
+    HAVING COUNT(*) > 8"""
 )
 def stream_access(spark: SparkSession, folder: str) -> DataFrame:
-    log = _events(spark, folder).withColumn("user_id", F.col("user_id").cast("string"))
-    return _finish(monitors.access_counts(log, "ts", "user_id", "event_type", limit=8), "access")
+    named = lambda events: events.withColumn("user_id", F.col("user_id").cast("string"))
+    count = lambda log: monitors.access_counts(log, "ts", "user_id", "event_type", limit=8)
+    closed = _finish(count(named(_events(spark, folder))), "access")
+    return monitors.completed(closed, named(_landed(spark, folder)), "ts", count, F.col("window_start"), "1 day")
 
 
 @REGISTRY.query(
     """
     SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, user_id AS customer, COUNT(*) AS orders, 'LOW' AS severity FROM events
     GROUP BY CAST(ts AS DATE), user_id
-    HAVING COUNT(*) > 5 AND CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT MAX(ts) FROM events) - INTERVAL 1 DAY"""
+    HAVING COUNT(*) > 5"""
 )
 def stream_frequency(spark: SparkSession, folder: str) -> DataFrame:
     # Day windows follow UTC: read the zone-free time as UTC whatever the session's zone.
     as_utc = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts")).cast("timestamp")
-    orders = _stream(spark, folder, "events").withColumn("ts", as_utc)
-    return _finish(monitors.order_frequency(orders, "ts", "user_id", limit=5), "frequency")
+    count = lambda orders: monitors.order_frequency(orders, "ts", "user_id", limit=5)
+    closed = _finish(count(_stream(spark, folder, "events").withColumn("ts", as_utc)), "frequency")
+    landed = bindings.table(spark, folder, "events").withColumn("ts", as_utc)
+    return monitors.completed(closed, landed, "ts", count, F.timestamp_seconds(F.unix_date("day") * 86_400), "1 day")
 
 
 @REGISTRY.query(

@@ -6,7 +6,9 @@ one row per task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallywright.functions import bands
 from tallywright.operators.governance import ACCESS_LIMIT
@@ -16,6 +18,27 @@ from tallywright.operators.rules import DAILY_ORDER_LIMIT
 LATENESS = "1 day"
 
 
+def completed(
+    closed: DataFrame,
+    events: DataFrame,
+    ts: str,
+    monitor: Callable[[DataFrame], DataFrame],
+    start: Column,
+    span: str,
+    lateness: str = LATENESS,
+) -> DataFrame:
+    """The windows a stream has closed and, counted in batch, those still open at its end.
+
+    ``closed`` is the result of ``monitor`` over the stream once it has read all ``events``; ``start``
+    is the moment its windows begin and ``span`` their length.  Only rows that can lie in an open window
+    are read again.
+    """
+    mark = events.select(F.max(ts) - F.expr(f"INTERVAL {lateness}")).scalar()
+    length = F.expr(f"INTERVAL {span}")
+    still_open = monitor(events.where(F.col(ts) >= mark - length)).where(start + length > mark)
+    return closed.unionByName(still_open)
+
+
 def dedupe(events: DataFrame, key: str, ts: str, lateness: str = LATENESS) -> DataFrame:
     """First arrival of each key within the lateness; replays drop out."""
     return events.withWatermark(ts, lateness).dropDuplicatesWithinWatermark([key])
