@@ -112,11 +112,11 @@ def _reconciled(spark: SparkSession, folder: str) -> DataFrame:
 
 @REGISTRY.query(
     sql_with("compared", body="""
-        , mark AS (SELECT least((SELECT MAX(order_date) FROM so), (SELECT MAX(invoice_date) FROM ar)) - 8 AS day)
         SELECT order_id, CAST(order_date AS VARCHAR) AS order_date, CAST(invoice_date AS VARCHAR) AS invoice_date, CAST(sales AS DOUBLE) AS sales,
                CAST(invoice_amount AS DOUBLE) AS invoice_amount, in_ops, in_fin, active, live, CAST(amount_diff AS DOUBLE) AS amount_diff, days_apart, status
-        FROM compared, mark
-        WHERE (in_ops AND in_fin) OR COALESCE(order_date, invoice_date) < mark.day""")
+        FROM compared""")
 )
 def stream_reconcile(spark: SparkSession, folder: str) -> DataFrame:
-    return _reconciled(spark, folder).drop("customer_name")
+    orders, invoices = (shape(bindings.table(spark, folder, "orders")) for shape in (bindings.order_columns, bindings.invoice_columns))
+    orders = orders.withColumn("customer_name", F.lit(None).cast("string"))
+    return reconcile.completed(_reconciled(spark, folder), orders, invoices).drop("customer_name")

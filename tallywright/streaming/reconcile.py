@@ -64,3 +64,12 @@ def late_rows(source: DataFrame, seen: DataFrame, key: str = "order_id") -> Data
     """Batch catch-up: source rows the stream's result does not hold, because they came
     after the watermark or are still waiting for their partner."""
     return joins.anti_join(source, seen, key)
+
+
+def completed(closed: DataFrame, orders: DataFrame, invoices: DataFrame) -> DataFrame:
+    """The pairs a stream has matched, and the batch comparison of everything else: rows it still
+    waits for, and orphans whose partner came outside the stream's match window."""
+    pairs = closed.where("in_ops AND in_fin")
+    matched = pairs.select("order_id")
+    rest = recon.full(joins.anti_join(orders, matched, "order_id"), joins.anti_join(invoices, matched, "order_id"))
+    return pairs.unionByName(rest.select(*closed.columns))
