@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from tallywright.llm.common import MEMO_ENTRIES
 
@@ -309,4 +310,4 @@ def decode(encoded: DataFrame, path: str, result: str = "decoded") -> DataFrame:
             texts = [None if x is None else text_of(x) for x in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, result])
 
-    return kept.mapInArrow(run, kept.schema.add(result, "string"))
+    return kept.mapInArrow(run, StructType(list(kept.schema.fields)).add(result, "string"))
