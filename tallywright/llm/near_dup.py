@@ -9,8 +9,8 @@ stop after two or three of the draws.
 Sets that are equal form a class, and only its smallest document goes on.  Classes that agree in a
 band share a bucket.  A bucket never emits its pairs: its members are compared with the member
 that lies most central (most company over all its buckets).  Confirmed links are grouped, and only
-members of a bucket that are still apart are compared further, unless the shingles that occur in
-one class alone already rule a link out.
+members of a bucket that are still apart are compared further, unless their bitmaps of shingles
+already rule a link out.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ from tallywright.llm.common import binary, mixed, saved, windows, word_codes
 
 #: 32 bands of 4 of 128 slots miss a pair of similarity 0.8 with a probability of 5e-8.
 SLOTS, BAND_ROWS = 128, 4
+#: 64-bit words of a set's bitmap.
+BITMAP_WORDS = 32
 #: Elements a task draws for at a time (each keeps a permutation of SLOTS bytes).
 DRAWN_AT_ONCE = 100_000
 
@@ -76,6 +78,13 @@ def band_keys(signatures: np.ndarray, rows: int = BAND_ROWS) -> np.ndarray:
     return key.view(np.int64)
 
 
+def bitmap(elements: np.ndarray) -> np.ndarray:
+    """A set's bits in BITMAP_WORDS words: an element whose bit another set lacks is not in that set."""
+    bits = np.zeros(64 * BITMAP_WORDS, np.uint8)
+    bits[(elements % np.uint64(len(bits))).astype(np.int64)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
 def _signed(shingle: int, slots: int, rows: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets_of, ids, sets, size = shingle_sets(shingle), [], [], 0
@@ -117,7 +126,8 @@ def _sets(shingle: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
                 found = [sets_of(t) for t in texts[at : at + 500]]
                 ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(ends, np.concatenate(found).view(np.int64))
-                yield pa.record_batch([docs[at : at + 500], lists], names=["doc", "shingles"])
+                maps = pa.ListArray.from_arrays(np.arange(len(found) + 1, dtype=np.int32) * BITMAP_WORDS, np.concatenate([bitmap(x) for x in found]))
+                yield pa.record_batch([docs[at : at + 500], lists, maps], names=["doc", "shingles", "bits"])
 
     return run
 
@@ -186,7 +196,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     first = _pairs(ranked.join(pivots, "key").where(F.col("doc") != F.col("pivot")).where(100 * least >= percent * most), "doc", "pivot")
 
     wanted = members.select("doc").distinct()
-    sets = saved(source.join(wanted, "doc", "left_semi").mapInArrow(_sets(shingle), "doc long, shingles array<long>"), "sets")
+    sets = saved(source.join(wanted, "doc", "left_semi").mapInArrow(_sets(shingle), "doc long, shingles array<long>, bits array<long>"), "sets")
     links = saved(_confirmed(first, sets, percent), "links")
     grouped = components(links)
 
@@ -207,21 +217,26 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
 def _apart(members: DataFrame, sets: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
     """Pairs of a bucket whose members lie in different components and may still be linked.
 
-    Shingles that no other class of the open buckets has cannot be shared, so the intersection is at
-    most the rest of either set; pairs that this bound rules out are not formed.
+    Elements whose bits the other set lacks cannot be shared, which bounds the intersection from
+    above; pairs that this bound rules out are not formed.  Others appear in their first common
+    bucket only.
     """
     placed = members.join(grouped, members["doc"] == grouped["node"], "left").select("key", "doc", "n", F.coalesce("component", "doc").alias("component"))
     sizes = placed.groupBy("key", "component").agg(F.count("*").alias("size"))
     several = sizes.groupBy("key").agg(F.max(F.struct("size", "component")).alias("main"), F.count("*").alias("groups")).where("groups > 1")
     inside = saved(placed.join(several, "key").select("key", "doc", "n", "component", F.col("main.component").alias("main")), "open")
-    exploded = sets.join(inside.select("doc").distinct(), "doc", "left_semi").select("doc", F.explode("shingles").alias("shingle"))
-    alone = exploded.groupBy("shingle").agg(F.count("*").alias("times"), F.min("doc").alias("doc")).where("times = 1")
-    own = alone.groupBy("doc").agg(F.count("*").alias("own"))
-    rest = F.col("n") - F.coalesce("own", F.lit(0))
-    able = saved(inside.join(own, "doc", "left").withColumn("rest", rest).where(100 * F.col("rest") >= percent * F.col("n")), "able")
-    strays = able.where("component <> main").select("key", *[F.col(c).alias(f"s_{c}") for c in ("doc", "n", "component", "rest")])
-    most = F.least("rest", "s_rest")
-    met = strays.join(able, "key").where((F.col("component") != F.col("s_component")) & _similar(most, F.col("n"), F.col("s_n"), percent))
+    words = [f"bits_{k}" for k in range(BITMAP_WORDS)]
+    own_keys = inside.groupBy("doc").agg(F.array_sort(F.collect_set("key")).alias("keys"))  # at most one per band
+    bits = sets.select("doc", *[F.col("bits")[k].alias(w) for k, w in enumerate(words)])
+    hidden = F.col("n") - sum((F.bit_count(w) for w in words), F.lit(0))  # elements that share their bit
+    able = saved(inside.join(own_keys.join(bits, "doc"), "doc").withColumn("hidden", hidden), "able")
+    strays = able.where("component <> main").select("key", *[F.col(c).alias(f"s_{c}") for c in ("doc", "n", "component", "keys", "hidden", *words)])
+    apart = (F.col("component") != F.col("s_component")) & ((F.col("component") == F.col("main")) | (F.col("doc") < F.col("s_doc")))
+    first = F.array_intersect("keys", "s_keys")[0] == F.col("key")
+    # The intersection is at most the common bits and the elements hidden behind them in either set.
+    common = sum((F.bit_count(F.col(w).bitwiseAND(F.col(f"s_{w}"))) for w in words), F.least("hidden", "s_hidden"))
+    possible = (100 + percent) * common >= percent * (F.col("n") + F.col("s_n"))
+    met = strays.join(able, "key").where(apart & first & possible)
     return saved(_pairs(met, "doc", "s_doc"), "pairs")
 
 
