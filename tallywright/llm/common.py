@@ -102,9 +102,17 @@ def binary(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers byte by byte: all first bytes, then all second ones.  Bytes that hardly differ, as the
+    high ones of ids and of sorted hashes, then compress to nothing on their way."""
+    return np.ascontiguousarray(numbers.view(np.uint8).reshape(len(numbers), -1).T).tobytes() if len(numbers) else b""
+
+
 def unpacked(blobs, kind) -> np.ndarray:
-    """Binary values as one array."""
-    return np.frombuffer(b"".join(x for x in blobs.to_pylist() if x), kind)
+    """The numbers of packed values, one after the other."""
+    kind = np.dtype(kind)
+    parts = [np.frombuffer(b, np.uint8).reshape(kind.itemsize, -1).T for b in blobs.to_pylist() if b]
+    return np.ascontiguousarray(np.concatenate(parts)).view(kind).ravel() if parts else np.zeros(0, kind)
 
 
 def runs(*keys: np.ndarray) -> np.ndarray:

@@ -24,7 +24,7 @@ import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructType
 
-from tallywright.llm.common import binary, chars, cuts, mixed, parts, runs, unpacked, windows, word_codes
+from tallywright.llm.common import binary, chars, cuts, mixed, packed, parts, runs, unpacked, windows, word_codes
 
 # Periods and their perfect difference sets.
 COVERS = {1: (0,), 3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18)}
@@ -68,11 +68,11 @@ def _near(at: np.ndarray, codes: np.ndarray, length: int) -> np.ndarray:
     return np.flatnonzero(np.cumsum(edge[:n]) > 0)
 
 
-def _packed(bucket: np.ndarray, known: bool, docs: np.ndarray, keys: np.ndarray, keys2: np.ndarray) -> pa.RecordBatch:
-    """One row per bucket."""
-    order = np.argsort(bucket, kind="stable")
-    docs, keys, keys2 = docs[order], keys[order], keys2[order]
-    rows = [(b, docs[s].tobytes(), keys[s].tobytes(), keys2[s].tobytes()) for b, s in cuts(bucket[order])]
+def _packed(bucket: np.ndarray, docs: np.ndarray, keys: np.ndarray, keys2: np.ndarray | None = None, known: bool = False) -> pa.RecordBatch:
+    """One row per bucket.  What is known is sorted by document, so that its ids compress to nothing."""
+    order = np.lexsort((keys, docs, bucket)) if known else np.argsort(bucket, kind="stable")
+    docs, keys, keys2 = docs[order], keys[order], None if keys2 is None else keys2[order]
+    rows = [(b, packed(docs[s]), packed(keys[s]), b"" if keys2 is None else packed(keys2[s])) for b, s in cuts(bucket[order])]
     buckets, *blobs = list(zip(*rows)) or [(), (), (), ()]
     columns = [pa.array(buckets, pa.int32()), pa.array([known] * len(rows), pa.bool_()), *(pa.array(b, pa.binary()) for b in blobs)]
     return pa.record_batch(columns, names=["bucket", "known", "docs", "keys", "keys2"])
@@ -99,9 +99,9 @@ def _send_anchors(docs: np.ndarray, keys: np.ndarray, buckets: int) -> Iterator[
     firsts, lasts, run = _groups(runs(keys))
     several = docs[firsts] != docs[lasts]
     sent = np.concatenate([firsts, lasts[several]])
-    yield _packed(_by_hash(keys[sent], buckets), False, docs[sent], keys[sent], np.zeros(len(sent), np.uint8))
+    yield _packed(_by_hash(keys[sent], buckets), docs[sent], keys[sent])
     known = several[run]
-    yield _packed(_by_doc(docs[known], buckets), True, docs[known], keys[known], np.zeros(int(known.sum()), np.uint8))
+    yield _packed(_by_doc(docs[known], buckets), docs[known], keys[known], known=True)
 
 
 def _send_windows(docs: np.ndarray, keys: np.ndarray, keys2: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
@@ -109,9 +109,9 @@ def _send_windows(docs: np.ndarray, keys: np.ndarray, keys2: np.ndarray, buckets
     order = np.lexsort((docs, keys2, keys))
     docs, keys, keys2 = docs[order], keys[order], keys2[order]
     firsts, _, run = _groups(runs(keys, keys2))
-    yield _packed(_by_hash(keys[firsts], buckets), False, docs[firsts], keys[firsts], keys2[firsts])
+    yield _packed(_by_hash(keys[firsts], buckets), docs[firsts], keys[firsts], keys2[firsts])
     known = docs > docs[firsts][run]
-    yield _packed(_by_doc(docs[known], buckets), True, docs[known], keys[known], keys2[known])
+    yield _packed(_by_doc(docs[known], buckets), docs[known], keys[known], known=True)
 
 
 def _marks(chunks: int, docs: np.ndarray, keys: np.ndarray) -> pa.Table:
@@ -121,7 +121,7 @@ def _marks(chunks: int, docs: np.ndarray, keys: np.ndarray) -> pa.Table:
     chunk, docs, keys = chunk[order], docs[order], keys[order]
     new = runs(docs, keys)
     chunk, docs, keys = chunk[new], docs[new], keys[new]
-    rows = [(c, docs[s].tobytes(), keys[s].tobytes()) for c, s in cuts(chunk)]
+    rows = [(c, packed(docs[s]), packed(keys[s])) for c, s in cuts(chunk)]
     numbers, *blobs = list(zip(*rows)) or [(), (), ()]
     return pa.table([pa.array(numbers, pa.int32()), *(pa.array(b, pa.binary()) for b in blobs)], names=["chunk", "docs", "keys"])
 
@@ -131,7 +131,7 @@ def _halves(table: pa.Table) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray,
     out = []
     for known in (False, True):
         part = table.filter(pa.compute.equal(table["known"], known))
-        out.append((unpacked(part["docs"], np.int64), unpacked(part["keys"], np.uint64), b"".join(part["keys2"].to_pylist())))
+        out.append((unpacked(part["docs"], np.int64), unpacked(part["keys"], np.uint64), unpacked(part["keys2"], np.uint32)))
     return tuple(out)
 
 
@@ -182,7 +182,10 @@ def remove_repeats(
         codes_of, docs_, keys_, size = word_codes(), [], [], 0
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), binary(batch.column(1))):
-                found = np.unique(_anchors(codes_of(text), length)[0])
+                codes = codes_of(text)
+                if len(codes) < length:
+                    continue
+                found = np.unique(_anchors(codes, length)[0])
                 docs_.append(np.full(len(found), doc, np.int64))
                 keys_.append(found)
                 size += len(found)
@@ -213,9 +216,11 @@ def remove_repeats(
             if not len(own):
                 continue
             codes = codes_of(text)
+            if len(codes) < length:
+                continue
             found, at = _anchors(codes, length)
             starts = _near(at[np.isin(found, own)], codes, length)
-            one, two = windows(codes, length)[starts], windows(codes, length, 1)[starts]
+            one, two = windows(codes, length)[starts], windows(codes, length, 1)[starts].astype(np.uint32)
             one, first = np.unique(one, return_index=True)
             docs_.append(np.full(len(one), doc, np.int64))
             keys_.append(one)
@@ -229,7 +234,6 @@ def remove_repeats(
 
     def owned(table: pa.Table) -> pa.Table:
         (doc, key, key2), (known_doc, known_key, _) = _halves(table)
-        key2 = np.frombuffer(key2, np.uint64)
         order = np.lexsort((doc, key2, key))
         doc, key, key2 = doc[order], key[order], key2[order]
         firsts, _, run = _groups(runs(key, key2))
