@@ -270,7 +270,7 @@ def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     chosen = labels.select(F.col(f"`{id_column}`").alias("id"), F.col("toxic").cast("int").alias("toxic")).where("toxic IN (0, 1) AND id IS NOT NULL")
     chosen = chosen.where(~held_out("id")).withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= fit_rows).select("id", "toxic")
     texts = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").cast("string").alias("text"))
-    sample = texts.join(chosen, "id").select("text", "toxic").persist()
+    sample = texts.join(F.broadcast(chosen), "id").select("text", "toxic").persist()  # two numbers for each of 2 * fit_rows
     try:
         stems = forgiven(sample, learn_stems(sample))
         rows = np.array([[r.toxic, *(r.features[f] for f in FEATURES)] for r in with_features(sample, ["toxic"], stems).collect()])
