@@ -21,9 +21,10 @@ ROUNDS = 8
 
 # What the kinds look like.
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+_NAMED = r"(?i:password|passwd|secret|token|api_key)\s{0,3}[=:]\s{0,3}\"?"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
-    "secret": r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])|(?<![A-Za-z])(?:password|passwd|secret|token|api_key)\s{0,3}[=:]\s{0,3}\"?[A-Za-z0-9_+/-]{8,200}",
+    "secret": rf"(?<![A-Za-z0-9])AKIA[0-9A-Z]{{16}}(?![A-Za-z0-9])|(?<![A-Za-z]){_NAMED}[A-Za-z0-9_+/-][A-Za-z0-9_+/.-]{{6,}}[A-Za-z0-9_+/-]",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "date": r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\w/-]|\.\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
@@ -63,11 +64,15 @@ def permuted_number(key: str, domain: str, value: Column, a: int, b: int) -> Col
     return F.transform(F.array(pair), lambda p: p["x"] * b + p["y"])[0]
 
 
-def _shifted(half: Column, digest: Column) -> Column:
-    """Each character moved within its class by two digits of the hash."""
+def _shifted(key: str, domain: str, half: Column, digest: Column) -> Column:
+    """Each character moved within its class by two digits of the hash; every 32 characters after the
+    first have a hash of their own.  Hashes are bound to variables, so each is computed once."""
+    further = lambda d, b: F.when(b == 0, d).otherwise(_keyed(key, domain, d, b))
+    blocks = lambda d: F.transform(F.sequence(F.lit(0), F.floor((F.length(half) - 1) / 32).cast("int")), lambda b: further(d, b))
 
-    def move(c: Column, at: Column) -> Column:
-        by = F.conv(F.substring(digest, (F.pmod(at, F.lit(32)) * 2 + 1).cast("int"), F.lit(2)), 16, 10).cast("int")
+    def move(hashes: Column, c: Column, at: Column) -> Column:
+        digits = F.get(hashes, F.floor(at / 32).cast("int"))
+        by = F.conv(F.substring(digits, (F.pmod(at, F.lit(32)) * 2 + 1).cast("int"), F.lit(2)), 16, 10).cast("int")
         code = F.ascii(c)
         out = c
         for first, size in (("0", 10), ("a", 26), ("A", 26)):
@@ -75,7 +80,9 @@ def _shifted(half: Column, digest: Column) -> Column:
             out = F.when(inside, F.char(ord(first) + F.pmod(code - ord(first) + by, F.lit(size)))).otherwise(out)
         return out
 
-    return F.when(half == "", half).otherwise(F.array_join(F.transform(F.split(half, ""), move), ""))
+    whole = lambda hashes: F.array_join(F.transform(F.split(half, ""), lambda c, at: move(hashes, c, at)), "")
+    bound = F.transform(F.transform(F.array(digest), blocks), whole)[0]
+    return F.when(half == "", half).otherwise(bound)
 
 
 def permuted_text(key: str, domain: str, value: Column) -> Column:
@@ -86,8 +93,8 @@ def permuted_text(key: str, domain: str, value: Column) -> Column:
         left, right = state["l"], state["r"]
         digest = _keyed(key, domain, k, F.length(value), F.when(k % 2 == 0, right).otherwise(left))
         return F.struct(
-            F.when(k % 2 == 0, _shifted(left, digest)).otherwise(left).alias("l"),
-            F.when(k % 2 == 1, _shifted(right, digest)).otherwise(right).alias("r"),
+            F.when(k % 2 == 0, _shifted(key, domain, left, digest)).otherwise(left).alias("l"),
+            F.when(k % 2 == 1, _shifted(key, domain, right, digest)).otherwise(right).alias("r"),
         )
 
     start = F.struct(F.substr(value, F.lit(1), cut).alias("l"), F.substr(value, cut + 1).alias("r"))
@@ -202,7 +209,7 @@ def _moved_email(key: str, value: Column) -> Column:
 
 
 def _moved_secret(key: str, value: Column) -> Column:
-    head = F.regexp_extract(value, r"^(?:AKIA|[a-z_]+\s*[=:]\s*\"?)", 0)
+    head = F.regexp_extract(value, rf"^(?:AKIA|{_NAMED})", 0)
     return F.concat(head, permuted_text(key, "secret", F.substr(value, F.length(head) + 1)))
 
 

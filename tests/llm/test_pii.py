@@ -145,6 +145,27 @@ def test_odd_texts_nulls_repeats_and_clashing_columns(spark, frame):
     assert pii.pseudonymise(frame([]), KEY).count() == 0
 
 
+def test_secrets_in_capitals_with_dots_and_of_any_length_are_moved_whole(spark, frame):
+    rng = random.Random(2)
+    some = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", k=n))
+    jwt = f"eyJhbGciOiJIUzI1NiJ9.{some(300)}.{some(43)}"
+    secrets = ["9233A8ECF7D1B0A4", some(12), some(12), some(201), some(20_000), jwt]
+    heads = ['TOKEN = "', "Password: ", "API_KEY=", "secret=", "passwd=", 'token = "']
+    rows = [(k, f'see {h}{v}{"." if k % 2 else chr(34)} End') for k, (h, v) in enumerate(zip(heads, secrets))]
+    got = [(r.text, r.private) for r in pii.pseudonymise(frame(rows), KEY).orderBy("doc_id").collect()]
+    for (k, text), h, v, (new, kinds) in zip(rows, heads, secrets, got):
+        moved_value = new[len("see " + h) : len("see " + h) + len(v)]
+        assert kinds == ["secret"] and new == text.replace(v, moved_value)
+        assert all(a != b for a, b in zip(v.split("."), moved_value.split("."))) and [len(x) for x in v.split(".")] == [len(x) for x in moved_value.split(".")]
+        assert not any(v[at : at + 8] in new for at in range(0, len(v) - 7, 4))
+
+
+def test_shifts_of_long_values_do_not_repeat(spark):
+    (out,) = moved(spark, "secret", ["token=" + "a" * 400])
+    value = out[len("token=") :]
+    assert len({value[at : at + 8] for at in range(0, 400, 8)}) == 50
+
+
 def test_no_python_in_the_plan(spark, sf):
     plan = queries.op3_pseudonyms(spark, sf)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
