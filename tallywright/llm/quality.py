@@ -33,6 +33,8 @@ MARGINS = {
     "repeats": (None, 0.4),  # share of words
     "word_length": (2.0, 4.0),
 }
+#: Measures alike in all languages: their fences are bounded by those of all documents too.
+SHARES = ("symbols", "dup_lines", "repeats")
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 
 _SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
@@ -100,10 +102,14 @@ def _group(name: str) -> Column:
     return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(""))
 
 
+def _base_failed(of: str) -> Column:
+    return (F.col(f"{of}.n_words") < 50) | (100 * F.col(f"{of}.n_repeat_words") > 50 * F.col(f"{of}.n_words"))
+
+
 def sketches(measured: DataFrame, lang_column: str, source_column: str, result: str = "quality") -> DataFrame:
-    """(lang, source, measure, bin, n): one sketch per group and measure, over all documents with words."""
+    """(lang, source, measure, bin, n): one sketch per group and measure, over all documents that pass the base."""
     pairs = F.explode(F.create_map(*[x for name, value in _measures(result).items() for x in (F.lit(name), value)])).alias("measure", "value")
-    rows = measured.where(F.col(f"{result}.n_words") > 0).select(_group(lang_column).alias("lang"), _group(source_column).alias("source"), pairs)
+    rows = measured.where(~_base_failed(result)).select(_group(lang_column).alias("lang"), _group(source_column).alias("source"), pairs)
     bin_ = F.when(F.col("value") < LEAST, F.floor(F.lit(math.log(LEAST, GAMMA))) - 1).otherwise(F.ceil(F.log("value") / math.log(GAMMA)))
     return rows.groupBy("lang", "source", "measure", bin_.cast("int").alias("bin")).agg(F.count("*").alias("n"))
 
@@ -119,26 +125,32 @@ def _quartiles(sketch: DataFrame, level: list[str]) -> DataFrame:
 
 
 def limits(sketch: DataFrame, least_rows: int = LEAST_ROWS) -> DataFrame:
-    """(lang, source) with a lower and an upper fence for each measure, where there is one."""
+    """(lang, source) with a lower and an upper fence for each measure, where there is one.
+
+    A group's fence is never wider than that of its language and, for SHARES, of all documents: a source
+    full of junk does not widen its own.
+    """
     own, lang, every = _quartiles(sketch, ["lang", "source"]), _quartiles(sketch, ["lang"]), _quartiles(sketch, [])
     named = lambda frame, prefix: frame.select(*[c for c in ("lang", "measure") if c in frame.columns], *[F.col(c).alias(f"{prefix}_{c}") for c in ("rows", "low", "high")])
     joined = own.join(named(lang, "lang"), ["lang", "measure"]).join(named(every, "every"), ["measure"])
     pick = lambda c: F.when(F.col("rows") >= least_rows, F.col(c)).when(F.col("lang_rows") >= least_rows, F.col(f"lang_{c}")).otherwise(F.col(f"every_{c}"))
-    found = joined.select("lang", "source", "measure", pick("low").alias("low"), pick("high").alias("high"))
-    spread = SPREAD * (F.col("high") - F.col("low"))
+    big = F.col("lang_rows") >= least_rows
+    levels = [(pick("low"), pick("high")), *[(F.when(when, F.col(f"{of}_low")), F.when(when, F.col(f"{of}_high"))) for of, when in (("lang", big), ("every", F.col("measure").isin(*SHARES)))]]
     fences = []
     for name, (below, above) in MARGINS.items():
         mine = F.col("measure") == name
+        reach = lambda low, high, margin: F.greatest(SPREAD * (high - low), F.lit(margin))
         if below is not None:
-            fences.append(F.max(F.when(mine, F.col("low") - F.greatest(spread, F.lit(below)))).alias(f"{name}_least"))
-        fences.append(F.max(F.when(mine, F.col("high") + F.greatest(spread, F.lit(above)))).alias(f"{name}_most"))
-    return found.groupBy("lang", "source").agg(*fences)
+            least = F.greatest(*[F.when(low.isNotNull(), low - reach(low, high, below)) for low, high in levels])
+            fences.append(F.max(F.when(mine, least)).alias(f"{name}_least"))
+        most = F.least(*[F.when(low.isNotNull(), high + reach(low, high, above)) for low, high in levels])
+        fences.append(F.max(F.when(mine, most)).alias(f"{name}_most"))
+    return joined.groupBy("lang", "source").agg(*fences)
 
 
 def judged(measured: DataFrame, limit: DataFrame, lang_column: str, source_column: str, result: str = "quality") -> DataFrame:
     """The rows with ``base_failed`` and ``kept`` added to the struct ``result``."""
-    q = lambda name: F.col(f"{result}.{name}")
-    base = (q("n_words") < 50) | (100 * q("n_repeat_words") > 50 * q("n_words"))
+    base = _base_failed(result)
     fenced = limit.select(F.col("lang").alias("__lang"), F.col("source").alias("__source"), F.struct(*[c for c in limit.columns if c not in ("lang", "source")]).alias("__limits"))
     rows = measured.join(fenced, (_group(lang_column) == F.col("__lang")) & (_group(source_column) == F.col("__source")), "left")
     out = F.lit(False)

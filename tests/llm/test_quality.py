@@ -100,3 +100,18 @@ def test_merged_sketches_equal_the_sketch_of_all(spark, sf):
     merged = halves.groupBy("lang", "source", "measure", "bin").sum("n").collect()
     assert sorted(map(tuple, merged)) == sorted(map(tuple, one(measured).collect()))
     measured.unpersist()
+
+
+def test_a_source_one_third_junk_does_not_keep_it(spark):
+    random.seed(5)
+    word = lambda: "".join(random.choices("abcdefgh", k=random.randint(3, 7)))
+    text = lambda mark, size=60: " ".join(word() + mark for _ in range(size))
+    rows = [(text(""), "en", source) for source in ("a", "b") for _ in range(200)]
+    rows += [(text("" if n % 3 else "#$%"), "en", "hot") for n in range(150)]
+    rows += [(text("x" * 15), "long", "a") for _ in range(120)]
+    rows += [(text("#$%", 20), "en", "a") for _ in range(150)]  # too short: fail the base
+    docs = spark.createDataFrame(rows, "text string, lang string, source string")
+    got = quality.judge_quality(docs).collect()
+    assert [r.quality.kept for r in got] == ["#" not in t for t, _, _ in rows]
+    counted = quality.sketches(quality.measure(docs, ["lang", "source"]), "lang", "source").where("measure = 'symbols'")
+    assert sum(r.n for r in counted.collect()) == len(rows) - 150
