@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywright.llm import ann, near_dup, packing, pieces, pii, quality, substrings, token_counts, toxicity, url_filter
+from tallywright.llm import ann, license_scan, near_dup, packing, pieces, pii, quality, substrings, token_counts, toxicity, url_filter
 from tallywright.llm.common import documents
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -75,6 +75,23 @@ def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = license_scan.scan(documents(spark, folder).select("doc_id", "text"))
+    matches = F.col("licenses.matches")
+    base = F.filter(matches, lambda m: m["base"])
+    starts = F.transform(base, lambda m: m["first_word"])
+    return found.select(
+        "doc_id",
+        "licenses.n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        license_scan.labels(base).alias("base_labels"),
+        license_scan.labels(matches).alias("labels"),
+        license_scan.best(matches).alias("score"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -88,6 +105,7 @@ QUERIES = {
         op8_packing,
         op9_sentencepiece,
         op10_near_duplicates,
+        op12_license_scan,
     )
 }
 SQL = {"op2_url_filter": url_filter.SQL, "op5_substring_dedup": substrings.SQL, "op10_near_duplicates": near_dup.SQL}
