@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywright.llm import ann, license_scan, near_dup, packing, pieces, pii, quality, substrings, token_counts, toxicity, url_filter
+from tallywright.llm import ann, license_scan, near_dup, packing, pieces, pii, prefix_trie, quality, substrings, token_counts, toxicity, url_filter
 from tallywright.llm.common import documents
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -92,6 +92,10 @@ def op12_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(spark.read.parquet(f"{folder}/conversations.parquet"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -106,6 +110,12 @@ QUERIES = {
         op9_sentencepiece,
         op10_near_duplicates,
         op12_license_scan,
+        op13_prefix_trie,
     )
 }
-SQL = {"op2_url_filter": url_filter.SQL, "op5_substring_dedup": substrings.SQL, "op10_near_duplicates": near_dup.SQL}
+SQL = {
+    "op2_url_filter": url_filter.SQL,
+    "op5_substring_dedup": substrings.SQL,
+    "op10_near_duplicates": near_dup.SQL,
+    "op13_prefix_trie": prefix_trie.SQL,
+}
