@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallywright.llm import ann, license_scan, near_dup, packing, pieces, pii, prefix_trie, quality, substrings, token_counts, toxicity, url_filter
+from tallywright.llm import ann, license_scan, near_dup, packing, pieces, pii, prefix_trie, quality, substrings, token_counts, toxicity, url_filter, variants
 from tallywright.llm.common import documents
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -75,6 +75,10 @@ def op9_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.spelling_variants(documents(spark, folder), noise=199)
+
+
 def op12_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = license_scan.scan(documents(spark, folder).select("doc_id", "text"))
     matches = F.col("licenses.matches")
@@ -109,6 +113,7 @@ QUERIES = {
         op8_packing,
         op9_sentencepiece,
         op10_near_duplicates,
+        op11_spelling_variants,
         op12_license_scan,
         op13_prefix_trie,
     )
@@ -117,5 +122,6 @@ SQL = {
     "op2_url_filter": url_filter.SQL,
     "op5_substring_dedup": substrings.SQL,
     "op10_near_duplicates": near_dup.SQL,
+    "op11_spelling_variants": variants.SQL,
     "op13_prefix_trie": prefix_trie.SQL,
 }
