@@ -116,7 +116,7 @@ _BLOCKS = {
                l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice
         FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey
              LEFT JOIN customer ON c_custkey = o_custkey""",
-    "good": "SELECT * FROM raw WHERE order_id IS NOT NULL AND order_quantity IS NOT NULL",
+    "good": "SELECT * FROM raw WHERE order_id IS NOT NULL AND order_quantity IS NOT NULL AND order_date IS NOT NULL",
     "last_line": """
         SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY order_id ORDER BY l_linenumber DESC, l_shipdate DESC,
                l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC) AS rn FROM good) WHERE rn = 1""",

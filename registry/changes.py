@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from registry.base import Registry, sql_with
-from tallywright.operators import erp, windows
-from tallywright.sources import bindings, readers, sinks
+from tallywright.operators import erp, ingest, windows
+from tallywright.sources import bindings, quarantine, readers, sinks
 
 REGISTRY = Registry()
 
@@ -54,6 +54,25 @@ def keep_last_accounts(spark: SparkSession, folder: str) -> DataFrame:
     return lines.agg(F.count("*").alias("lines"), F.count("order_id").alias("with_key")).withColumn("orders", kept.scalar())
 
 
+def _export(spark: SparkSession, folder: str) -> DataFrame:
+    """A transaction export with unreadable cells."""
+    key = F.col("o_orderkey")
+    return bindings.table(spark, folder, "orders").select(
+        key.cast("string").alias("transaction_id"),
+        F.when(key % 7 == 0, F.concat(F.lit("1,"), key.cast("string"))).otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string")).alias("amount"),
+        F.when(key % 11 == 0, "43131").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("date"),
+        F.lit("4000").alias("account_code"),
+    )
+
+
+def _extract(spark: SparkSession, folder: str) -> DataFrame:
+    """An ERP extract with unreadable cells."""
+    key = F.col("VBELN").cast("long")
+    return bindings.erp_orders(spark, folder, "sap").withColumns(
+        {"AUDAT": F.when(key % 13 == 0, "2024-13-45").otherwise(F.col("AUDAT")), "NETWR": F.when(key % 5 == 0, "1,234.50").otherwise(F.col("NETWR"))}
+    )
+
+
 @REGISTRY.query(
     """
         SELECT CAST(o_orderkey AS VARCHAR) AS transaction_id, o_orderkey % 7 = 0 AS amount_unreadable, o_orderkey % 11 = 0 AS date_unreadable
@@ -61,14 +80,7 @@ def keep_last_accounts(spark: SparkSession, folder: str) -> DataFrame:
 )
 def export_rejects(spark: SparkSession, folder: str) -> DataFrame:
     """Cells of a transaction export that do not read."""
-    key = F.col("o_orderkey")
-    raw = bindings.table(spark, folder, "orders").select(
-        key.cast("string").alias("transaction_id"),
-        F.when(key % 7 == 0, F.concat(F.lit("1,"), key.cast("string"))).otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string")).alias("amount"),
-        F.when(key % 11 == 0, "43131").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("date"),
-        F.lit("4000").alias("account_code"),
-    )
-    typed = readers.typed_export(raw).where("amount_unreadable OR date_unreadable")
+    typed = readers.typed_export(_export(spark, folder)).where("amount_unreadable OR date_unreadable")
     return typed.select("transaction_id", "amount_unreadable", "date_unreadable")
 
 
@@ -80,8 +92,71 @@ def export_rejects(spark: SparkSession, folder: str) -> DataFrame:
     FROM orders WHERE o_orderkey % 13 = 0 OR o_orderkey % 5 = 0""")
 def erp_rejects(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of an ERP extract that do not convert."""
-    key = F.col("VBELN").cast("long")
-    extract = bindings.erp_orders(spark, folder, "sap").withColumns(
-        {"AUDAT": F.when(key % 13 == 0, "2024-13-45").otherwise(F.col("AUDAT")), "NETWR": F.when(key % 5 == 0, "1,234.50").otherwise(F.col("NETWR"))}
-    )
-    return erp.rejects(extract, "sap", "sales_orders", amounts_in_cents=True).select("order_id", "order_date", "sales", "reject_reason")
+    return erp.rejects(_extract(spark, folder), "sap", "sales_orders", amounts_in_cents=True).select("order_id", "order_date", "sales", "reject_reason")
+
+
+_FIRST, _LAST = "1996-01-01", "1999-12-31"
+
+
+def _split(spark: SparkSession, folder: str) -> dict[str, quarantine.Split]:
+    raw = bindings.raw_extract(spark, folder, product=False, customer=False)
+    return {
+        "raw": quarantine.split(raw, quarantine.raw_lines()),
+        "erp": quarantine.split(_extract(spark, folder), quarantine.erp_rows("sap", "sales_orders", _FIRST, _LAST, amounts_in_cents=True)),
+        "export": quarantine.split(_export(spark, folder), quarantine.export_rows),
+    }
+
+
+_OUTCOMES = f"""
+        outcomes AS (
+            SELECT 'raw' AS path, CASE WHEN order_id IS NULL OR order_quantity IS NULL OR order_date IS NULL THEN 'rejected' ELSE 'accepted' END AS outcome,
+                concat_ws('; ', CASE WHEN order_id IS NULL THEN 'order_id missing' END, CASE WHEN order_quantity IS NULL THEN 'order_quantity unreadable' END,
+                    CASE WHEN order_date IS NULL THEN 'order_date unreadable' END) AS reason FROM raw
+            UNION ALL
+            SELECT 'erp', CASE WHEN o_orderkey % 13 = 0 OR o_orderkey % 5 = 0 THEN 'rejected'
+                WHEN CAST(o_orderdate AS DATE) BETWEEN DATE '{_FIRST}' AND DATE '{_LAST}' THEN 'accepted' ELSE 'out_of_range' END,
+                concat_ws('; ', CASE WHEN o_orderkey % 13 = 0 THEN 'order_date unreadable' END, CASE WHEN o_orderkey % 5 = 0 THEN 'sales unreadable' END) FROM orders
+            UNION ALL
+            SELECT 'export', CASE WHEN o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 THEN 'rejected' ELSE 'accepted' END,
+                concat_ws('; ', CASE WHEN o_orderkey % 7 = 0 THEN 'amount unreadable' END, CASE WHEN o_orderkey % 11 = 0 THEN 'date unreadable' END) FROM orders)"""
+
+
+def _outcomes(body: str) -> str:
+    return sql_with("raw", body="").rstrip() + "," + _OUTCOMES + body
+
+
+@REGISTRY.query(
+    _outcomes("""
+        SELECT path, count(*) AS rows_in, count(*) FILTER (outcome = 'accepted') AS accepted, count(*) FILTER (outcome = 'rejected') AS rejected,
+            count(*) FILTER (outcome = 'out_of_range') AS out_of_range
+        FROM outcomes GROUP BY path""")
+)
+def quarantine_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """What became of the rows of a raw, an ERP and an export source, as counted while writing."""
+    told = [(path, p.counts.rows_in, p.counts.accepted, p.counts.rejected, p.counts.out_of_range) for path, p in _split(spark, folder).items()]
+    return spark.createDataFrame(told, "path string, rows_in long, accepted long, rejected long, out_of_range long")
+
+
+@REGISTRY.query(_outcomes("""
+        SELECT path, reason AS reject_reason, count(*) AS n_rows FROM outcomes WHERE outcome = 'rejected' GROUP BY ALL"""))
+def quarantine_reasons(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored rejects of the three paths by reason."""
+    parts = [quarantine.reasons(p).withColumn("path", F.lit(path)) for path, p in _split(spark, folder).items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@REGISTRY.query(
+    """
+    WITH priced AS (
+        SELECT CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_extendedprice AS DECIMAL(12,2)) AS price, (l_partkey + l_linenumber) % 9 = 0 AS missing, l_orderkey % 227 = 0 OR l_orderkey % 223 = 0 OR l_orderkey % 211 = 0 OR (l_partkey + l_linenumber) % 10 = 0 AND NOT (l_partkey + l_linenumber) % 9 = 0 AS bad
+        FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
+    SELECT product_id, CAST(((2 * CAST(SUM(price) FILTER (NOT missing) * 100 AS HUGEINT) * 10000 + COUNT(*) FILTER (NOT missing)) // (2 * COUNT(*) FILTER (NOT missing)) + 5000) // 10000 AS DOUBLE) / 100 AS product_price
+    FROM priced WHERE NOT bad GROUP BY product_id"""
+)
+def product_prices(spark: SparkSession, folder: str) -> DataFrame:
+    """Mean prices of a source with a price column of its own, some cells of which are empty or no number."""
+    raw = bindings.raw_extract(spark, folder, product=False, customer=False)
+    at = F.col("seq.l_partkey") + F.col("seq.l_linenumber")
+    cell = F.when(at % 9 == 0, "").when(at % 10 == 0, "on request").otherwise(F.col("Sales"))
+    lines = ingest.judged_lines(ingest.harmonise(raw.withColumn("Product Price", cell).drop("Sales")))
+    return ingest.build_products(ingest.accepted_lines(lines)).select("product_id", "product_price")

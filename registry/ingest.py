@@ -13,8 +13,7 @@ REGISTRY = Registry()
 
 
 def _good(spark: SparkSession, folder: str, **parts: bool) -> DataFrame:
-    good, _ = ingest.split_rejects(ingest.harmonise(bindings.raw_extract(spark, folder, **parts)))
-    return ingest.typed_lines(good)
+    return ingest.accepted_lines(ingest.judged_lines(ingest.harmonise(bindings.raw_extract(spark, folder, **parts))))
 
 
 _TEXT = """order_id, CASE WHEN order_date IS NULL THEN '99/99/9999' ELSE strftime(order_date, '%-m/%-d/%Y') || ' 0:00' END AS order_date,
@@ -32,12 +31,15 @@ def harmonise(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_REASONS = """concat_ws('; ', CASE WHEN order_id IS NULL THEN 'order_id missing' END, CASE WHEN order_quantity IS NULL THEN 'order_quantity unreadable' END,
+                   CASE WHEN order_date IS NULL THEN 'order_date unreadable' END)"""
+
+
 @REGISTRY.query(
-    sql_with("raw", body="""
+    sql_with("raw", body=f"""
         SELECT order_id, product_id, CAST(sales AS VARCHAR) AS sales, CASE WHEN order_quantity IS NULL THEN 'abc' ELSE CAST(l_quantity AS VARCHAR) END AS order_quantity,
-               CASE WHEN order_id IS NULL AND order_quantity IS NULL THEN 'order_id missing; order_quantity unreadable'
-                    WHEN order_id IS NULL THEN 'order_id missing' ELSE 'order_quantity unreadable' END AS reject_reason
-        FROM raw WHERE order_id IS NULL OR order_quantity IS NULL""")
+               {_REASONS} AS reject_reason
+        FROM raw WHERE order_id IS NULL OR order_quantity IS NULL OR order_date IS NULL""")
 )
 def ingest_rejects(spark: SparkSession, folder: str) -> DataFrame:
     _, rejects = ingest.split_rejects(ingest.harmonise(bindings.raw_extract(spark, folder, False, False)))

@@ -118,17 +118,6 @@ def convert_types(df: DataFrame, amounts_in_cents: bool = False) -> DataFrame:
     return df.withColumns(typed) if typed else df
 
 
-def rejects(df: DataFrame, system: str, table: str, extra: Extra | None = None, amounts_in_cents: bool = False) -> DataFrame:
-    """Rows of an extract with a date, amount or quantity that does not read: the mapped fields as
-    they came and ``reject_reason``, which names the fields at fault."""
-    told = apply_mapping(df, system, table, extra)
-    both = convert_types(told.withColumn("_told", F.struct(*told.columns)), amounts_in_cents)
-    came = {c: F.col(f"_told.{c}").cast("string") for c in told.columns}
-    lost = [F.when((F.trim(came[c]) != "") & F.col(c).isNull(), F.lit(f"{c} unreadable")) for c in told.columns]
-    reason = both.withColumn("reject_reason", F.concat_ws("; ", *lost)).where("reject_reason <> ''")
-    return reason.select("_told.*", "reject_reason")
-
-
 def map_status(df: DataFrame, system: str, column: str = "order_status") -> DataFrame:
     """Canonical status; an unknown code stays and is flagged in ``status_unmapped``."""
     codes = STATUS_MAPS[system]
@@ -148,3 +137,26 @@ def from_erp(
     """Mapping, types and, for orders, status codes in one go."""
     mapped = convert_types(apply_mapping(df, system, table, extra), amounts_in_cents)
     return map_status(mapped, system) if "order_status" in mapped.columns else mapped
+
+
+def judged(df: DataFrame, system: str, table: str, extra: Extra | None = None, amounts_in_cents: bool = False) -> DataFrame:
+    """All rows of an extract in canonical columns, types and status codes, with ``reject_reason`` (NULL
+    for rows that convert) and, for rejects, the mapped fields as they came in ``told``.
+
+    A row is rejected for a date, amount or quantity that does not read, and an order for lacking its id.
+    """
+    told = apply_mapping(df, system, table, extra)
+    both = convert_types(told.withColumn("_told", F.struct(*told.columns)), amounts_in_cents)
+    came = {c: F.col(f"_told.{c}").cast("string") for c in told.columns}
+    lost = [F.when((F.trim(came[c]) != "") & F.col(c).isNull(), F.lit(f"{c} unreadable")) for c in told.columns]
+    if table == "sales_orders" and "order_id" in came:
+        lost.insert(0, F.when(F.coalesce(F.trim(came["order_id"]), F.lit("")) == "", F.lit("order_id missing")))
+    marked = both.withColumn("reject_reason", F.nullif(F.concat_ws("; ", *lost), F.lit("")))
+    if "order_status" in told.columns:
+        marked = map_status(marked, system)
+    return marked.withColumn("told", F.when(F.col("reject_reason").isNotNull(), F.col("_told"))).drop("_told")
+
+
+def rejects(df: DataFrame, system: str, table: str, extra: Extra | None = None, amounts_in_cents: bool = False) -> DataFrame:
+    """The rejected rows of :func:`judged`: the mapped fields as they came and ``reject_reason``."""
+    return judged(df, system, table, extra, amounts_in_cents).where(F.col("reject_reason").isNotNull()).select("told.*", "reject_reason")

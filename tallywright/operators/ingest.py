@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallywright.functions import dates, money
@@ -46,6 +48,7 @@ WHOLE_COLUMNS = (
     "days_for_shipment_real",
     "late_delivery_risk",
 )
+DATE_COLUMNS = ("order_date", "shipping_date")
 DUE_AFTER_DAYS = 30
 
 
@@ -76,39 +79,80 @@ def harmonise(raw: DataFrame, aliases: dict[str, tuple[str, ...]] = ALIASES, seq
     return raw.select(*picked, key, *kept)
 
 
-def with_reject_reason(lines: DataFrame) -> DataFrame:
-    """Add ``reject_reason``: NULL for rows that convert, else the columns at fault."""
+def _conversions() -> dict[str, Column]:
+    """What the text columns become, without defaults."""
+    typed = {c: money.to_money(F.col(c)) for c in MONEY_COLUMNS}
+    typed |= {c: money.to_whole(F.col(c)) for c in WHOLE_COLUMNS}
+    typed |= {c: dates.parse_date(F.col(c)) for c in DATE_COLUMNS}
+    return typed | {"product_price": money.to_money(F.col("product_price"))}
+
 
-    def broken(name: str, converted: Column) -> Column:
-        return F.when(F.col(name).isNotNull() & converted.isNull(), F.lit(f"{name} unreadable"))
+def _converted(lines: DataFrame, lenient: Iterable[str] = ()) -> tuple[DataFrame, Column]:
+    """``lines`` with all conversions in ``_as``, and the reason to reject a row (NULL for none).
 
+    A one-element explode keeps every row, and what is built on its result stays above it; a plain
+    column would be copied into filters and projections, and all conversions run again.
+    """
+    typed = _conversions()
+    both = lines.withColumn("_as", F.explode(F.array(F.struct(*[value.alias(c) for c, value in typed.items()]))))
     problems = [F.when(F.col("order_id").isNull(), F.lit("order_id missing"))]
-    problems += [broken(c, money.to_money(F.col(c))) for c in MONEY_COLUMNS]
-    problems += [broken(c, money.to_whole(F.col(c))) for c in WHOLE_COLUMNS]
-    # A one-element explode keeps every row; a filter on its result stays above it, where
-    # a plain column would be copied into the filter and all conversions run again.
-    joined = F.explode(F.array(F.concat_ws("; ", *problems)))
-    return lines.withColumn("reject_reason", joined).withColumn("reject_reason", F.nullif("reject_reason", F.lit("")))
+    for column in typed:
+        lost = F.col(column).isNotNull() & F.col(f"_as.{column}").isNull()
+        if column == "product_price":  # where sales stand in for the price, they are named once
+            lost = lost & ~F.col(column).eqNullSafe(F.col("sales"))
+        if column not in lenient:
+            problems.append(F.when(lost, F.lit(f"{column} unreadable")))
+    return both, F.nullif(F.concat_ws("; ", *problems), F.lit(""))
+
 
+def with_reject_reason(lines: DataFrame, lenient: Iterable[str] = ()) -> DataFrame:
+    """Add ``reject_reason``: NULL for rows that convert, else the columns at fault.
 
-def split_rejects(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    A row lacks its order id, or holds an amount, number, price or date that does not read.  Columns
+    named in ``lenient`` are not judged; what does not read in them becomes NULL.
+    """
+    both, reason = _converted(lines, lenient)
+    return both.select(*lines.columns, reason.alias("reject_reason"))
+
+
+def split_rejects(lines: DataFrame, lenient: Iterable[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Rows that convert, and the others with their reason; together the whole input."""
-    marked = with_reject_reason(lines)
+    marked = with_reject_reason(lines, lenient)
     good = marked.where(F.col("reject_reason").isNull()).drop("reject_reason")
     return good, marked.where(F.col("reject_reason").isNotNull())
 
 
+def judged_lines(lines: DataFrame, lenient: Iterable[str] = ()) -> DataFrame:
+    """All harmonised rows, converted once: typed columns, ``reject_reason`` and, for rejects, the
+    texts as they came in ``told``."""
+    both, reason = _converted(lines, lenient)
+    marked = both.withColumn("reject_reason", reason)
+    told = F.when(F.col("reject_reason").isNotNull(), F.struct(*_conversions()))
+    return marked.withColumn("told", told).withColumns(_defaults(lambda c: F.col(f"_as.{c}"))).drop("_as")
+
+
+def accepted_lines(judged: DataFrame) -> DataFrame:
+    """The typed rows that convert."""
+    return judged.where(F.col("reject_reason").isNull()).drop("reject_reason", "told")
+
+
+def rejected_lines(judged: DataFrame) -> DataFrame:
+    """The other rows, as they came, with ``reject_reason``."""
+    texts = {c: F.col(f"told.{c}") for c in _conversions()}
+    return judged.where(F.col("reject_reason").isNotNull()).withColumns(texts).drop("told")
+
+
 def typed_lines(lines: DataFrame) -> DataFrame:
     """Harmonised text rows with their canonical types and defaults, one row per line."""
+    return lines.withColumns(_defaults(_conversions().__getitem__))
+
+
+def _defaults(value: Callable[[str], Column]) -> dict[str, Column]:
+    """Converted columns with 0 for missing amounts, quantities and flags.  A missing price stays
+    missing: it says nothing about a product's mean price."""
     zero = F.lit(0).cast(MONEY)
-    typed = {c: F.coalesce(money.to_money(F.col(c)), zero) for c in MONEY_COLUMNS}
-    typed["product_price"] = F.coalesce(money.to_money(F.col("product_price")), zero)
-    typed |= {c: money.to_whole(F.col(c)) for c in WHOLE_COLUMNS}
-    for defaulted in ("order_quantity", "late_delivery_risk"):
-        typed[defaulted] = F.coalesce(typed[defaulted], F.lit(0))
-    typed["order_date"] = dates.parse_date(F.col("order_date"))
-    typed["shipping_date"] = dates.parse_date(F.col("shipping_date"))
-    return lines.withColumns(typed)
+    whole = {c: F.coalesce(value(c), F.lit(0)) for c in ("order_quantity", "late_delivery_risk")}
+    return {c: value(c) for c in _conversions()} | {c: F.coalesce(value(c), zero) for c in MONEY_COLUMNS} | whole
 
 
 def _stamp(loaded_at: str | None) -> Column:

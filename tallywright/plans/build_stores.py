@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tallywright.operators import ingest
 from tallywright.schemas import STORES
-from tallywright.session import work_dir
-from tallywright.sources import catalog, readers, sinks
+from tallywright.sources import catalog, quarantine, readers, sinks
 
 
 @dataclass
@@ -20,6 +19,7 @@ class CanonicalTables:
     general_ledger: DataFrame
     accounts_receivable: DataFrame
     rejects: DataFrame
+    counts: quarantine.Counts | None = None
 
 
 def canonical_tables(
@@ -27,14 +27,13 @@ def canonical_tables(
 ) -> CanonicalTables:
     """All tables of one extract as lazy frames.
 
-    ``reuse`` writes the harmonised lines once to the shared folder (a reliable
-    checkpoint), so five writers do not parse the text five times.
+    ``reuse`` writes the judged lines once to the shared folder (:mod:`quarantine`), so five writers do
+    not parse the text five times, and checks that no line is lost on the way.
     """
-    lines = ingest.with_reject_reason(ingest.harmonise(raw))
-    if reuse:
-        work_dir(raw.sparkSession)
-        lines = lines.checkpoint()
-    good = ingest.typed_lines(lines.where(F.col("reject_reason").isNull()).drop("reject_reason"))
+    judge = quarantine.raw_lines()
+    parted = quarantine.split(raw, judge) if reuse else None
+    lines = parted.rows.drop(quarantine.OUTCOME) if parted else judge(raw)
+    good = ingest.accepted_lines(lines)
     numbered = ingest.numbered_lines(good)
     return CanonicalTables(
         products=ingest.build_products(good, loaded_at=loaded_at),
@@ -42,7 +41,8 @@ def canonical_tables(
         shipping_logs=ingest.build_shipping_logs(numbered, loaded_at=loaded_at),
         general_ledger=ingest.build_general_ledger(numbered, loaded_at=loaded_at),
         accounts_receivable=ingest.build_accounts_receivable(good, loaded_at=loaded_at),
-        rejects=lines.where(F.col("reject_reason").isNotNull()),
+        rejects=ingest.rejected_lines(lines),
+        counts=parted.counts if parted else None,
     )
 
 

@@ -215,7 +215,9 @@ def raw_extract(spark: SparkSession, folder: str, product: bool = True, customer
     orders = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority"
     )
-    rows = joins.join_to_unique(lines, orders, "l_orderkey")
+    # Two large tables: sorted by key on both sides at every size, which also deals the lines of a file
+    # with few row groups to all cores before their text is made and parsed.
+    rows = joins.join_to_unique(lines, orders.hint("merge"), "l_orderkey")
     if product:
         parts = table(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_type", "p_retailprice")
         rows = joins.join_to_unique(rows, parts, "l_partkey")
@@ -301,7 +303,7 @@ def ledger_feed(spark: SparkSession, folder: str) -> DataFrame:
     total = F.col("o_totalprice").cast(MONEY)
     number = F.col("l_linenumber")
     amount = F.when(number % 5 == 0, total + F.lit(1).cast(MONEY)).when(number % 7 == 0, total + F.lit("0.01").cast(MONEY)).otherwise(total)
-    return joins.join_to_unique(lines, orders, "l_orderkey").select(
+    return joins.join_to_unique(lines, orders.hint("merge"), "l_orderkey").select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("transaction_id"),
         F.when(key % 19 == 0, F.concat(F.lit("X"), key.cast("string"))).otherwise(key.cast("string")).alias("order_id"),
         amount.cast(MONEY).alias("amount"),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tallywright.operators import erp, filters, governance, ingest, quality
 from tallywright.plans import build_stores, export_check, full_audit, preprocess, sample_match, score_rules
 from tallywright.session import settings
-from tallywright.sources import catalog, readers, sinks
+from tallywright.sources import catalog, quarantine, readers, sinks
 
 HEAD = (
     "Order ID,order date (DateOrders),Customer ID, CUSTOMER NAME ,Customer Country,Product Card Id,Product Name,Category Name,"
@@ -46,18 +46,60 @@ def test_find_column_prefers_alias_order():
 def test_tables_of_a_raw_file(spark, raw_file):
     t = build_stores.canonical_tables(readers.read_raw(spark, raw_file))
     orders = {r.order_id: r for r in t.sales_orders.collect()}
-    assert set(orders) == {"1", "2", "4"}
+    assert set(orders) == {"1", "4"}
     assert (orders["1"].sales, orders["1"].product_name, orders["1"].late_delivery_risk) == (Decimal("30.00"), "Ring again", 1)
     assert (orders["1"].order_date, orders["1"].order_month) == (dt.date(2018, 1, 31), 1)
-    assert (orders["2"].order_date, orders["2"].customer_name, orders["2"].customer_country) == (None, None, None)
-    assert (orders["2"].order_quantity, orders["2"].profit, orders["2"].late_delivery_risk) == (0, Decimal("0.00"), 0)
     assert orders["4"].order_quantity == 3
-    assert t.shipping_logs.count() == 5
+    assert t.shipping_logs.count() == 4
     assert t.shipping_logs.where("shipping_date IS NOT NULL").count() == 0
     rejects = {r.reject_reason for r in t.rejects.collect()}
-    assert rejects == {"order_quantity unreadable", "order_id missing"}
+    assert rejects == {"order_quantity unreadable", "order_id missing", "order_date unreadable"}
     prices = {r.product_id: (r.product_name, r.product_price) for r in t.products.collect()}
-    assert prices == {"p1": ("Ring", Decimal("26.67")), "p2": ("Bolt", Decimal("40.00"))}
+    assert prices == {"p1": ("Ring", Decimal("20.00")), "p2": ("Bolt", Decimal("40.00"))}
+
+
+def test_lenient_columns_become_null(spark, raw_file):
+    """On request an unreadable date only empties its cell; missing cells get their defaults."""
+    lines = ingest.harmonise(readers.read_raw(spark, raw_file))
+    kept = {r.order_id: r for r in ingest.build_sales_orders(ingest.accepted_lines(ingest.judged_lines(lines, lenient=("order_date",)))).collect()}
+    assert set(kept) == {"1", "2", "4"}
+    two = kept["2"]
+    assert (two.order_date, two.customer_name, two.customer_country) == (None, None, None)
+    assert (two.order_quantity, two.profit, two.late_delivery_risk) == (0, Decimal("0.00"), 0)
+    good, bad = ingest.split_rejects(lines, lenient=("order_date",))
+    assert (good.count(), bad.count()) == (5, 2)
+
+
+def test_prices_that_do_not_read_are_rejected_and_missing_ones_not_counted(spark):
+    raw = spark.createDataFrame(
+        [("1", "p", "10.00", 0), ("2", "p", "abc", 1), ("3", "p", None, 2), ("4", "q", "", 3)], "OrderId string, ProductId string, price string, seq int"
+    )
+    judged = ingest.judged_lines(ingest.harmonise(raw))
+    prices = {r.product_id: r.product_price for r in ingest.build_products(ingest.accepted_lines(judged)).collect()}
+    assert prices == {"p": Decimal("10.00"), "q": None}
+    assert [(r.order_id, r.product_price, r.reject_reason) for r in ingest.rejected_lines(judged).collect()] == [("2", "abc", "product_price unreadable")]
+
+
+def test_split_proves_that_no_row_is_lost(spark, raw_file, tmp_path):
+    parted = quarantine.split(readers.read_raw(spark, raw_file), quarantine.raw_lines())
+    assert parted.counts == quarantine.Counts(7, 4, 3, 0) and parted.counts.whole
+    assert (parted.accepted.count(), parted.rejected.count()) == (4, 3)
+    assert {r.reject_reason: r.n_rows for r in quarantine.reasons(parted).collect()} == {"order_date unreadable": 1, "order_id missing": 1, "order_quantity unreadable": 1}
+    assert ingest.rejected_lines(parted.rejected).where("order_id = '2'").collect()[0].order_date == "99/99/9999"
+    with pytest.raises(quarantine.LostRows):
+        quarantine.split(readers.read_raw(spark, raw_file), lambda raw: quarantine.raw_lines()(raw.where("`Sales` <> '40.00'")))
+    erp_raw = spark.createDataFrame(
+        [("1", "20240105", "1"), ("2", "20240305", "1"), ("3", "2024-13-45", "x"), ("", "20240105", "1"), ("5", "20240105", "1,5")], "VBELN string, AUDAT string, NETWR string"
+    )
+    judge = quarantine.erp_rows("sap", "sales_orders", "2024-01-01", "2024-01-31")
+    parted = quarantine.split(erp_raw, judge)
+    assert parted.counts == quarantine.Counts(5, 1, 3, 1)
+    assert [r.order_id for r in readers.read_erp_extract(erp_raw, "sap", "sales_orders", "2024-01-01", "2024-01-31").collect()] == ["1"]
+    export = spark.createDataFrame([("t", "1", "2024-01-05", "x"), ("u", "1,2", "43131", "x"), ("v", None, None, None)], "transaction_id string, amount string, date string, account_code string")
+    parted = quarantine.split(export, quarantine.export_rows)
+    assert parted.counts == quarantine.Counts(3, 2, 1, 0)
+    row = parted.rejected.collect()[0]
+    assert (row.transaction_id, row.reject_reason, row.told.amount) == ("u", "amount unreadable; date unreadable", "1,2")
 
 
 def test_stored_ids_do_not_depend_on_files_or_splits(spark, tmp_path):
@@ -93,11 +135,11 @@ def test_ledger_balances(spark, raw_file):
     t = build_stores.canonical_tables(readers.read_raw(spark, raw_file))
     entries = t.general_ledger.collect()
     assert len({r.entry_id for r in entries}) == len(entries)
-    assert sum(r.credit_amount for r in entries) == Decimal("160.00")
+    assert sum(r.credit_amount for r in entries) == Decimal("120.00")
     second = [r for r in entries if r.credit_amount == Decimal("20.00") or r.debit_amount == Decimal("-10.00")]
     assert len(second) == 1  # profit above sales: no cost entry
     debits = {r.debit_amount for r in entries if r.account_code == "5000"}
-    assert debits == {Decimal("7.00"), Decimal("35.00"), Decimal("40.00"), Decimal("2060.00")}
+    assert debits == {Decimal("7.00"), Decimal("35.00"), Decimal("2060.00")}
 
 
 def test_payment_status(spark):
@@ -137,11 +179,11 @@ def test_stores_audit_and_rerun(stores, raw_file):
     counts = {r.table_name: r.row_count for r in build_stores.build(spark, raw_file, stamp).collect()}
     again = {r.table_name: r.row_count for r in build_stores.build(spark, raw_file, stamp).collect()}
     assert counts == again
-    assert counts["operations.sales_orders"] == 3 and counts["operations.rejected_lines"] == 2
-    assert counts["finance.accounts_receivable"] == 3 and counts["audit.audit_logs"] == 0
+    assert counts["operations.sales_orders"] == 2 and counts["operations.rejected_lines"] == 3
+    assert counts["finance.accounts_receivable"] == 2 and counts["audit.audit_logs"] == 0
 
     result = full_audit.run(spark, stamp)
-    # Order 1 is paid, order 2 outstanding, order 4 has a cancelled invoice.
+    # Order 1 is paid, order 2 is rejected for its date, order 4 has a cancelled invoice.
     assert result.summary.collect()[0].missing_in_fin == 1
     logged = spark.table("audit.audit_logs").count()
     assert logged == result.findings.count() > 0
@@ -171,7 +213,7 @@ def test_stores_audit_and_rerun(stores, raw_file):
         "SELECT o.order_id FROM sales_orders o JOIN finance.accounts_receivable a USING (order_id) WHERE o.sales > :floor",
         {"floor": 35},
     )
-    assert sorted(r.order_id for r in joined.collect()) == ["2", "4"]
+    assert sorted(r.order_id for r in joined.collect()) == ["4"]
     many = catalog.query_many(spark, {"operations": "SELECT 1 AS x", "audit": "SELECT count(*) AS n FROM audit_logs"})
     assert many["audit"].collect()[0].n == logged
     with pytest.raises(ValueError):
