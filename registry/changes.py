@@ -12,7 +12,7 @@ from tallywright.sources import bindings, quarantine, readers, sinks
 
 REGISTRY = Registry()
 
-_LIVE = """
+LIVE = """
     SELECT order_id, CAST(order_date AS VARCHAR) AS order_date, CAST(sales + CASE WHEN k % 10 = 0 THEN 5 ELSE 0 END AS DOUBLE) AS sales,
            CASE WHEN k % 10 = 0 THEN 'CHANGED' ELSE order_status END AS order_status
     FROM (SELECT *, CAST(order_id AS BIGINT) AS k FROM so) WHERE k % 7 <> 0"""
@@ -23,8 +23,9 @@ def _orders(spark: SparkSession, folder: str) -> DataFrame:
     return orders.withColumns({"k": F.col("order_id").cast("long"), "year": F.year("order_date")})
 
 
-def _changes(orders: DataFrame) -> list[DataFrame]:
+def order_changes(spark: SparkSession, folder: str) -> list[DataFrame]:
     """A first load; newer rows and, out of order, older ones; deletes followed by what came before them."""
+    orders = _orders(spark, folder)
     newer = orders.where("k % 10 = 0").withColumns({"sales": (F.col("sales") + 5).cast("decimal(18,2)"), "order_status": F.lit("CHANGED")})
     older = orders.where("k % 3 = 0").withColumn("order_status", F.lit("STALE"))
     gone = orders.where("k % 7 = 0")
@@ -32,11 +33,11 @@ def _changes(orders: DataFrame) -> list[DataFrame]:
     return [shape(orders, 1, "I"), shape(newer, 3, "U"), shape(older, 0, "U"), shape(gone, 5, "D"), shape(gone, 4, "U")]
 
 
-@REGISTRY.query(sql_with("so", body=_LIVE))
+@REGISTRY.query(sql_with("so", body=LIVE))
 def upsert_orders(spark: SparkSession, folder: str) -> DataFrame:
     """Orders after updates, late older changes and deletes, in a table partitioned by year."""
     name = f"tw_orders_{uuid.uuid4().hex}"
-    for change in _changes(_orders(spark, folder)):
+    for change in order_changes(spark, folder):
         sinks.upsert(change, name, "order_id", "seq", "year", F.col("op") == "D")
     return sinks.live(spark, name).drop("year", "op")
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from registry.base import STRICT, Registry, sql_with
 from tallywright.operators import audit_log, governance, ingest
+from tallywright.session import work_dir
 from tallywright.sources import bindings
+from tallywright.sources.append_log import AppendLog
 
 REGISTRY = Registry()
 AS_OF = "2001-08-01 00:00:00"
@@ -78,6 +81,20 @@ def findings_not_logged(spark: SparkSession, folder: str) -> DataFrame:
     return audit_log.not_yet_logged(found, log).select("log_id", "action")
 
 
+@REGISTRY.query(
+    _found_sql("""
+        SELECT sha256(rule || '|' || order_id || '|' || line) AS log_id, '2002-01-0' || (CAST(order_id AS BIGINT) % 3 + 1) AS day, rule AS action FROM found""")
+)
+def append_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Findings logged on three days, each day repeating all that was found before: a line keeps the day on
+    which it came first."""
+    found = _findings(spark, folder).select("log_id", "action", "entity_id")
+    log = AppendLog(spark, f"{work_dir(spark)}/log-{uuid.uuid4().hex}", "log_id", F.col("day"), prefixes=16)
+    for k in range(3):
+        log.append(found.where(F.col("entity_id").cast("long") % 3 <= k).withColumn("day", F.lit(f"2002-01-0{k + 1}")))
+    return log.read().select("log_id", "day", "action")
+
+
 @REGISTRY.query(
     _found_sql(f"""
     SELECT DISTINCT sha256('FLAG|' || rule || '|' || order_id) AS flag_id, '{AS_OF}' AS flag_date, rule AS risk_type, level AS severity,

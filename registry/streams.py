@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from registry.base import Registry, sql_with
-from tallywright.session import work_dir
+from registry.changes import LIVE, order_changes
+from tallywright.session import settings, work_dir
 from tallywright.sources import bindings
-from tallywright.streaming import monitors, reconcile, runner, sync
+from tallywright.sources.merge_table import MergeTable
+from tallywright.streaming import monitors, panes, reconcile, runner, sync
 
 REGISTRY = Registry()
 
@@ -59,6 +62,29 @@ def stream_auth_failures(spark: SparkSession, folder: str) -> DataFrame:
     return monitors.completed(closed, failed(_landed(spark, folder)), "ts", count, F.col("hour"), "1 hour")
 
 
+def _work(spark: SparkSession, name: str) -> str:
+    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _landings(frame: DataFrame, part: Column, folder: str, runs: int = 3) -> Iterator[DataFrame]:
+    """The frame as a stream that grows: part after part lands in a folder, and each time the stream
+    over the folder is handed out to be run up to there."""
+    for k in range(runs):
+        frame.where(part == k).write.mode("append").parquet(folder)
+        yield runner.read_files(frame.sparkSession, folder, frame.schema)
+
+
+def _panes(spark: SparkSession, folder: str) -> panes.PaneStore:
+    """Panes of all events, a third of which lands at a time."""
+    base = _work(spark, "panes")
+    store = panes.PaneStore(spark, f"{base}/store")
+    for stream in _landings(_landed(spark, folder), F.col("event_id") % 3, f"{base}/landing"):
+        with settings(spark, runner.stream_settings(spark.sparkContext.defaultParallelism)):
+            query = panes.run(store, stream, "ts", "user_id", "event_type", f"{base}/checkpoint")
+        query.awaitTermination()
+    return store
+
+
 @REGISTRY.query(
     """
     WITH w AS (SELECT date_trunc('hour', ts) - INTERVAL 1 HOUR * i AS window_start, user_id, event_type
@@ -69,10 +95,22 @@ def stream_auth_failures(spark: SparkSession, folder: str) -> DataFrame:
     HAVING COUNT(*) > 8"""
 )
 def stream_access(spark: SparkSession, folder: str) -> DataFrame:
-    named = lambda events: events.withColumn("user_id", F.col("user_id").cast("string"))
-    count = lambda log: monitors.access_counts(log, "ts", "user_id", "event_type", limit=8)
-    closed = _finish(count(named(_events(spark, folder))), "access")
-    return monitors.completed(closed, named(_landed(spark, folder)), "ts", count, F.col("window_start"), "1 day")
+    """Day-long windows as sums of hourly panes, over several micro-batches with late rows."""
+    return panes.busy_days(_panes(spark, folder).stored(), limit=8)
+
+
+@REGISTRY.query(
+    """
+    WITH marks AS (
+        SELECT e.*, (SELECT max(ts) FROM events AS b WHERE b.event_id % 3 < e.event_id % 3) - INTERVAL 1 DAY AS mark FROM events AS e)
+    SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS hour, CAST(COUNT(*) AS BIGINT) AS n,
+        CAST(COUNT(*) FILTER (date_trunc('hour', ts) + INTERVAL 1 HOUR <= mark) AS BIGINT) AS n_late
+    FROM marks GROUP BY date_trunc('hour', ts)
+    HAVING n_late > 0"""
+)
+def stream_late(spark: SparkSession, folder: str) -> DataFrame:
+    """Closed hours that rows behind the watermark have corrected."""
+    return panes.late_counts(_panes(spark, folder).stored())
 
 
 @REGISTRY.query(
@@ -82,11 +120,14 @@ def stream_access(spark: SparkSession, folder: str) -> DataFrame:
     HAVING COUNT(*) > 5"""
 )
 def stream_frequency(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders of several lines, every tenth delivered twice: each counts once."""
     # Day windows follow UTC: read the zone-free time as UTC whatever the session's zone.
     as_utc = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts")).cast("timestamp")
-    count = lambda orders: monitors.order_frequency(orders, "ts", "user_id", limit=5)
-    closed = _finish(count(_stream(spark, folder, "events").withColumn("ts", as_utc)), "frequency")
-    landed = bindings.table(spark, folder, "events").withColumn("ts", as_utc)
+    lines = F.explode(F.sequence(F.lit(1), F.when(F.col("event_id") % 10 == 0, 4).otherwise(1 + F.col("event_id") % 3).cast("int")))
+    count = lambda orders: monitors.order_frequency(orders, "ts", "user_id", limit=5, order="event_id")
+    shape = lambda events: events.withColumn("ts", as_utc).withColumn("line", lines)
+    closed = _finish(count(shape(_stream(spark, folder, "events"))), "frequency")
+    landed = shape(bindings.table(spark, folder, "events"))
     return monitors.completed(closed, landed, "ts", count, F.timestamp_seconds(F.unix_date("day") * 86_400), "1 day")
 
 
@@ -103,11 +144,19 @@ def stream_cdc(spark: SparkSession, folder: str) -> DataFrame:
     return sync.current_state(history, "user_id", "event_id", op="event_type", delete="error")
 
 
-def _reconciled(spark: SparkSession, folder: str) -> DataFrame:
-    orders = _stream(spark, folder, "orders")
-    ops = bindings.order_columns(orders).withColumn("customer_name", F.lit(None).cast("string"))
-    fin = bindings.invoice_columns(_stream(spark, folder, "orders"))
-    return _finish(reconcile.reconcile(ops, fin), "reconcile")
+def _reconciled(spark: SparkSession, folder: str) -> tuple[MergeTable, str]:
+    """Orders and invoices that land in three parts each, cut differently: most partners come apart."""
+    base = _work(spark, "reconcile")
+    table, checkpoint, corrections = MergeTable(spark, f"{base}/table", "order_id", buckets=16), f"{base}/checkpoint", f"{base}/corrections"
+    source = bindings.table(spark, folder, "orders")
+    key = F.col("o_orderkey")
+    both = zip(_landings(source, key % 3, f"{base}/orders"), _landings(source, F.floor(key / 3) % 3, f"{base}/invoices"))
+    for orders, invoices in both:
+        ops = bindings.order_columns(orders).withColumn("customer_name", F.lit(None).cast("string"))
+        with settings(spark, runner.stream_settings(spark.sparkContext.defaultParallelism)):
+            query = reconcile.correct(ops, bindings.invoice_columns(invoices), table, checkpoint, corrections)
+        query.awaitTermination()
+    return table, corrections
 
 
 @REGISTRY.query(
@@ -117,6 +166,33 @@ def _reconciled(spark: SparkSession, folder: str) -> DataFrame:
         FROM compared""")
 )
 def stream_reconcile(spark: SparkSession, folder: str) -> DataFrame:
-    orders, invoices = (shape(bindings.table(spark, folder, "orders")) for shape in (bindings.order_columns, bindings.invoice_columns))
-    orders = orders.withColumn("customer_name", F.lit(None).cast("string"))
-    return reconcile.completed(_reconciled(spark, folder), orders, invoices).drop("customer_name")
+    """The comparison as the stream leaves it after its last micro-batch; nothing is added in batch."""
+    return _reconciled(spark, folder)[0].read().drop("customer_name")
+
+
+@REGISTRY.query(
+    sql_with("compared", body="""
+        , parts AS (
+            SELECT *, CASE WHEN in_ops THEN k % 3 END AS o, CASE WHEN in_fin THEN (b // 3) % 3 END AS i
+            FROM (SELECT *, CAST(order_id AS BIGINT) AS k, CASE WHEN in_ops THEN CAST(order_id AS BIGINT) ELSE CAST(order_id AS BIGINT) - 100000000 END AS b FROM compared)),
+        early AS (SELECT order_id, least(o, i) AS batch, CASE WHEN i < o THEN 'FIN_ONLY' WHEN active THEN 'OPS_ONLY' ELSE 'EXCLUDED' END AS status FROM parts WHERE o <> i)
+        SELECT order_id, CAST(coalesce(greatest(o, i), o, i) AS INTEGER) AS batch, '+' AS op, status FROM parts
+        UNION ALL SELECT order_id, CAST(batch AS INTEGER), '+', status FROM early
+        UNION ALL SELECT early.order_id, CAST(greatest(o, i) AS INTEGER), '-', early.status FROM early JOIN parts ON parts.order_id = early.order_id""")
+)
+def stream_corrections(spark: SparkSession, folder: str) -> DataFrame:
+    """Orphans that the stream has told of and withdrawn, and what took their place."""
+    _, corrections = _reconciled(spark, folder)
+    return spark.read.parquet(corrections).select("order_id", "batch", "op", "status")
+
+
+@REGISTRY.query(sql_with("so", body=LIVE))
+def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders after changes that come out of order from a stream, deletes among them."""
+    base = _work(spark, "upserts")
+    table = MergeTable(spark, f"{base}/table", "order_id", buckets=16)
+    for change in order_changes(spark, folder):
+        change.write.mode("append").parquet(f"{base}/landing")
+        stream = runner.read_files(spark, f"{base}/landing", change.schema)
+        sync.upsert_stream(stream, table, "order_id", "seq", f"{base}/checkpoint", op="op").awaitTermination()
+    return table.read().drop("year", "op")

@@ -6,14 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tallywright.sources import sinks
+from tallywright.sources.append_log import AppendLog
 
 
-def log_stream(findings: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
-    """Append findings per micro-batch; a finding already logged is left out, also on replay."""
+def log_stream(findings: DataFrame, log: AppendLog | str, checkpoint: str) -> StreamingQuery:
+    """Append findings per micro-batch; a finding already logged is left out, also on replay.
 
-    def append(batch: DataFrame, _: int) -> None:
-        if not batch.isEmpty():
-            sinks.append_new(batch, table, "log_id")
+    An :class:`AppendLog` costs what the batch costs; a catalog table (its name) is read for its ids.
+    """
+
+    def append(batch: DataFrame, number: int) -> None:
+        if batch.isEmpty():
+            return
+        if isinstance(log, AppendLog):
+            log.append(batch, (checkpoint, number))
+        else:
+            sinks.append_new(batch, log, "log_id")
 
     return (
         findings.writeStream.foreachBatch(append)

@@ -74,13 +74,19 @@ def access_counts(
 
 
 def order_frequency(
-    orders: DataFrame, ts: str, customer: str, limit: int = DAILY_ORDER_LIMIT, lateness: str = LATENESS
+    orders: DataFrame, ts: str, customer: str, limit: int = DAILY_ORDER_LIMIT, lateness: str = LATENESS, order: str | None = None
 ) -> DataFrame:
-    """Customers above ``limit`` orders on one UTC day, with their level."""
+    """Customers above ``limit`` orders on one UTC day, with their level.
+
+    With ``order``, the id of an order, lines and replays of one order count once: the state keeps the
+    distinct ids of a customer's day until the watermark closes the day.
+    """
     utc_day = F.date_from_unix_date(F.floor(F.unix_seconds("w.start") / 86_400).cast("int"))
+    days = orders.withWatermark(ts, lateness).withColumn("w", F.window(ts, "1 day"))
+    if order:
+        days = days.dropDuplicates(["w", customer, order])
     return (
-        orders.withWatermark(ts, lateness)
-        .groupBy(F.window(ts, "1 day").alias("w"), F.col(customer).alias("customer"))
+        days.groupBy("w", F.col(customer).alias("customer"))
         .agg(F.count("*").alias("orders"))
         .where(F.col("orders") > limit)
         .select(

@@ -5,9 +5,11 @@ from __future__ import annotations
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tallywright.functions import money
 from tallywright.operators import joins, recon
+from tallywright.sources.merge_table import MergeTable
 
 LATENESS = "1 day"
 MATCH_WINDOW = "7 days"
@@ -66,10 +68,61 @@ def late_rows(source: DataFrame, seen: DataFrame, key: str = "order_id") -> Data
     return joins.anti_join(source, seen, key)
 
 
-def completed(closed: DataFrame, orders: DataFrame, invoices: DataFrame) -> DataFrame:
-    """The pairs a stream has matched, and the batch comparison of everything else: rows it still
-    waits for, and orphans whose partner came outside the stream's match window."""
-    pairs = closed.where("in_ops AND in_fin")
-    matched = pairs.select("order_id")
-    rest = recon.full(joins.anti_join(orders, matched, "order_id"), joins.anti_join(invoices, matched, "order_id"))
-    return pairs.unionByName(rest.select(*closed.columns))
+def known_so_far(orders: DataFrame, invoices: DataFrame, preset: str = "strict") -> DataFrame:
+    """Streams of orders and invoices as one: a row for each order id that a micro-batch touches, with all
+    that has come for it so far (for output mode "update").
+
+    The state is one narrow row per order id, in the state store; it is never given up, since an orphan's
+    partner may come at any later time.  A row that comes again changes nothing; of several different
+    ones for an id the greatest counts, in whatever order they come.  Rows without a key are left out.
+    """
+    ops = recon.full_ops(orders, preset).select("order_id", F.struct("order_date", "customer_name", "sales", "active").alias("ops"))
+    fin = recon.full_fin(invoices).select("order_id", F.struct("invoice_date", "invoice_amount", "live").alias("fin"))
+    both = ops.unionByName(fin, allowMissingColumns=True).where(F.col("order_id").isNotNull())
+    return both.groupBy("order_id").agg(F.max("ops").alias("ops"), F.max("fin").alias("fin"))
+
+
+def classified(
+    known: DataFrame, tolerance: Decimal = money.AMOUNT_TOLERANCE, tolerance_days: int = recon.DATE_TOLERANCE_DAYS
+) -> DataFrame:
+    """:func:`known_so_far` judged like the batch comparison."""
+    rows = known.select("order_id", "ops.*", "fin.*", F.col("ops").isNotNull().alias("_ops"), F.col("fin").isNotNull().alias("_fin"))
+    return recon.classify(rows, tolerance, tolerance_days)
+
+
+def correct(
+    orders: DataFrame,
+    invoices: DataFrame,
+    table: MergeTable,
+    checkpoint: str,
+    corrections: str | None = None,
+    preset: str = "strict",
+    tolerance: Decimal = money.AMOUNT_TOLERANCE,
+    tolerance_days: int = recon.DATE_TOLERANCE_DAYS,
+) -> StreamingQuery:
+    """Keep ``table`` equal to the full comparison of all orders and invoices that have come.
+
+    An order or invoice without a partner is an orphan at once, and withdrawn when its partner comes, however
+    late.  ``corrections`` is a folder for the history: what was withdrawn (op ``-``) and what took its
+    place (op ``+``), by micro-batch in ``batch``.  Both can be repeated: a batch is replaced, not added.
+    """
+
+    def apply(batch: DataFrame, number: int) -> None:
+        found = classified(batch, tolerance, tolerance_days)
+        now = F.struct(*found.columns)
+        if table.exists():
+            before = table.read().select("order_id", F.struct(*found.columns).alias("was"))
+            met = found.select("order_id", now.alias("now")).join(before, "order_id", "left")
+            met = met.where(~F.col("now").eqNullSafe(F.col("was"))).select("now", "was").persist()
+        else:
+            met = found.select(now.alias("now"), F.lit(None).cast(found.select(now.alias("x")).schema["x"].dataType).alias("was")).persist()
+        if corrections:
+            told = [F.when(F.col(side).isNotNull(), F.struct(F.lit(op).alias("op"), F.col(side).alias("row"))) for op, side in (("-", "was"), ("+", "now"))]
+            lines = met.select(F.explode(F.array_compact(F.array(*told))).alias("line")).select("line.row.*", "line.op")
+            lines.write.mode("overwrite").parquet(f"{corrections}/batch={number}")
+        table.upsert(met.select("now.*", F.lit(number).alias("_batch")), "_batch", batch=(checkpoint, number))
+        table.compact()
+        met.unpersist()
+
+    query = known_so_far(orders, invoices, preset).writeStream.outputMode("update").foreachBatch(apply)
+    return query.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -10,6 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tallywright.operators import erp, filters, windows
 from tallywright.sources import sinks
+from tallywright.sources.merge_table import MergeTable
 from tallywright.streaming import runner
 
 FULL_LOAD_DAYS = 30
@@ -66,7 +67,7 @@ def current_state(
 
 def upsert_stream(
     changes: DataFrame,
-    table: str,
+    table: MergeTable | str,
     key: str,
     seq: str,
     checkpoint: str,
@@ -74,12 +75,21 @@ def upsert_stream(
     op: str | None = None,
     delete: str = "D",
 ) -> StreamingQuery:
-    """Apply each micro-batch to a table in place, deletes (rows whose ``op`` says so) included;
-    replaying a batch or getting an older one changes nothing.  Read it with :func:`sinks.live`."""
+    """Apply each micro-batch to a table, deletes (rows whose ``op`` says so) included; replaying a batch
+    or getting an older one changes nothing.
+
+    A :class:`MergeTable` takes the changes as they are and is compacted where they pile up.  A
+    catalog table (its name; read it with :func:`sinks.live`) has its touched partitions rewritten.
+    """
 
-    def apply(batch: DataFrame, _: int) -> None:
-        if not batch.isEmpty():
-            gone = None if op is None else F.col(op) == delete
+    def apply(batch: DataFrame, number: int) -> None:
+        if batch.isEmpty():
+            return
+        gone = None if op is None else F.col(op) == delete
+        if isinstance(table, MergeTable):
+            table.upsert(batch, seq, gone, (checkpoint, number))
+            table.compact()
+        else:
             sinks.upsert(batch, table, key, seq, partition_by, gone)
 
     return (

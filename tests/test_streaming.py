@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from tallywright.operators import recon
 from tallywright.schemas import AUDIT_LOGS
 from tallywright.sources import sinks
-from tallywright.streaming import audit, monitors, reconcile, runner, sync
+from tallywright.sources.merge_table import MergeTable
+from tallywright.streaming import audit, monitors, panes, reconcile, runner, sync
 
 D = dt.date
 ORDERS = "order_id string, order_date date, sales decimal(18,2), customer_name string, order_status string"
@@ -144,3 +145,56 @@ def test_incremental_sync_reads_each_file_once(spark, tmp_path, rows):
     got = sync.incremental(*args, first_since=D(2024, 1, 1))
     assert rows(got, "order_id", "order_status") == [("1", "COMPLETE"), ("3", "CANCELED")]
     assert rows(sync.full_load(got, "order_date", D(2024, 2, 9), 30), "order_id") == [("1",), ("3",)]
+
+
+def test_orphans_are_withdrawn_however_late_the_partner_comes(spark, land, tmp_path, rows):
+    ten = Decimal("10.00")
+    table = MergeTable(spark, str(tmp_path / "table"), "order_id", buckets=2)
+
+    def run(orders, invoices):
+        query = reconcile.correct(land("o", orders, ORDERS), land("i", invoices, INVOICES), table, str(tmp_path / "cp"), str(tmp_path / "log"))
+        query.awaitTermination(120)
+        return {r.order_id: r.status for r in table.read().collect()}
+
+    order = lambda key, day: (key, D(2024, 1, day), ten, "n", "COMPLETE")
+    bill = lambda key, day, amount=ten: (key, D(2024, 1, day), amount, "Paid")
+    assert run([order("a", 1), order("b", 1), (None, D(2024, 1, 1), ten, "n", "COMPLETE")], [bill("b", 1), bill("c", 2)]) == {"a": "OPS_ONLY", "b": "OK", "c": "FIN_ONLY"}
+    assert run([order("c", 1), order("b", 1)], [(None, D(2024, 1, 1), ten, "Paid")]) == {"a": "OPS_ONLY", "b": "OK", "c": "OK"}
+    land("o", [order("z", 30)], ORDERS)
+    assert run([], [bill("a", 28, Decimal("11.00"))]) == {"a": "AMOUNT_MISMATCH", "b": "OK", "c": "OK", "z": "OPS_ONLY"}
+    log = spark.read.parquet(str(tmp_path / "log")).select("batch", "op", "order_id", "status")
+    assert rows(log) == sorted([
+        (0, "+", "a", "OPS_ONLY"), (0, "+", "b", "OK"), (0, "+", "c", "FIN_ONLY"), (1, "-", "c", "FIN_ONLY"), (1, "+", "c", "OK"),
+        (2, "-", "a", "OPS_ONLY"), (2, "+", "a", "AMOUNT_MISMATCH"), (2, "+", "z", "OPS_ONLY")], key=repr)
+    batch = recon.full(spark.read.schema(ORDERS).parquet(str(tmp_path / "o")).dropna(subset=["order_id"]).distinct(), spark.read.schema(INVOICES).parquet(str(tmp_path / "i")).dropna(subset=["order_id"]))
+    assert rows(table.read(), *sorted(batch.columns)) == rows(batch, *sorted(batch.columns))
+
+
+def test_orders_of_several_lines_count_once(land, tmp_path, rows):
+    data = [(k // 3, "u", "read", at(1, 5)) for k in range(18)] + [(k, "v", "read", at(1, 7)) for k in range(5)] + [(999, "end", "x", at(20))]
+    land("e", data, EVENTS)
+    stream = land("e", data, EVENTS)  # everything once more
+    found = finish(monitors.order_frequency(stream, "ts", "user", limit=4, order="event_id"), tmp_path, "freq")
+    assert rows(found) == [(D(2024, 1, 1), "u", 6, "LOW"), (D(2024, 1, 1), "v", 5, "LOW")]
+
+
+def test_panes_take_late_rows(spark, land, tmp_path, rows):
+    store = panes.PaneStore(spark, str(tmp_path / "store"))
+
+    def run(data):
+        panes.run(store, land("e", data, EVENTS), "ts", "user", "kind", str(tmp_path / "cp")).awaitTermination(120)
+
+    run([(k, "u", "read", at(1, 5)) for k in range(3)] + [(9, "u", "read", at(5))])
+    run([(20, "u", "write", at(1, 5)), (21, "v", "read", at(4, 23)), (22, None, "read", at(1, 6))])
+    found = panes.folded(store.stored())
+    assert rows(found.where("hour = '2024-01-01 05:00:00'")) == [(at(1, 5), "u", 4, ["read", "write"])]
+    assert rows(panes.late_counts(store.stored())) == [(at(1, 5), 4, 1), (at(1, 6), 1, 1)]
+    busy = panes.busy_days(store.stored(), limit=3)
+    assert busy.count() == 24 and rows(busy.select("auditor_id", "access_count", "entity_types").distinct()) == [("u", 4, 2)]
+    plan = busy._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
+    before = rows(panes.late_counts(store.stored()))
+    store.compact()
+    assert rows(panes.late_counts(store.stored())) == before
+    store.add(spark.createDataFrame([(1, "u", "x", at(9))], EVENTS), "ts", "user", "kind", 1)  # a repeated batch
+    assert rows(panes.late_counts(store.stored())) == before
