@@ -25,9 +25,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (five words, similarity 0.8), the one with the
     smallest id.  Repeated rows stay once; rows without an id stay."""
-    kept = near_dup.near_duplicates(docs, shingle=5, percent=80).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    known = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return known.select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    found = saved(near_dup.near_duplicates(docs, shingle=5, percent=80).select("doc_id", "kept").where("doc_id IS NOT NULL"), "kept")
+    # Ids that occur once, nearly all, need no comparison of texts.
+    ids = found.groupBy("doc_id").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("times")).where("kept")
+    once = docs.join(ids.where("times = 1"), "doc_id", "left_semi")
+    repeated = docs.join(ids.where("times > 1"), "doc_id", "left_semi").withColumn(_RESULT, F.sha2("text", 256)).dropDuplicates(["doc_id", _RESULT])
+    known = once.select(docs.columns).unionByName(repeated.select(docs.columns))
+    return known.unionByName(docs.where("doc_id IS NULL"))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

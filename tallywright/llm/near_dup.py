@@ -6,11 +6,12 @@ spread over all slots, which lowers the variance of the estimate below that of i
 and once every slot of a set holds a rank below j + 1, later draws cannot change it: large sets
 stop after two or three of the draws.
 
-Sets that are equal form a class, and only its smallest document goes on.  Classes that agree in a
-band share a bucket.  A bucket never emits its pairs: its members are compared with the member
-that lies most central (most company over all its buckets).  Confirmed links are grouped, and only
-members of a bucket that are still apart are compared further, unless their bitmaps of shingles
-already rule a link out.
+Sets that are equal form a class, which goes on as one.  Classes that agree in a band share a bucket.  A
+bucket never emits its pairs: its members are compared with the member that lies most central (most
+company over all its buckets).  Confirmed links are grouped.  Members of a bucket that are still apart
+afterwards meet by their rarest shingles: with all shingles in one order, rare ones first, two sets
+that are similar enough share one of the first few of both (a prefix filter).  So documents of one template
+that differ in words of their own never meet.
 """
 
 from __future__ import annotations
@@ -25,10 +26,13 @@ from tallywright.llm.common import binary, mixed, saved, windows, word_codes
 
 #: 32 bands of 4 of 128 slots miss a pair of similarity 0.8 with a probability of 5e-8.
 SLOTS, BAND_ROWS = 128, 4
-#: 64-bit words of a set's bitmap.
-BITMAP_WORDS = 32
-#: Elements a task draws for at a time (each keeps a permutation of SLOTS bytes).
+#: Elements a task draws for at a time (each keeps a permutation of SLOTS numbers); longer sets are cut.
 DRAWN_AT_ONCE = 100_000
+#: Cells in which shingles are counted to tell rare ones (a broadcast of 16 MB at most); shingles that
+#: share a cell only stand later in the order than they might.
+CELLS = 2**22
+#: Cells of a block, in which counts travel.
+BLOCK_CELLS = 2**14
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _SIGNED = "doc long, n long, key1 long, key2 long, bands array<long>"
@@ -78,11 +82,27 @@ def band_keys(signatures: np.ndarray, rows: int = BAND_ROWS) -> np.ndarray:
     return key.view(np.int64)
 
 
-def bitmap(elements: np.ndarray) -> np.ndarray:
-    """A set's bits in BITMAP_WORDS words: an element whose bit another set lacks is not in that set."""
-    bits = np.zeros(64 * BITMAP_WORDS, np.uint8)
-    bits[(elements % np.uint64(len(bits))).astype(np.int64)] = 1
-    return np.packbits(bits).view(np.int64)
+def signatures(elements: np.ndarray, owner: np.ndarray, sets: int, slots: int = SLOTS) -> np.ndarray:
+    """:func:`super_minhash` with bounded memory: a slot's smallest rank over the slices of a set."""
+    if len(elements) <= 2 * DRAWN_AT_ONCE:
+        return super_minhash(elements, owner, sets, slots)
+    best = np.full((sets, slots), np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(elements), DRAWN_AT_ONCE):
+        some = owner[at : at + DRAWN_AT_ONCE]
+        first, last = some[0], some[-1] + 1  # owners stand in order
+        part = super_minhash(elements[at : at + DRAWN_AT_ONCE], some - first, last - first, slots)
+        np.minimum(best[first:last], part, out=best[first:last])
+    return best
+
+
+def set_keys(elements: np.ndarray, owner: np.ndarray, sets: int) -> list[np.ndarray]:
+    """Two 64-bit hashes of each set, whatever the order of its elements."""
+    keys = []
+    for salt in (0x2545F4914F6CDD1D, 0x9FB21C651E98DF25):
+        total = np.zeros(sets, np.uint64)
+        np.add.at(total, owner, mixed(elements ^ np.uint64(salt)))
+        keys.append(total.view(np.int64))
+    return keys
 
 
 def _signed(shingle: int, slots: int, rows: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -93,13 +113,9 @@ def _signed(shingle: int, slots: int, rows: int) -> Callable[[Iterator[pa.Record
             n = np.array([len(s) for s in sets], np.int64)
             elements = np.concatenate(sets)
             owner = np.repeat(np.arange(len(sets)), n)
-            keys = band_keys(super_minhash(elements, owner, len(sets), slots), rows)
+            keys = band_keys(signatures(elements, owner, len(sets), slots), rows)
             bands = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, keys.shape[1], dtype=np.int32), keys.ravel())
-            sums = []
-            for salt in (0x2545F4914F6CDD1D, 0x9FB21C651E98DF25):
-                total = np.zeros(len(sets), np.uint64)
-                np.add.at(total, owner, mixed(elements ^ np.uint64(salt)))
-                sums.append(pa.array(total.view(np.int64)))
+            sums = [pa.array(key) for key in set_keys(elements, owner, len(sets))]
             return pa.record_batch([pa.array(ids, pa.int64()), pa.array(n), *sums, bands], names=["doc", "n", "key1", "key2", "bands"])
 
         for incoming in batches:
@@ -120,22 +136,32 @@ def _signed(shingle: int, slots: int, rows: int) -> Callable[[Iterator[pa.Record
 def _sets(shingle: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets_of = shingle_sets(shingle)
+
+        def batch(found: list[np.ndarray]) -> pa.RecordBatch:
+            sizes = [len(x) for x in found]
+            elements = np.concatenate(found)
+            keys = set_keys(elements, np.repeat(np.arange(len(found)), sizes), len(found))
+            lists = pa.ListArray.from_arrays(np.cumsum([0, *sizes]).astype(np.int32), elements.view(np.int64))
+            return pa.record_batch([*map(pa.array, keys), lists], names=["key1", "key2", "shingles"])
+
         for incoming in batches:
-            docs, texts = incoming.column(0), binary(incoming.column(1))
-            for at in range(0, len(texts), 500):
-                found = [sets_of(t) for t in texts[at : at + 500]]
-                ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(ends, np.concatenate(found).view(np.int64))
-                maps = pa.ListArray.from_arrays(np.arange(len(found) + 1, dtype=np.int32) * BITMAP_WORDS, np.concatenate([bitmap(x) for x in found]))
-                yield pa.record_batch([docs[at : at + 500], lists, maps], names=["doc", "shingles", "bits"])
+            found, size = [], 0
+            for text in binary(incoming.column(0)):
+                found.append(sets_of(text))
+                size += len(found[-1])
+                if size >= 10 * DRAWN_AT_ONCE or len(found) >= 500:
+                    yield batch(found)
+                    found, size = [], 0
+            if found:
+                yield batch(found)
 
     return run
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The (a, b) whose full sets are similar enough."""
-    one = sets.select(F.col("doc").alias("a"), F.col("shingles").alias("sa"))
-    two = sets.select(F.col("doc").alias("b"), F.col("shingles").alias("sb"))
+    one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
+    two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     shared = F.size(F.array_intersect("sa", "sb"))
     both = pairs.join(one, "a").join(two, "b")
     return both.where(_similar(shared, F.size("sa"), F.size("sb"), percent)).select("a", "b").distinct()
@@ -182,21 +208,22 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     """
     source = docs.select(F.col(f"`{id_column}`").cast("long").alias("doc"), F.col(f"`{text_column}`").cast("string").alias("text"))
     signed = saved(source.mapInArrow(_signed(shingle, SLOTS, BAND_ROWS), _SIGNED), "signatures")
-    classes = saved(
-        signed.where("n > 0 AND doc IS NOT NULL").groupBy("key1", "key2").agg(F.min(F.struct("doc", "n", "bands")).alias("x")).select("key1", "key2", "x.*"),
-        "classes",
-    )
+    equal = signed.where("n > 0 AND doc IS NOT NULL").groupBy("key1", "key2").agg(F.min(F.struct("doc", "n", "bands")).alias("x"))
+    classes = saved(equal.select("key1", "key2", "x.*", F.monotonically_increasing_id().alias("node")), "classes")
 
-    keys = classes.select("doc", "n", F.explode("bands").alias("key"))
+    keys = classes.select("node", "n", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("company")).where("company > 1")
     members = saved(keys.join(shared, "key"), "buckets")
-    ranked = members.join(members.groupBy("doc").agg(F.sum("company").alias("central")), "doc")
-    pivots = ranked.groupBy("key").agg(F.max(F.struct("central", "doc", "n")).alias("p")).select("key", F.col("p.doc").alias("pivot"), F.col("p.n").alias("pivot_n"))
+    ranked = members.join(members.groupBy("node").agg(F.sum("company").alias("central")), "node")
+    pivots = ranked.groupBy("key").agg(F.max(F.struct("central", "node", "n")).alias("p")).select("key", F.col("p.node").alias("pivot"), F.col("p.n").alias("pivot_n"))
     least, most = F.least("n", "pivot_n"), F.greatest("n", "pivot_n")
-    first = _pairs(ranked.join(pivots, "key").where(F.col("doc") != F.col("pivot")).where(100 * least >= percent * most), "doc", "pivot")
+    first = _pairs(ranked.join(pivots, "key").where(F.col("node") != F.col("pivot")).where(100 * least >= percent * most), "node", "pivot")
 
-    wanted = members.select("doc").distinct()
-    sets = saved(source.join(wanted, "doc", "left_semi").mapInArrow(_sets(shingle), "doc long, shingles array<long>, bits array<long>"), "sets")
+    # One set for each class that has company; rows that repeat an id or a text add nothing to it.
+    wanted = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "doc", "key1", "key2")
+    texts = source.join(wanted.select("doc").distinct(), "doc", "left_semi").select("text")
+    sets = texts.mapInArrow(_sets(shingle), "key1 long, key2 long, shingles array<long>").groupBy("key1", "key2").agg(F.first("shingles").alias("shingles"))
+    sets = saved(wanted.select("node", "key1", "key2").join(sets, ["key1", "key2"]).select("node", "shingles"), "sets")
     links = saved(_confirmed(first, sets, percent), "links")
     grouped = components(links)
 
@@ -206,38 +233,106 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
         if not links2.isEmpty():
             grouped = components(links.union(links2))
 
-    of_class = classes.select("key1", "key2", F.col("doc").alias("node")).join(grouped, "node", "left")
-    of_class = of_class.select("key1", "key2", F.coalesce("component", "node").alias("found"))
+    named = classes.select("key1", "key2", "doc", "node").join(grouped, "node", "left")
+    alone = named.where("component IS NULL").select("key1", "key2", F.col("doc").alias("found"))
+    together = named.where("component IS NOT NULL")
+    smallest = together.groupBy("component").agg(F.min("doc").alias("found"))
+    of_class = alone.unionByName(together.join(smallest, "component").select("key1", "key2", "found"))
     component = F.when(F.col("n") > 0, F.coalesce("found", "doc")).otherwise(F.col("doc"))
     out = signed.select("doc", "n", "key1", "key2").join(of_class, ["key1", "key2"], "left")
     out = out.select(F.col("doc").alias(id_column), F.col("n").alias("n_shingles"), F.when(F.col("doc").isNotNull(), component).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col(id_column) == F.col("component_id"), F.lit(True)))
 
 
+def cell(shingles: np.ndarray, cells: int) -> np.ndarray:
+    return (mixed(shingles.view(np.uint64)) % np.uint64(cells)).astype(np.int64)
+
+
+def counted(sets: DataFrame, cells: int) -> np.ndarray:
+    """In how many sets the shingles of a cell occur.  Tasks count in arrays of fixed size and send the
+    blocks that they touched; what comes together is as large as one such array."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(cells, np.int32)
+        for batch in batches:
+            at, n = np.unique(cell(batch.column(0).flatten().to_numpy(), cells), return_counts=True)
+            found[at] += n.astype(np.int32)
+        for block in np.flatnonzero(found.reshape(-1, BLOCK_CELLS).any(1)):
+            blob = found[block * BLOCK_CELLS : (block + 1) * BLOCK_CELLS].tobytes()
+            yield pa.record_batch([pa.array([block], pa.int64()), pa.array([blob], pa.binary())], names=["block", "counts"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, total = None, None
+        for batch in batches:
+            for at, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                counts = np.frombuffer(blob, np.int32).astype(np.int64)
+                if at == block:
+                    total += counts
+                    continue
+                if block is not None:
+                    yield sent(block, total)
+                block, total = at, counts
+        if block is not None:
+            yield sent(block, total)
+
+    def sent(block: int, total: np.ndarray) -> pa.RecordBatch:
+        blob = np.minimum(total, np.iinfo(np.int32).max).astype(np.int32).tobytes()
+        return pa.record_batch([pa.array([block], pa.int64()), pa.array([blob], pa.binary())], names=["block", "counts"])
+
+    kind = "block long, counts binary"
+    blocks = sets.select("shingles").mapInArrow(count, kind).repartition("block").sortWithinPartitions("block").mapInArrow(merge, kind)
+    whole = np.zeros(cells, np.int32)
+    for row in blocks.toLocalIterator():  # bounded by ``cells``
+        whole[row.block * BLOCK_CELLS : (row.block + 1) * BLOCK_CELLS] = np.frombuffer(row.counts, np.int32)
+    return whole
+
+
 def _apart(members: DataFrame, sets: DataFrame, grouped: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a bucket whose members lie in different components and may still be linked.
+    """Pairs of different components that may still be linked, among the members of buckets that hold
+    several components.
 
-    Elements whose bits the other set lacks cannot be shared, which bounds the intersection from
-    above; pairs that this bound rules out are not formed.  Others appear in their first common
-    bucket only.
+    With the shingles of both sets in one order, take the first one that they share: whatever they share
+    stands at or behind it in both.  So it stands early, within the first (100 - percent) % of the longer
+    set and, as the union is no smaller than that set, even earlier in the shorter one.  Sets meet by
+    these shingles only, and where what stands behind is enough for a link.
     """
-    placed = members.join(grouped, members["doc"] == grouped["node"], "left").select("key", "doc", "n", F.coalesce("component", "doc").alias("component"))
-    sizes = placed.groupBy("key", "component").agg(F.count("*").alias("size"))
-    several = sizes.groupBy("key").agg(F.max(F.struct("size", "component")).alias("main"), F.count("*").alias("groups")).where("groups > 1")
-    inside = saved(placed.join(several, "key").select("key", "doc", "n", "component", F.col("main.component").alias("main")), "open")
-    words = [f"bits_{k}" for k in range(BITMAP_WORDS)]
-    own_keys = inside.groupBy("doc").agg(F.array_sort(F.collect_set("key")).alias("keys"))  # at most one per band
-    bits = sets.select("doc", *[F.col("bits")[k].alias(w) for k, w in enumerate(words)])
-    hidden = F.col("n") - sum((F.bit_count(w) for w in words), F.lit(0))  # elements that share their bit
-    able = saved(inside.join(own_keys.join(bits, "doc"), "doc").withColumn("hidden", hidden), "able")
-    strays = able.where("component <> main").select("key", *[F.col(c).alias(f"s_{c}") for c in ("doc", "n", "component", "keys", "hidden", *words)])
-    apart = (F.col("component") != F.col("s_component")) & ((F.col("component") == F.col("main")) | (F.col("doc") < F.col("s_doc")))
-    first = F.array_intersect("keys", "s_keys")[0] == F.col("key")
-    # The intersection is at most the common bits and the elements hidden behind them in either set.
-    common = sum((F.bit_count(F.col(w).bitwiseAND(F.col(f"s_{w}"))) for w in words), F.least("hidden", "s_hidden"))
-    possible = (100 + percent) * common >= percent * (F.col("n") + F.col("s_n"))
-    met = strays.join(able, "key").where(apart & first & possible)
-    return saved(_pairs(met, "doc", "s_doc"), "pairs")
+    placed = members.join(grouped, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    several = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
+    inside = placed.join(several, "key").select("node", "component").distinct()
+    open_sets = saved(sets.join(inside, "node").select("node", "component", "shingles"), "open")
+    cells = CELLS
+    counts = sets.sparkSession.sparkContext.broadcast(counted(open_sets, cells))
+
+    def early(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = counts.value
+        for batch in batches:
+            nodes, components_ = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            rows = []
+            for k, shingles in enumerate(batch.column(2)):
+                values = shingles.values.to_numpy()
+                n = len(values)
+                kept = n - -(-percent * n // 100) + 1  # the first shared one is among these
+                frequency = often[cell(values, cells)]
+                order = np.lexsort((values, frequency))[:kept]
+                # What only this set has is shared with none.
+                order, place = order[frequency[order] > 1], np.flatnonzero(frequency[order] > 1)
+                rows.append((np.full(len(order), nodes[k]), np.full(len(order), components_[k]), np.full(len(order), n), place, values[order]))
+            if rows:
+                columns = [pa.array(np.concatenate(x).astype(np.int64)) for x in zip(*rows)]
+                yield pa.record_batch(columns, names=["node", "component", "n", "place", "shingle"])
+
+    rows = saved(open_sets.mapInArrow(early, "node long, component long, n long, place long, shingle long"), "early")
+    # Shingles with one component only bring nobody together.
+    met = rows.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("shingle")
+    rows = rows.join(met, "shingle")
+    names = ("node", "component", "n", "place")
+    shorter = rows.where((100 + percent) * (F.col("n") - F.col("place")) >= 2 * percent * F.col("n"))
+    longer = rows.select("shingle", *[F.col(c).alias(f"l_{c}") for c in names])
+    behind = F.least(F.col("n") - F.col("place"), F.col("l_n") - F.col("l_place"))
+    enough = (100 + percent) * behind >= percent * (F.col("n") + F.col("l_n"))
+    ordered = (F.col("n") < F.col("l_n")) | ((F.col("n") == F.col("l_n")) & (F.col("node") < F.col("l_node")))
+    near = shorter.join(longer, "shingle").where(ordered & enough & (F.col("component") != F.col("l_component")))
+    return saved(_pairs(near, "node", "l_node"), "pairs")
 
 
 SQL = r"""

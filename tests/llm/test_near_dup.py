@@ -94,3 +94,50 @@ def test_components_of_a_long_path(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(200)] + [(500, 400), (400, 500), (7, 7)], "a long, b long")
     got = {r.node: r.component for r in near_dup.components(links).collect()}
     assert got == {k: 0 for k in range(201)} | {400: 400, 500: 400}
+
+
+def test_very_long_sets_are_drawn_in_slices(monkeypatch):
+    rng = np.random.default_rng(3)
+    sets = [rng.integers(0, 2**63, n, dtype=np.uint64) for n in (700, 3, 250, 0, 90)]
+    owner, elements = np.repeat(range(5), [len(s) for s in sets]), np.concatenate(sets)
+    whole = near_dup.super_minhash(elements, owner, 5)
+    monkeypatch.setattr(near_dup, "DRAWN_AT_ONCE", 100)
+    assert (near_dup.signatures(elements, owner, 5) == whole).all()
+
+
+def template(rng, words, own):
+    """A template's words with a share of own ones."""
+    return " ".join(f"own{rng.getrandbits(60)}" if rng.random() < own else w for w in words)
+
+
+def meetings(spark, monkeypatch, frame, rows):
+    """Pairs compared after the pivots, and the result."""
+    seen = []
+    confirmed = near_dup._confirmed
+    monkeypatch.setattr(near_dup, "_confirmed", lambda pairs, *a: seen.append(pairs.count()) or confirmed(pairs, *a))
+    got = near_dup.near_duplicates(frame(rows), 4, 80).collect()
+    return seen, {r.doc_id: r.component_id for r in got}
+
+
+def test_documents_of_one_template_do_not_all_meet(spark, monkeypatch, frame):
+    rng = random.Random(4)
+    words = [f"w{k}" for k in range(400)]
+    rows = [(k, template(rng, words, 0.04)) for k in range(60)]
+    seen, component = meetings(spark, monkeypatch, frame, rows)
+    assert component == {k: k for k in range(60)}
+    assert seen[0] <= 32 * 60 and sum(seen[1:]) < 60  # of 1,770 pairs: with pivots at most one a band, then hardly any
+
+
+def test_links_beyond_the_pivots_are_found(frame):
+    """Edits that put some members of a family just below the threshold to its centre."""
+    rng = random.Random(5)
+    words = [f"w{k}" for k in range(300)]
+    rows = [(k, template(rng, words, rng.choice([0.0, 0.01, 0.02, 0.03]))) for k in range(40)]
+    rows += [(100 + k, rows[k][1] + f" tail{k} more words here") for k in range(0, 40, 3)]
+    check(frame, rows)
+
+
+def test_rows_repeated_many_times(frame):
+    base = [f"w{k}" for k in range(120)]
+    two = [(1, " ".join(base)), (2, " ".join(base[:-3]))] * 40 + [(2, " ".join(base[:-2]))] * 5 + [(None, " ".join(base))] * 3
+    check(frame, two)
