@@ -13,19 +13,45 @@ within their classes (digit, small letter, capital letter).
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 ROUNDS = 8
 
+# Characters of an IBAN by country.
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BI": 27, "BR": 29, "BY": 28, "CH": 21, "CR": 22, "CY": 28, "CZ": 24,
+    "DE": 22, "DJ": 27, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FK": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27,
+    "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20,
+    "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MN": 20, "MR": 27, "MT": 31, "MU": 30, "NI": 28, "NL": 18, "NO": 15, "OM": 23, "PK": 24, "PL": 28,
+    "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "RU": 33, "SA": 24, "SC": 31, "SD": 18, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "SO": 23, "ST": 25, "SV": 28,
+    "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20, "YE": 30,
+}
+
+
+def _iban() -> str:
+    """IBANs, compact or in groups of four.  The country tells the length, so words that follow in capitals
+    are no part of it; other countries' codes take as many groups as there are."""
+    by_length: dict[int, list[str]] = {}
+    for land, length in IBAN_LENGTHS.items():
+        by_length.setdefault(length - 4, []).append(land)
+    known = []
+    for rest, lands in sorted(by_length.items()):
+        tail = f" ?[A-Z0-9]{{{rest % 4}}}" if rest % 4 else ""
+        known.append(rf"(?:{'|'.join(lands)})\d{{2}}(?: ?[A-Z0-9]{{4}}){{{rest // 4}}}{tail}")
+    other = rf"(?!{'|'.join(IBAN_LENGTHS)})[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?"
+    return rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}\d{{2}})(?:{'|'.join([*known, other])})(?![A-Za-z0-9])"
+
+
 # What the kinds look like.
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _NAMED = r"(?i:password|passwd|secret|token|api_key)\s{0,3}[=:]\s{0,3}\"?"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
     "secret": rf"(?<![A-Za-z0-9])AKIA[0-9A-Z]{{16}}(?![A-Za-z0-9])|(?<![A-Za-z]){_NAMED}[A-Za-z0-9_+/-][A-Za-z0-9_+/.-]{{6,}}[A-Za-z0-9_+/-]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": _iban(),
     "date": r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?![\w/-]|\.\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "ip": rf"(?<![\w.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\w|\.\d)",
@@ -38,8 +64,12 @@ _CALENDAR = (189, 773)
 
 
 def _keyed(key: str, *parts: Column | str) -> Column:
-    """Hex digits of a keyed hash."""
-    return F.sha2(F.concat_ws("|", F.lit(key), *[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts]), 256)
+    """Hex digits of an HMAC with SHA-256."""
+    secret = key.encode()
+    block = (hashlib.sha256(secret).digest() if len(secret) > 64 else secret).ljust(64, b"\0")
+    inner, outer = (F.lit(bytes(b ^ pad for b in block)) for pad in (0x36, 0x5C))
+    message = F.concat_ws("|", *[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts]).cast("binary")
+    return F.sha2(F.concat(outer, F.unhex(F.sha2(F.concat(inner, message), 256))), 256)
 
 
 def permuted_pair(key: str, domain: str, x: Column, y: Column, a: int, b: int) -> Column:
@@ -203,9 +233,22 @@ def _moved_iban(key: str, value: Column) -> Column:
     return F.transform(F.array(account), shown)[0]
 
 
-def _moved_email(key: str, value: Column) -> Column:
+def _cased(value: Column, like: Column) -> Column:
+    """The value with capitals where another of the same length has them."""
+    put = lambda c, old: F.when((F.ascii(old) >= 65) & (F.ascii(old) <= 90), F.upper(c)).otherwise(c)
+    return F.array_join(F.zip_with(F.split(value, ""), F.split(like, ""), put), "")
+
+
+def _moved_email(key: str, value: Column, domains: bool = False) -> Column:
+    """Names, and on request domains but for their last part, are permuted in small letters: spellings that
+    differ in capitals are one address."""
     local = F.substring_index(value, "@", 1)
-    return F.concat(permuted_text(key, "email", local), F.substr(value, F.length(local) + 1))
+    host = F.substr(value, F.length(local) + 2)
+    if domains:
+        top = F.substring_index(host, ".", -1)
+        front = F.substr(host, F.lit(1), F.length(host) - F.length(top) - 1)
+        host = F.concat(_cased(permuted_text(key, "domain", F.lower(front)), front), F.lit("."), top)
+    return F.concat(_cased(permuted_text(key, "email", F.lower(local)), local), F.lit("@"), host)
 
 
 def _moved_secret(key: str, value: Column) -> Column:
@@ -244,21 +287,22 @@ def kind_of(value: Column) -> Column:
     return kind
 
 
-def moved(key: str, kind: Column, value: Column) -> Column:
+def moved(key: str, kind: Column, value: Column, domains: bool = False) -> Column:
     """The pseudonym of a value of a kind; the value itself without one."""
     out = F.when(kind.isNull(), value)
     for name, move in _MOVED.items():
-        out = out.when(kind == name, move(key, value))
+        out = out.when(kind == name, move(key, value, domains) if name == "email" else move(key, value))
     return out
 
 
-def pseudonymise(docs: DataFrame, key: str, text_column: str = "text", result: str = "private") -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str, text_column: str = "text", result: str = "private", domains: bool = False) -> DataFrame:
     """All rows and columns of ``docs`` with the pseudonymised text, and an array ``result`` of the
     kinds found in it, in order.
 
     Texts without personal data come back unchanged, so do candidates that are not valid.  Null
     texts stay null, with an empty array.  Slash dates are month first.  Repeated rows are treated
-    alike.  A column named like ``result`` is replaced; names that begin with ``__`` are not free.
+    alike.  With ``domains`` the domains of addresses are moved as well.  A column named like ``result``
+    is replaced; names that begin with ``__`` are not free.
     """
     text = F.col(f"`{text_column}`").cast("string")
     source = docs.drop(result)
@@ -266,7 +310,7 @@ def pseudonymise(docs: DataFrame, key: str, text_column: str = "text", result: s
     some = F.size("__found") > 0
     none = F.array().cast("array<string>")
     kinds = found.withColumn("__kinds", F.when(some, F.transform("__found", kind_of)).otherwise(none))
-    new = kinds.withColumn("__new", F.when(some, F.zip_with("__found", "__kinds", lambda v, k: moved(key, k, v))).otherwise(none))
+    new = kinds.withColumn("__new", F.when(some, F.zip_with("__found", "__kinds", lambda v, k: moved(key, k, v, domains))).otherwise(none))
     between = new.withColumn("__between", F.when(some, F.split(text, ANY, -1)).otherwise(none))
     tail = F.zip_with("__new", F.slice("__between", F.lit(2), F.size("__found")), lambda value, after: F.concat(value, after))
     whole = F.when(some, F.concat(F.col("__between")[0], F.array_join(tail, ""))).otherwise(text)

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+import hmac
 import random
 import re
 
@@ -18,8 +19,12 @@ def moved(spark, kind, values, key=KEY):
     return [r.out for r in df.select("n", pii.moved(key, F.lit(kind), F.col("v")).alias("out")).orderBy("n").collect()]
 
 
-def number(*parts):
-    return int(hashlib.sha256("|".join(map(str, parts)).encode()).hexdigest()[:15], 16)
+def keyed(key, *parts):
+    return hmac.new(key.encode(), "|".join(map(str, parts)).encode(), hashlib.sha256)
+
+
+def number(key, *parts):
+    return int(keyed(key, *parts).hexdigest()[:15], 16)
 
 
 def pair_by_hand(key, domain, x, y, a, b):
@@ -35,7 +40,7 @@ def text_by_hand(key, domain, value):
     left, right = value[: len(value) // 2], value[len(value) // 2 :]
     for k in range(pii.ROUNDS):
         half, other = (left, right) if k % 2 == 0 else (right, left)
-        digest = hashlib.sha256(f"{key}|{domain}|{k}|{len(value)}|{other}".encode()).digest()
+        digest = keyed(key, domain, k, len(value), other).digest()
         out = ""
         for at, c in enumerate(half):
             first, size = next(((f, n) for f, n in (("0", 10), ("a", 26), ("A", 26)) if f <= c <= chr(ord(f) + n - 1)), (None, 0))
@@ -169,3 +174,52 @@ def test_shifts_of_long_values_do_not_repeat(spark):
 def test_no_python_in_the_plan(spark, sf):
     plan = queries.op3_pseudonyms(spark, sf)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_long_keys_are_hashed_first(spark):
+    key = "k" * 100
+    (got,) = moved(spark, "secret", ["token=abcdefgh1234"], key)
+    assert got == "token=" + text_by_hand(key, "secret", "abcdefgh1234")
+
+
+def mod97(iban):
+    return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
+
+
+def test_ibans_of_every_country_among_capitals(spark, frame):
+    """Whatever follows in capitals, and however the number is grouped."""
+    rng = random.Random(6)
+    ibans = []
+    for land, length in pii.IBAN_LENGTHS.items():
+        body = "".join(rng.choices("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ", k=length - 4))
+        ibans.append(next(f"{land}{n:02}{body}" for n in range(2, 99) if mod97(f"{land}{n:02}{body}") == 1))
+    grouped = [" ".join(i[k : k + 4] for k in range(0, len(i), 4)) for i in ibans]
+    texts = [f"PAY {x} PAID TODAY" for x in grouped] + [f"PAY {x} VAT NO 7" for x in ibans] + [f"to {x}, from" for x in grouped]
+    got = pii.pseudonymise(frame(list(enumerate(texts))), KEY).orderBy("doc_id").collect()
+    for k, (row, text) in enumerate(zip(got, texts)):
+        iban = ibans[k % len(ibans)]
+        shown = iban if len(ibans) <= k < 2 * len(ibans) else grouped[k % len(ibans)]
+        head, tail = text.split(shown)
+        new = row.text[len(head) : len(row.text) - len(tail)]
+        assert list(row.private) == ["iban"] and row.text == head + new + tail and new != shown
+        assert mod97(new.replace(" ", "")) == 1 and new[:2] == iban[:2] and [c == " " for c in new] == [c == " " for c in shown]
+    assert moved(spark, "iban", ibans) == [r.text[4 : 4 + len(i)] for r, i in zip(got[len(ibans) :], ibans)]
+
+
+def test_every_kind_in_texts_in_capitals(frame):
+    shown = ["BOB.SMITH@SMITHFAMILY.NET", "TOKEN = \"9233A8ECF7D1B0A4", "BE68 5390 0754 7034", "1980-02-29", "123-45-6789", "10.20.30.40", "+1 (366) 555-9807", "4041894974608795"]
+    rows = [(k, f"SEND {v} NOW TO 7 PEOPLE") for k, v in enumerate(shown)]
+    for row, value in zip(pii.pseudonymise(frame(rows), KEY).orderBy("doc_id").collect(), shown):
+        assert len(row.private) == 1 and value not in row.text and row.text.startswith("SEND ") and row.text.endswith(" NOW TO 7 PEOPLE")
+        assert row.text.upper() == row.text
+
+
+def test_spellings_of_an_address_stay_linked(spark):
+    spellings = ["bob.smith@smithfamily.net", "Bob.Smith@smithfamily.net", "BOB.SMITH@SmithFamily.NET"]
+    low, title, high = moved(spark, "email", spellings)
+    assert low == title.lower() == high.lower().replace("smithfamily.net", "smithfamily.net") and title == low.title().replace("Smithfamily.Net", "smithfamily.net")
+    assert low.endswith("@smithfamily.net") and low != spellings[0]
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(spellings)], "n int, v string")
+    whole = [r.out for r in df.select("n", pii.moved(KEY, F.lit("email"), F.col("v"), domains=True).alias("out")).orderBy("n").collect()]
+    assert len({w.lower() for w in whole}) == 1 and "smithfamily" not in whole[0].lower() and whole[0].split("@")[0] == low.split("@")[0]
+    assert whole[0].endswith(".net") and len(whole[0]) == len(spellings[0])
