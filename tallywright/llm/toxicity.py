@@ -8,20 +8,19 @@ judged by the words around it: inside quotation marks or beside words of reporti
 quoted, beside words of address as aimed at somebody.  A logistic model over these counts gives the
 score.
 
-Errors are only forgiven where that is safe: a stem whose misspellings turn up in other training
-documents too (because another common word is that close) must match exactly.
+Errors are only forgiven where that is safe: a misspelling that turns up in other training documents
+too (because a common word begins that way) is exempt, the stem's other misspellings count.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping, Set
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
-from pyspark.sql.window import Window
 
 from tallywright.llm.common import Memo
 
@@ -29,6 +28,8 @@ from tallywright.llm.common import Memo
 FIT_ROWS = 10_000
 #: A stem needs so many toxic documents and so many times the share of the others; at most so many stems.
 LEAST_DOCS, LIFT, MOST_STEMS = 5, 20.0, 2_000
+#: A root that is also found in other words needs this lift by documents, and this share of the toxic ones.
+ROOT_LIFT, ROOT_SHARE = 4.0, 0.03
 STEM_LETTERS = (4, 12)
 #: Words on each side of a hit that tell quotation from abuse, and the longest quotation in words.
 CONTEXT, QUOTE_WORDS = 6, 60
@@ -45,8 +46,8 @@ _EXACT, _CLOSE, _REPORTS, _ADDRESSES, _OPENS, _CLOSES = (1 << k for k in range(6
 FEATURES = ("hits", "close", "quoted", "aimed", "density")
 #: A misspelled hit counts as this part of an exact one until the documents tell otherwise.
 CLOSE_PART = 0.5
-#: Share of non-toxic documents in which a stem may be met with errors.
-STRAY = 0.001
+#: Stems of this length may have one letter replaced, longer ones errors of any kind.
+SHORT_STEM = 4
 
 
 def errors_allowed(stem: str) -> int:
@@ -80,7 +81,7 @@ class Automaton:
     def _fresh(self) -> None:
         self.numbers: dict[frozenset, int] = {}
         self.states: list[frozenset] = []
-        self.hits: list[tuple[int, str]] = []  # fewest errors with which a stem is complete in a state, or -1
+        self.hits_of: list[tuple[int, str]] = []  # fewest errors with which a stem is complete in a state, or -1
         self.steps: list[dict[str, int]] = []
         self.start = self._state({(0, 0)})
 
@@ -100,7 +101,7 @@ class Automaton:
             number = self.numbers[key] = len(self.states)
             self.states.append(key)
             self.steps.append({})
-            self.hits.append(min(((e, self.names[n]) for n, e in key if e <= self.ends[n]), default=(-1, "")))
+            self.hits_of.append(min(((e, self.names[n]) for n, e in key if e <= self.ends[n]), default=(-1, "")))
         return number
 
     def _step(self, state: int, letter: str) -> int:
@@ -126,7 +127,7 @@ class Automaton:
             state = self._step(state, letter) if after is None else after
             if not self.states[state]:
                 break
-            hit = self.hits[state]
+            hit = self.hits_of[state]
             if hit[0] == 0:
                 return hit
             if hit[0] > 0 and (found[0] < 0 or hit < found):
@@ -134,17 +135,52 @@ class Automaton:
         return found
 
 
+    def hits(self, word: str, exempt: Set[str] = frozenset()) -> Iterator[tuple[int, str, str]]:
+        """(errors, stem, beginning of the word that comes near it) of each beginning, up to an exact one.  After
+        an exempt beginning only an exact one counts."""
+        if len(self.states) > MOST_STATES:
+            self._fresh()
+        state, forgiving = self.start, True
+        for at, letter in enumerate(word, 1):
+            after = self.steps[state].get(letter)
+            state = self._step(state, letter) if after is None else after
+            if not self.states[state]:
+                return
+            errors, stem = self.hits_of[state]
+            forgiving = forgiving and word[:at] not in exempt
+            if errors == 0 or (errors > 0 and forgiving):
+                yield errors, stem, word[:at]
+            if errors == 0:
+                return
+
+
+def short_patterns(stems: Iterable[str]) -> dict[str, str]:
+    """Short stems by what is left when one letter is replaced."""
+    return {f"{s[:k]}\0{s[k + 1 :]}": s for s in sorted(stems) if len(s) == SHORT_STEM for k in range(SHORT_STEM)}
+
+
+def near_stem(automaton: Automaton, short: Mapping[str, str], word: str, exempt: Set[str] = frozenset()) -> tuple[int, str, str]:
+    """The fewest errors, the stem and the word's beginning that comes near it; -1 errors without one."""
+    best = min(automaton.hits(word, exempt), default=(-1, "", ""))
+    begin = word[:SHORT_STEM]
+    if best[0] < 0 and len(begin) == SHORT_STEM and begin not in exempt:
+        for k in range(SHORT_STEM):
+            if stem := short.get(f"{begin[:k]}\0{begin[k + 1 :]}"):
+                return 1, stem, begin
+    return best
+
+
 def plain(token: str) -> str:
     return token.strip(_STRIP).lower()
 
 
-def features(stems: Mapping[str, int]) -> Callable[[str | None], tuple[float, ...]]:
+def features(stems: Mapping[str, int], exempt: Set[str] = frozenset()) -> Callable[[str | None], tuple[float, ...]]:
     """A function from a text to its FEATURES."""
-    automaton, reporting, address = Automaton(stems), set(REPORTING), set(ADDRESS)
+    automaton, short, reporting, address = Automaton(stems), short_patterns(stems), set(REPORTING), set(ADDRESS)
 
     def look(token: str) -> int:
         word = plain(token)
-        errors = automaton.errors(word) if word else -1
+        errors = near_stem(automaton, short, word, exempt)[0] if word else -1
         code = _EXACT if errors == 0 else _CLOSE if errors > 0 else 0
         code |= _REPORTS * (word in reporting) | _ADDRESSES * (word in address)
         return code | _OPENS * (token[0] in OPENING) | _CLOSES * (token.rstrip(".,;:!?")[-1:] in tuple(CLOSING))
@@ -196,16 +232,29 @@ def learn_stems(labelled: DataFrame, text_column: str = "text") -> list[str]:
     most ten times MOST_STEMS of them, reach the driver.
     """
     least, most = STEM_LETTERS
-    sizes = {r.toxic: r.n for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    if not sizes.get(1) or not sizes.get(0):
-        return []
     row = labelled.select("toxic", F.monotonically_increasing_id().alias("row"), F.lower(F.col(f"`{text_column}`")).alias("text"))
-    words = row.select("toxic", "row", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"(\p{L}+)")))).alias("word")).where(F.length("word") >= least)
-    begins = words.select("toxic", "row", F.explode(F.transform(F.sequence(F.lit(least), F.least(F.length("word"), F.lit(most))), lambda n: F.substr("word", F.lit(1), n))).alias("stem"))
-    counted = begins.distinct().groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("other"))
-    lift = (F.col("toxic") / sizes[1]) / ((F.col("other") + 0.5) / sizes[0])
-    passed = counted.where((F.col("toxic") >= LEAST_DOCS) & (lift >= LIFT)).orderBy(F.desc("toxic"), "stem").limit(10 * MOST_STEMS)
-    return choose_stems({r.stem: r.toxic for r in passed.select("stem", "toxic").collect()})
+    words = row.select("toxic", "row", F.explode(F.regexp_extract_all("text", F.lit(r"(\p{L}+)"))).alias("word")).where(F.length("word") >= least)
+    words = words.groupBy("toxic", "row", "word").agg(F.count("*").alias("n")).persist()
+    try:
+        sizes = {r.toxic: r.n for r in words.groupBy("toxic").agg(F.sum("n").alias("n")).collect()}
+        if not sizes.get(1) or not sizes.get(0):
+            return []
+        docs = {r.toxic: r.n for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+        begins = words.select("toxic", "row", "n", F.explode(F.transform(F.sequence(F.lit(least), F.least(F.length("word"), F.lit(most))), lambda k: F.substr("word", F.lit(1), k))).alias("stem"))
+        in_docs = begins.groupBy("stem", "toxic", "row").agg(F.sum("n").alias("n"))
+        told = lambda kind, value: F.sum(F.when(F.col("toxic") == kind, value).otherwise(0))
+        counted = in_docs.groupBy("stem").agg(
+            *[told(kind, F.lit(1)).alias(name) for kind, name in ((1, "docs"), (0, "other_docs"))],
+            *[told(kind, F.col("n")).alias(name) for kind, name in ((1, "toxic"), (0, "other"))],
+        )
+        by_docs = (F.col("docs") / docs[1]) / ((F.col("other_docs") + 0.5) / docs[0])
+        by_occurrences = (F.col("toxic") / sizes[1]) / ((F.col("other") + 0.5) / sizes[0])
+        # A root that common words share is told by being repeated where it is abuse, in many documents.
+        root = (by_occurrences >= LIFT) & (by_docs >= ROOT_LIFT) & (F.col("docs") >= ROOT_SHARE * docs[1])
+        passed = counted.where((F.col("docs") >= LEAST_DOCS) & ((by_docs >= LIFT) | root)).orderBy(F.desc("docs"), "stem").limit(10 * MOST_STEMS)
+        return choose_stems({r.stem: r.docs for r in passed.select("stem", "docs").collect()})
+    finally:
+        words.unpersist()
 
 
 def choose_stems(found: dict[str, int]) -> list[str]:
@@ -224,33 +273,42 @@ def choose_stems(found: dict[str, int]) -> list[str]:
     return sorted(sorted(chosen, key=lambda s: (-found[s], s))[:MOST_STEMS])
 
 
-def forgiven(labelled: DataFrame, stems: list[str], text_column: str = "text") -> dict[str, int]:
-    """The errors allowed for each stem: none if it is met with errors in more than STRAY of the
-    non-toxic documents.  Counts of documents per stem reach the driver."""
-    first = {stem: errors_allowed(stem) for stem in stems}
-    shared = labelled.sparkSession.sparkContext.broadcast(first)
+def exempt_beginnings(labelled: DataFrame, stems: Mapping[str, int], text_column: str = "text") -> frozenset[str]:
+    """Beginnings of words that come near a stem but occur in other documents too: all that do not occur LIFT times
+    as often in toxic ones.  They come from the bounded sample and are misspellings of the stems, which
+    bounds what reaches the driver."""
+    shared = labelled.sparkSession.sparkContext.broadcast(dict(stems))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = Automaton(shared.value)
-        met = Memo(lambda token: automaton.match(plain(token)))
+        automaton, short = Automaton(shared.value), short_patterns(shared.value)
+
+        def look(token: str) -> tuple[str, ...]:
+            word = plain(token)
+            met = [*automaton.hits(word), near_stem(automaton, short, word)]
+            return () if any(errors == 0 for errors, _, _ in met) else tuple({begin for errors, _, begin in met if errors > 0})
+
+        met = Memo(look)
         for batch in batches:
-            found = [s for t in batch.column(0).to_pylist() for s in {s for e, s in map(met.__getitem__, set(t.split() if t else ())) if e > 0}]
-            yield pa.record_batch([pa.array(found, pa.string())], names=["stem"])
+            found = [(kind, begin) for kind, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for begin in {b for t in set(text.split() if text else ()) for b in met[t]}]
+            kinds, begins = zip(*found) if found else ((), ())
+            yield pa.record_batch([pa.array(kinds, pa.int32()), pa.array(begins, pa.string())], names=["toxic", "begin"])
 
-    other = labelled.where("toxic = 0")
-    strays = other.select(F.col(f"`{text_column}`").alias("text")).mapInArrow(run, "stem string").groupBy("stem").agg(F.count("*").alias("n")).collect()
-    most = STRAY * other.count()
-    return first | {r.stem: 0 for r in strays if r.n > most}
+    sizes = {r.toxic: r.n for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    near = labelled.select("toxic", F.col(f"`{text_column}`").alias("text")).mapInArrow(run, "toxic int, begin string")
+    counted = near.groupBy("begin").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("other"))
+    rare = F.col("toxic") / sizes.get(1, 1) < LIFT * F.col("other") / sizes.get(0, 1)
+    return frozenset(r.begin for r in counted.where((F.col("other") > 0) & rare).select("begin").collect())
 
 
-def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> list[float]:
-    """Weights of a logistic model, intercept first, by Newton steps."""
+def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, weights: np.ndarray | None = None) -> list[float]:
+    """Weights of a logistic model, intercept first, by Newton steps; rows count as often as ``weights`` say."""
+    times = np.ones(len(y)) if weights is None else weights
     x = np.hstack([np.ones((len(x), 1)), x])
     w = np.zeros(x.shape[1])
     keep = np.r_[0.01, np.full(x.shape[1] - 1, ridge)]
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -35, 35)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(keep), x.T @ (y - p) - keep * w)
+        step = np.linalg.solve((x * (times * p * (1 - p))[:, None]).T @ x + np.diag(keep), x.T @ (times * (y - p)) - keep * w)
         w += np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-9:
             break
@@ -262,35 +320,50 @@ def held_out(id_column: str, folds: int = 5):
     return F.coalesce(F.crc32(F.col(f"`{id_column}`").cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", fit_rows: int = FIT_ROWS) -> tuple[dict[str, int], list[float]]:
-    """(stems with their errors, weights) from at most ``fit_rows`` labelled documents of each class, those with the
-    smallest hashes of their ids, outside the held-out fold.  Labels other than 0 and 1 are left out.
-    Without documents of both classes there are no stems and the weights are the intercept of their share."""
-    rank = Window.partitionBy("toxic").orderBy(F.xxhash64("id"), "id")
-    chosen = labels.select(F.col(f"`{id_column}`").alias("id"), F.col("toxic").cast("int").alias("toxic")).where("toxic IN (0, 1) AND id IS NOT NULL")
-    chosen = chosen.where(~held_out("id")).withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= fit_rows).select("id", "toxic")
+def train(
+    docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", fit_rows: int = FIT_ROWS
+) -> tuple[dict[str, int], frozenset[str], list[float]]:
+    """(stems with their errors, exempt beginnings, weights) from at most ``fit_rows`` labelled documents of each
+    class, those with the smallest hashes of their ids, outside the held-out fold.
+
+    A class of which only a part is taken counts as much as all of it, so scores do not depend on the bound.
+    Labels other than 0 and 1 are left out; several rows of a label are one, and of several rows of an
+    id one is taken.  Without documents of both classes there are no stems and the weights are the
+    intercept of their share."""
+    known = labels.select(F.col(f"`{id_column}`").alias("id"), F.col("toxic").cast("int").alias("toxic")).where("toxic IN (0, 1) AND id IS NOT NULL")
+    known = known.where(~held_out("id")).distinct()
+    first = [known.where(F.col("toxic") == kind).orderBy(F.xxhash64("id"), "id").limit(fit_rows) for kind in (0, 1)]  # the first of each task, then of all
+    chosen = first[0].unionByName(first[1]).persist()
+    totals = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     texts = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").cast("string").alias("text"))
-    sample = texts.join(F.broadcast(chosen), "id").select("text", "toxic").persist()  # two numbers for each of 2 * fit_rows
+    sample = texts.join(F.broadcast(chosen), "id").groupBy("id", "toxic").agg(F.min("text").alias("text")).select("text", "toxic").persist()
     try:
-        stems = forgiven(sample, learn_stems(sample))
-        rows = np.array([[r.toxic, *(r.features[f] for f in FEATURES)] for r in with_features(sample, ["toxic"], stems).collect()])
+        stems = {stem: errors_allowed(stem) for stem in learn_stems(sample)}
+        exempt = exempt_beginnings(sample, stems)
+        rows = np.array([[r.toxic, *(r.features[f] for f in FEATURES)] for r in with_features(sample, ["toxic"], stems, exempt=exempt).collect()])
+        taken = {r.toxic: r.n for r in chosen.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     finally:
         sample.unpersist()
+        chosen.unpersist()
     if not len(rows) or len(set(rows[:, 0])) < 2:
-        return {}, [35.0 if len(rows) and rows[0, 0] else -35.0] + [0.0] * len(FEATURES)
-    return stems, fit(rows[:, 1:], rows[:, 0])
+        return {}, frozenset(), [35.0 if len(rows) and rows[0, 0] else -35.0] + [0.0] * len(FEATURES)
+    rows = rows[np.lexsort(rows.T)]  # whatever the order in which they came
+    weights = np.array([totals[k] / taken[k] for k in rows[:, 0].astype(int)])
+    return stems, exempt, fit(rows[:, 1:], rows[:, 0], weights=weights)
 
 
-def with_features(docs: DataFrame, carry: list[str], stems: Mapping[str, int], text_column: str = "text", result: str = "features") -> DataFrame:
+def with_features(
+    docs: DataFrame, carry: list[str], stems: Mapping[str, int], text_column: str = "text", result: str = "features", exempt: Set[str] = frozenset()
+) -> DataFrame:
     """The columns ``carry`` and a struct of FEATURES of every row; null texts are empty."""
-    shared = docs.sparkSession.sparkContext.broadcast(dict(stems))
+    shared = docs.sparkSession.sparkContext.broadcast((dict(stems), frozenset(exempt)))
     kept = docs.select(*[F.col(f"`{c}`") for c in carry if c != result], F.col(f"`{text_column}`").cast("string").alias("__text"))
     kind = StructType()
     for name in FEATURES:
         kind.add(name, "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = features(shared.value)
+        of = features(*shared.value)
         for batch in batches:
             rows = [of(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
             columns = [pa.array(c, pa.float64()) for c in zip(*rows)] or [pa.array([], pa.float64())] * len(FEATURES)
@@ -307,8 +380,8 @@ def score(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     alike; a null id is not held out and has no label.  Several labels of an id all count.  Other
     columns are not read.
     """
-    stems, weights = train(docs, labels, id_column, text_column)
-    scored = with_features(docs, [id_column], stems, text_column)
+    stems, exempt, weights = train(docs, labels, id_column, text_column)
+    scored = with_features(docs, [id_column], stems, text_column, exempt=exempt)
     linear = F.lit(weights[0])
     for name, weight in zip(FEATURES, weights[1:]):
         linear = linear + F.col(f"features.{name}") * weight

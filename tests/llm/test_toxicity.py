@@ -91,3 +91,89 @@ def test_quotations():
     assert of("the idiot left")[0] > 0
     assert of('he wrote the "idiot" left')[0] == 0 and of("an “utter idiot here” left")[2] > 0
     assert of("you are an idiot")[3] > 0 and of(None) == of("") == (0.0,) * 5
+
+
+def test_hits_of_beginnings_by_brute_force():
+    random.seed(2)
+    stems = {"abcde": 1, "badcafe": 1, "gabbagebc": 2, "face": 0, "dead": 0}
+    automaton, short = toxicity.Automaton(stems), toxicity.short_patterns(stems)
+    for _ in range(5000):
+        word = "".join(random.choices("abcdefg", k=random.randint(1, 11)))
+        if random.random() < 0.6:
+            word = "".join(c for c in random.choice([*stems]) if random.random() < 0.9) + random.choice(["", "g", "abc"])
+        distances = [(distance_to_beginning(s, word), n) for s, n in stems.items()] if word else []
+        want = min((e for e, n in distances if e <= n), default=-1)
+        if want < 0 and any(sum(a != b for a, b in zip(s, word[:4])) == 1 for s in ("face", "dead") if len(word) >= 4):
+            want = 1
+        assert toxicity.near_stem(automaton, short, word)[0] == want
+
+
+def test_exempt_beginnings_spare_only_themselves(spark):
+    """A clean word that begins like a misspelled stem switches off that misspelling, not the others."""
+    clean = [(f"oronal tea {k}", 0) for k in range(40)] + [("loses all", 0)] * 3
+    toxic = [(f"you moron loser scum {k}", 1) for k in range(30)] + [("m0ron", 1)]
+    sample = spark.createDataFrame(clean + toxic, "text string, toxic int")
+    stems = {s: toxicity.errors_allowed(s) for s in ("moron", "loser", "scum")}
+    exempt = toxicity.exempt_beginnings(sample, stems)
+    assert {"oron", "lose"} <= exempt and not exempt & {"m0ron", "moro", "mor0n", "l0ser"}
+    automaton, short = toxicity.Automaton(stems), toxicity.short_patterns(stems)
+    near = {w: toxicity.near_stem(automaton, short, w, exempt)[1] for w in "m0ron mor0n l0ser scvm scum! oronal loses moron loser seum cum".split()}
+    assert near == {"m0ron": "moron", "mor0n": "moron", "l0ser": "loser", "scvm": "scum", "scum!": "scum", "oronal": "", "loses": "", "moron": "moron", "loser": "loser", "seum": "scum", "cum": ""}
+
+
+def test_roots_are_learned_by_their_occurrences(spark):
+    """A root shared with common words: in every fifth clean document once, in toxic ones again and again."""
+    random.seed(5)
+    ends = ["ab", "cd", "ef", "gh", "ij", "kl", "mn", "op"]
+    word = lambda: "".join(random.choices("aeioutnrs", k=random.randint(3, 8)))
+    filler = lambda: [word() for _ in range(60)]
+    toxic = [(" ".join(filler() + [f"vrukl{random.choice(ends)}" for _ in range(8)]), 1) for _ in range(60)]
+    clean = [(" ".join(filler() + [f"vrukl{random.choice(ends)}"] * (k % 6 == 0)), 0) for k in range(240)]
+    stems = toxicity.learn_stems(spark.createDataFrame(toxic + clean, "text string, toxic int"))
+    assert "vrukl" in stems and not any(s.startswith("vrukl") and s != "vrukl" for s in stems)
+
+
+def test_scores_do_not_depend_on_the_bound_of_the_sample(spark, frame):
+    rows, labels = documents(spark)
+    docs = frame(rows)
+    *_, whole = toxicity.train(docs, labels)
+    *_, part = toxicity.train(docs, labels, fit_rows=100)  # all toxic ones, a third of the others
+    assert abs(whole[0] - part[0]) < 1.2
+
+
+def test_repeated_documents_and_labels_of_an_id_are_one(spark, frame):
+    rows, labels = documents(spark)
+    assert toxicity.train(frame(rows * 3), labels.unionByName(labels)) == toxicity.train(frame(rows), labels)
+
+
+def test_scores_by_hand(spark, frame):
+    """The score of every row from the trained parts, with features counted anew."""
+    import math
+
+    rows, labels = documents(spark)
+    rows = rows + [(1000, "blockhead said blokhead you numbskul! wretchfu"), (1001, 'a "wretchful blockhead" of numbskull rite')]
+    stems, exempt, weights = toxicity.train(frame(rows), labels)
+    got = {r.doc_id: r.score for r in toxicity.score(frame(rows), labels).collect()}
+    automaton, short = toxicity.Automaton(stems), toxicity.short_patterns(stems)
+    for doc, text in rows:
+        tokens = text.split()
+        words = [t.strip(toxicity._STRIP).lower() for t in tokens]
+        quote, inside = False, []
+        for t in tokens:
+            opens, closes = t[0] in toxicity.OPENING and not quote, t.rstrip(".,;:!?")[-1:] in tuple(toxicity.CLOSING)
+            quote = quote or opens
+            inside.append(quote)
+            quote = quote and not closes
+        exact = close = quoted = aimed = 0
+        for at, word in enumerate(words):
+            errors = toxicity.near_stem(automaton, short, word, exempt)[0] if word else -1
+            if errors < 0:
+                continue
+            around = words[max(0, at - 6) : at + 7]
+            if inside[at] or set(around) & set(toxicity.REPORTING):
+                quoted += 1
+                continue
+            aimed += bool(set(around) & set(toxicity.ADDRESS))
+            exact, close = exact + (errors == 0), close + (errors > 0)
+        x = (math.log1p(exact + 0.5 * close), math.log1p(close), math.log1p(quoted), math.log1p(aimed), min(1.0, 10 * (exact + close) / len(tokens)))
+        assert abs(got[doc] - 1 / (1 + math.exp(-weights[0] - sum(w * v for w, v in zip(weights[1:], x))))) < 1e-9
