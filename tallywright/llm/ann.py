@@ -11,7 +11,7 @@ and the walk must be long enough to reach RECALL of their true neighbours.
 Equal vectors are one entry that carries its smallest ids, so a vector shared by a third of all rows
 costs as much as any other.  Cells are grouped into blocks of about BLOCK entries (large cells are
 spread over several), queries go once to each block that holds visited cells, and a task compares at
-most a block with a chunk of queries.
+most a block with a chunk of queries; a block only travels to the chunks that visit it.
 """
 
 from __future__ import annotations
@@ -186,6 +186,12 @@ def _blocks(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, several
 
 
+def to_askers(blocks: DataFrame, sent: DataFrame) -> DataFrame:
+    """The entries of each block once for every chunk of queries that visits it, and for no other."""
+    asked = sent.select(F.col("block").alias("visited"), F.col("chunk").alias("of")).distinct()
+    return blocks.join(asked, F.col("block") == F.col("visited")).select("block", F.col("of").alias("chunk"), "cell", "vector", "ids")
+
+
 def search(vectors: DataFrame, is_query: Column, k: int = 10, id_column: str = "vec_id", vector_column: str = "embedding", visit: int | None = None) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id`` and ``score``: the k nearest found of each query row.
 
@@ -208,14 +214,12 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, id_column: str = "
     first, several = _blocks(plan["sizes"])
     shared = spark.sparkContext.broadcast((plan, first, several, wanted, chunks))
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, first, several, _, chunks = shared.value
+    def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, first, several, _, _ = shared.value
         for batch in batches:
             cells, entry = batch.column(1).to_numpy(), batch.column(0).to_numpy()
-            block = first[cells] + (entry % several[cells]).astype(np.int32)
-            for chunk in range(chunks):
-                both = [pa.array(block, pa.int32()), pa.array(np.full(len(block), chunk, np.int32))]
-                yield pa.record_batch([*both, batch.column(1), batch.column(2), batch.column(3)], names=["block", "chunk", "cell", "vector", "ids"])
+            number = first[cells] + (entry % several[cells]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(number, pa.int32()), *batch.columns[1:]], names=["block", "cell", "vector", "ids"])
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plan, first, several, wanted, chunks = shared.value
@@ -245,8 +249,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, id_column: str = "
         columns = list(zip(*out)) or [(), (), ()]
         return pa.table([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64())], names=["entry", "vec_id", "score"])
 
-    dealt = placed.select("entry", "cell", "vector", "ids").mapInArrow(deal, "block int, chunk int, cell int, vector array<double>, ids array<long>")
-    sent = queries.mapInArrow(ask, "block int, chunk int, entry long, vector array<double>, cells array<int>")
+    sent = saved(queries.mapInArrow(ask, "block int, chunk int, entry long, vector array<double>, cells array<int>"), "walks")
+    blocks = placed.select("entry", "cell", "vector", "ids").mapInArrow(block, "block int, cell int, vector array<double>, ids array<long>")
+    dealt = to_askers(blocks, sent)
     found = dealt.groupBy("block", "chunk").cogroup(sent.groupBy("block", "chunk")).applyInArrow(compare, "entry long, vec_id long, score double")
     nearest_first = lambda *by: Window.partitionBy(*by).orderBy("score", "vec_id")
     top = found.distinct().withColumn("rank", F.row_number().over(nearest_first("entry"))).where(F.col("rank") <= k + 1).drop("rank")

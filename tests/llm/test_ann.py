@@ -93,3 +93,22 @@ def test_walk_visits_cells_by_summed_distance():
         assert (np.diff((a[:, None] + b).ravel()[cells]) >= -1e-12).all()
         some = ann.walk(a, b, sizes, 5)
         assert cells[: len(some)] == some and (sizes[some].sum() >= 5 or len(some) == len(cells))
+
+
+def test_blocks_travel_only_to_chunks_that_visit_them(spark, monkeypatch):
+    """Clustered vectors, many chunks: few pairs of block and chunk are sent, and nothing is missed."""
+    monkeypatch.setattr(ann, "BLOCK", 64)
+    monkeypatch.setattr(ann, "CHUNK", 2)
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(20, 8)) * 50
+    rows = [(k, (centres[k % 20] + rng.normal(size=8)).tolist()) for k in range(2000)]
+    seen = []
+    to_askers = ann.to_askers
+    monkeypatch.setattr(ann, "to_askers", lambda blocks, sent: seen.append((blocks.count(), to_askers(blocks, sent).count(), sent.select("chunk").distinct().count(), sent.select("block", "chunk").distinct().count(), sent.count())) or to_askers(blocks, sent))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got, want = found(ann.search(df, F.col("vec_id") % 100 == 0, visit=200)), by_hand(rows)
+    ((entries, dealt, chunks, pairs, visits),) = seen
+    assert entries == 2000 and 5 < chunks <= 10 and pairs <= visits
+    assert dealt < 0.6 * entries * chunks
+    hits = {(q, v) for (q, _), (v, _) in got.items()} & {(q, v) for (q, _), (v, _) in want.items()}
+    assert len(hits) >= 0.95 * len(want)
