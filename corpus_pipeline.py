@@ -15,6 +15,8 @@ from tallywright.llm import near_dup, packing, pii, quality, queries, substrings
 from tallywright.llm.common import saved
 
 _RESULT = "__result"
+#: The session's setting that holds the key of the pseudonyms.
+KEY_SETTING = "tallywright.pseudonyms.key"
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,9 +43,11 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return _with_text(cut.withColumn("text", text), docs)
 
 
-def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with pseudonyms for personal data."""
-    return _with_text(pii.pseudonymise(docs, queries.KEY, result=_RESULT), docs)
+def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str, key: str | None = None) -> DataFrame:
+    """Texts with pseudonyms for personal data.  ``key`` is the secret of whoever runs the pipeline, or else what the
+    session names in KEY_SETTING; without either it is a known one that hides nothing from who knows it."""
+    key = key or spark.conf.get(KEY_SETTING, queries.KEY)
+    return _with_text(pii.pseudonymise(docs, key, result=_RESULT), docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
