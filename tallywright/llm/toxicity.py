@@ -154,20 +154,27 @@ class Automaton:
                 return
 
 
-def short_patterns(stems: Iterable[str]) -> dict[str, str]:
-    """Short stems by what is left when one letter is replaced."""
-    return {f"{s[:k]}\0{s[k + 1 :]}": s for s in sorted(stems) if len(s) == SHORT_STEM for k in range(SHORT_STEM)}
+def short_stems(stems: Iterable[str]) -> Callable[[str], str]:
+    """A function that gives the short stem that a word's beginning makes with one letter replaced, or ''."""
+    patterns = {(k, s[:k], s[k + 1 :]): s for s in sorted(stems) if len(s) == SHORT_STEM for k in range(SHORT_STEM)}
 
+    def look(begin: str) -> str:
+        return next((s for k in range(SHORT_STEM) if (s := patterns.get((k, begin[:k], begin[k + 1 :])))), "") if len(begin) == SHORT_STEM else ""
 
-def near_stem(automaton: Automaton, short: Mapping[str, str], word: str, exempt: Set[str] = frozenset()) -> tuple[int, str, str]:
+    return Memo(look).__getitem__ if patterns else lambda begin: ""
+
+
+def near_stem(automaton: Automaton, short: Callable[[str], str], word: str, exempt: Set[str] = frozenset()) -> tuple[int, str, str]:
     """The fewest errors, the stem and the word's beginning that comes near it; -1 errors without one."""
-    best = min(automaton.hits(word, exempt), default=(-1, "", ""))
+    errors, stem = automaton.match(word)
+    if errors == 0:
+        return 0, stem, word
+    if errors > 0 and (best := min(automaton.hits(word, exempt), default=None)):
+        return best
     begin = word[:SHORT_STEM]
-    if best[0] < 0 and len(begin) == SHORT_STEM and begin not in exempt:
-        for k in range(SHORT_STEM):
-            if stem := short.get(f"{begin[:k]}\0{begin[k + 1 :]}"):
-                return 1, stem, begin
-    return best
+    if (stem := short(begin)) and begin not in exempt:
+        return 1, stem, begin
+    return -1, "", ""
 
 
 def plain(token: str) -> str:
@@ -176,7 +183,7 @@ def plain(token: str) -> str:
 
 def features(stems: Mapping[str, int], exempt: Set[str] = frozenset()) -> Callable[[str | None], tuple[float, ...]]:
     """A function from a text to its FEATURES."""
-    automaton, short, reporting, address = Automaton(stems), short_patterns(stems), set(REPORTING), set(ADDRESS)
+    automaton, short, reporting, address = Automaton(stems), short_stems(stems), set(REPORTING), set(ADDRESS)
 
     def look(token: str) -> int:
         word = plain(token)
@@ -280,12 +287,12 @@ def exempt_beginnings(labelled: DataFrame, stems: Mapping[str, int], text_column
     shared = labelled.sparkSession.sparkContext.broadcast(dict(stems))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton, short = Automaton(shared.value), short_patterns(shared.value)
+        automaton, short = Automaton(shared.value), short_stems(shared.value)
 
         def look(token: str) -> tuple[str, ...]:
             word = plain(token)
-            met = [*automaton.hits(word), near_stem(automaton, short, word)]
-            return () if any(errors == 0 for errors, _, _ in met) else tuple({begin for errors, _, begin in met if errors > 0})
+            errors, _, begin = near_stem(automaton, short, word)
+            return () if errors <= 0 else tuple({begin, *(begin for _, _, begin in automaton.hits(word))})
 
         met = Memo(look)
         for batch in batches:

@@ -96,7 +96,7 @@ def test_quotations():
 def test_hits_of_beginnings_by_brute_force():
     random.seed(2)
     stems = {"abcde": 1, "badcafe": 1, "gabbagebc": 2, "face": 0, "dead": 0}
-    automaton, short = toxicity.Automaton(stems), toxicity.short_patterns(stems)
+    automaton, short = toxicity.Automaton(stems), toxicity.short_stems(stems)
     for _ in range(5000):
         word = "".join(random.choices("abcdefg", k=random.randint(1, 11)))
         if random.random() < 0.6:
@@ -116,7 +116,7 @@ def test_exempt_beginnings_spare_only_themselves(spark):
     stems = {s: toxicity.errors_allowed(s) for s in ("moron", "loser", "scum")}
     exempt = toxicity.exempt_beginnings(sample, stems)
     assert {"oron", "lose"} <= exempt and not exempt & {"m0ron", "moro", "mor0n", "l0ser"}
-    automaton, short = toxicity.Automaton(stems), toxicity.short_patterns(stems)
+    automaton, short = toxicity.Automaton(stems), toxicity.short_stems(stems)
     near = {w: toxicity.near_stem(automaton, short, w, exempt)[1] for w in "m0ron mor0n l0ser scvm scum! oronal loses moron loser seum cum".split()}
     assert near == {"m0ron": "moron", "mor0n": "moron", "l0ser": "loser", "scvm": "scum", "scum!": "scum", "oronal": "", "loses": "", "moron": "moron", "loser": "loser", "seum": "scum", "cum": ""}
 
@@ -154,7 +154,7 @@ def test_scores_by_hand(spark, frame):
     rows = rows + [(1000, "blockhead said blokhead you numbskul! wretchfu"), (1001, 'a "wretchful blockhead" of numbskull rite')]
     stems, exempt, weights = toxicity.train(frame(rows), labels)
     got = {r.doc_id: r.score for r in toxicity.score(frame(rows), labels).collect()}
-    automaton, short = toxicity.Automaton(stems), toxicity.short_patterns(stems)
+    automaton, short = toxicity.Automaton(stems), toxicity.short_stems(stems)
     for doc, text in rows:
         tokens = text.split()
         words = [t.strip(toxicity._STRIP).lower() for t in tokens]
