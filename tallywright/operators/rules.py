@@ -35,7 +35,7 @@ DAILY_ORDER_LIMIT = 10
 def orders_shipping(orders: DataFrame, shipments: DataFrame, preset: str = "basic") -> DataFrame:
     """Active orders with each of their shipment lines (1:N).
 
-    One order may own a large share of the lines, hence the salted join.
+    One order may own a large share of the lines; see :func:`joins.join_to_unique` for what that means.
     """
     ops = filters.active_orders(orders, preset).select(
         "order_id", "order_date", "profit", "sales", "order_status", "customer_name"
