@@ -28,6 +28,8 @@ from tallywright.llm.common import Memo
 FIT_ROWS = 10_000
 #: A stem needs so many toxic documents and so many times the share of the others; at most so many stems.
 LEAST_DOCS, LIFT, MOST_STEMS = 5, 20.0, 2_000
+#: Errors are forgiven for stems of this share of the toxic documents and more.
+TERM_SHARE = 0.03
 #: A root that is also found in other words needs this lift by documents, and this share of the toxic ones.
 ROOT_LIFT, ROOT_SHARE = 4.0, 0.03
 STEM_LETTERS = (4, 12)
@@ -232,8 +234,8 @@ def _quoted(codes: np.ndarray) -> np.ndarray:
     return inside
 
 
-def learn_stems(labelled: DataFrame, text_column: str = "text") -> list[str]:
-    """Stems of toxic documents, from a bounded frame with a column ``toxic``.
+def learn_stems(labelled: DataFrame, text_column: str = "text") -> dict[str, float]:
+    """Stems of toxic documents and their share of these, from a bounded frame with a column ``toxic``.
 
     Documents are counted per word beginning in Spark; only beginnings that pass the thresholds, at
     most ten times MOST_STEMS of them, reach the driver.
@@ -245,7 +247,7 @@ def learn_stems(labelled: DataFrame, text_column: str = "text") -> list[str]:
     try:
         sizes = {r.toxic: r.n for r in words.groupBy("toxic").agg(F.sum("n").alias("n")).collect()}
         if not sizes.get(1) or not sizes.get(0):
-            return []
+            return {}
         docs = {r.toxic: r.n for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
         begins = words.select("toxic", "row", "n", F.explode(F.transform(F.sequence(F.lit(least), F.least(F.length("word"), F.lit(most))), lambda k: F.substr("word", F.lit(1), k))).alias("stem"))
         in_docs = begins.groupBy("stem", "toxic", "row").agg(F.sum("n").alias("n"))
@@ -259,7 +261,8 @@ def learn_stems(labelled: DataFrame, text_column: str = "text") -> list[str]:
         # A root that common words share is told by being repeated where it is abuse, in many documents.
         root = (by_occurrences >= LIFT) & (by_docs >= ROOT_LIFT) & (F.col("docs") >= ROOT_SHARE * docs[1])
         passed = counted.where((F.col("docs") >= LEAST_DOCS) & ((by_docs >= LIFT) | root)).orderBy(F.desc("docs"), "stem").limit(10 * MOST_STEMS)
-        return choose_stems({r.stem: r.docs for r in passed.select("stem", "docs").collect()})
+        found = {r.stem: r.docs for r in passed.select("stem", "docs").collect()}
+        return {stem: found[stem] / docs[1] for stem in choose_stems(found)}
     finally:
         words.unpersist()
 
@@ -345,7 +348,8 @@ def train(
     texts = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").cast("string").alias("text"))
     sample = texts.join(F.broadcast(chosen), "id").groupBy("id", "toxic").agg(F.min("text").alias("text")).select("text", "toxic").persist()
     try:
-        stems = {stem: errors_allowed(stem) for stem in learn_stems(sample)}
+        # A stem of a few documents, as the odd words of one that was copied, says nothing about its misspellings.
+        stems = {stem: errors_allowed(stem) if share >= TERM_SHARE else 0 for stem, share in learn_stems(sample).items()}
         exempt = exempt_beginnings(sample, stems)
         rows = np.array([[r.toxic, *(r.features[f] for f in FEATURES)] for r in with_features(sample, ["toxic"], stems, exempt=exempt).collect()])
         taken = {r.toxic: r.n for r in chosen.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
