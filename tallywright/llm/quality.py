@@ -2,10 +2,11 @@
 
 Every document is measured once.  The measures of each (language, source) go into a quantile sketch
 with logarithmic bins: a count per bin, of bounded size, with a fixed relative error.  Such sketches
-merge by adding counts, so a task sends a few counts however large its sources are, the result does
-not depend on the order of merging, and small groups borrow the merged sketch of their language, then
-that of all documents.  Fences around the middle half of the values come out of the sketches and are
-joined back to the documents.
+merge by adding counts, so a task sends a few counts however large its sources are, and the result does
+not depend on the order of merging.  Each language's sketch has the weight of a few documents of the
+sketch of all, and each group's that of its language's, so a group's fences move smoothly from what
+is usual elsewhere to what is usual in it as it grows.  Fences around the middle half of the values
+come out of the sketches and are joined back to the documents.
 """
 
 from __future__ import annotations
@@ -22,8 +23,10 @@ from tallywright.llm.common import binary, runs, saved, windows, word_codes
 
 #: Width of a sketch's bins: values are kept to one percent.  Values below LEAST count as zero.
 GAMMA, LEAST = 1.02, 1e-4
-#: A group with fewer documents borrows from its language, then from all documents.
-LEAST_ROWS = 100
+#: Each group's sketch holds so many documents' weight of its language's, and that one of all documents'.
+BORROWED = 100
+#: Weight of a document: sketches are added in whole numbers, in whatever order.
+UNIT = 1_000_000
 #: A fence lies SPREAD times the middle half's width beyond it, and at least a margin: measures of
 #: groups with hardly any spread must not reject ordinary documents.
 SPREAD = 3.0
@@ -114,28 +117,39 @@ def sketches(measured: DataFrame, lang_column: str, source_column: str, result:
     return rows.groupBy("lang", "source", "measure", bin_.cast("int").alias("bin")).agg(F.count("*").alias("n"))
 
 
+def _blended(own: DataFrame, wider: DataFrame, level: list[str], wider_level: list[str], borrowed: int) -> DataFrame:
+    """The sketches ``own``, each with the weight of ``borrowed`` documents of the wider one it belongs to."""
+    whole = Window.partitionBy(*wider_level, "measure")
+    share = F.col("n") / F.sum("n").over(whole)
+    lent = wider.select(*wider_level, "measure", "bin", F.round(share * (borrowed * UNIT)).cast("long").alias("n"))
+    added = own.select(*level, "measure").distinct().join(lent, [*wider_level, "measure"]).select(own.columns)
+    return own.unionByName(added).groupBy(*level, "measure", "bin").agg(F.sum("n").alias("n"))
+
+
 def _quartiles(sketch: DataFrame, level: list[str]) -> DataFrame:
-    """Rows and quartiles of the sketches merged to a level."""
-    merged = sketch.groupBy(*level, "measure", "bin").agg(F.sum("n").alias("n"))
+    """Quartiles of sketches of a level."""
     whole = Window.partitionBy(*level, "measure")
-    shares = merged.withColumn("rows", F.sum("n").over(whole)).withColumn("up_to", F.sum("n").over(whole.orderBy("bin")))
+    shares = sketch.withColumn("rows", F.sum("n").over(whole)).withColumn("up_to", F.sum("n").over(whole.orderBy("bin")))
     middle = F.when(F.col("bin") < math.log(LEAST, GAMMA), 0.0).otherwise(F.pow(F.lit(GAMMA), F.col("bin")) * 2 / (GAMMA + 1))
-    at = lambda q: F.min(F.when(F.col("up_to") >= q * F.col("rows"), middle))
-    return shares.groupBy(*level, "measure").agg(F.max("rows").alias("rows"), at(0.25).alias("low"), at(0.75).alias("high"))
+    at = lambda quarter: F.min(F.when(4 * F.col("up_to") >= quarter * F.col("rows"), middle))
+    return shares.groupBy(*level, "measure").agg(at(1).alias("low"), at(3).alias("high"))
 
 
-def limits(sketch: DataFrame, least_rows: int = LEAST_ROWS) -> DataFrame:
+def limits(sketch: DataFrame, borrowed: int = BORROWED) -> DataFrame:
     """(lang, source) with a lower and an upper fence for each measure, where there is one.
 
     A group's fence is never wider than that of its language and, for SHARES, of all documents: a source
-    full of junk does not widen its own.
+    full of junk does not widen its own.  ``borrowed`` documents' weight comes from the wider sketches.
     """
-    own, lang, every = _quartiles(sketch, ["lang", "source"]), _quartiles(sketch, ["lang"]), _quartiles(sketch, [])
-    named = lambda frame, prefix: frame.select(*[c for c in ("lang", "measure") if c in frame.columns], *[F.col(c).alias(f"{prefix}_{c}") for c in ("rows", "low", "high")])
+    merged = lambda level: sketch.groupBy(*level, "measure", "bin").agg((F.sum("n") * UNIT).alias("n"))
+    all_ = merged([])
+    of_lang = _blended(merged(["lang"]), all_, ["lang"], [], borrowed)
+    of_group = _blended(merged(["lang", "source"]), of_lang, ["lang", "source"], ["lang"], borrowed)
+    own, lang, every = _quartiles(of_group, ["lang", "source"]), _quartiles(of_lang, ["lang"]), _quartiles(all_, [])
+    named = lambda frame, prefix: frame.withColumnsRenamed({c: f"{prefix}_{c}" for c in ("low", "high")})
     joined = own.join(named(lang, "lang"), ["lang", "measure"]).join(named(every, "every"), ["measure"])
-    pick = lambda c: F.when(F.col("rows") >= least_rows, F.col(c)).when(F.col("lang_rows") >= least_rows, F.col(f"lang_{c}")).otherwise(F.col(f"every_{c}"))
-    big = F.col("lang_rows") >= least_rows
-    levels = [(pick("low"), pick("high")), *[(F.when(when, F.col(f"{of}_low")), F.when(when, F.col(f"{of}_high"))) for of, when in (("lang", big), ("every", F.col("measure").isin(*SHARES)))]]
+    shared = F.col("measure").isin(*SHARES)
+    levels = [(F.col("low"), F.col("high")), (F.col("lang_low"), F.col("lang_high")), (F.when(shared, F.col("every_low")), F.when(shared, F.col("every_high")))]
     fences = []
     for name, (below, above) in MARGINS.items():
         mine = F.col("measure") == name
@@ -171,18 +185,22 @@ def judge_quality(
     lang_column: str = "lang",
     source_column: str = "source",
     result: str = "quality",
+    borrowed: int = BORROWED,
 ) -> DataFrame:
     """Every row of ``docs`` with its columns ``carry`` (all by default) and a struct ``result`` of
     COUNTS, ``base_failed`` and ``kept``.
 
     A document fails the base with fewer than 50 words or over half of its words in repeated three-word
     windows; it is also rejected if a measure lies beyond the fences of its language and source.  Null
-    and empty texts have no words, so they fail.  Null languages or sources form the group ''.
+    and empty texts have no words, so they fail.  Fences of small groups lean on their language's and on
+    those of all documents, with the weight of ``borrowed`` documents.  Null languages or sources form the group ''.
     Repeated rows are judged alike.  A column of ``docs`` named like ``result`` is replaced; names that
     begin with ``__`` are not free.
     """
-    narrow = saved(measure(docs, list(dict.fromkeys([lang_column, source_column])), text_column, result), "measures")
-    limit = saved(limits(saved(sketches(narrow, lang_column, source_column, result), "sketches")), "limits")
     wanted = [c for c in (carry or docs.columns) if c != result]
-    needed = [c for c in (lang_column, source_column) if c not in wanted]
-    return judged(measure(docs, [*wanted, *needed], text_column, result), limit, lang_column, source_column, result).drop(*needed)
+    needed = [c for c in dict.fromkeys((lang_column, source_column)) if c not in wanted]
+    texts = text_column in wanted  # then they are measured again rather than stored
+    measures = saved(measure(docs, [*dict.fromkeys((lang_column, source_column))] if texts else [*wanted, *needed], text_column, result), "measures")
+    limit = saved(limits(saved(sketches(measures, lang_column, source_column, result), "sketches"), borrowed), "limits")
+    rows = measure(docs, [*wanted, *needed], text_column, result) if texts else measures
+    return judged(rows, limit, lang_column, source_column, result).drop(*needed)

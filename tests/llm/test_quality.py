@@ -30,25 +30,30 @@ def kept_by_hand(rows):
     def binned(v):
         return 0.0 if v < quality.LEAST else quality.GAMMA ** np.ceil(round(np.log(v) / np.log(quality.GAMMA), 9)) * 2 / (quality.GAMMA + 1)
 
+    def lend(own, wider):
+        total = sum(wider.values())
+        return own + collections.Counter({k: int(np.floor(n / total * (quality.BORROWED * quality.UNIT) + 0.5)) for k, n in wider.items()})
+
+    def fence(sketch, margins):
+        keys = sorted(sketch)
+        up_to = np.cumsum([sketch[k] for k in keys])
+        low, high = (keys[int(np.argmax(4 * up_to >= q * up_to[-1]))] for q in (1, 3))
+        below, above = margins
+        reach = quality.SPREAD * (high - low)
+        return -np.inf if below is None else low - max(reach, below), high + max(reach, above)
+
     counts = [counts_by_hand(t) for t, _, _ in rows]
-    values = [None if not c[0] else {"symbols": c[2] / c[0], "dup_lines": c[3] / max(c[5], 1), "repeats": c[4] / c[0], "word_length": c[1] / c[0]} for c in counts]
-    out = []
-    for (_, lang, source), c, v in zip(rows, counts, values):
-        if v is None or base_failed(c):
-            out.append(False)
-            continue
-        for fits in (lambda r: r[1:] == (lang, source), lambda r: r[1] == lang, lambda r: True):
-            group = [x for r, x in zip(rows, values) if x is not None and fits(r)]
-            if len(group) >= quality.LEAST_ROWS:
-                break
-        good = True
-        for name, (below, above) in quality.MARGINS.items():
-            own = sorted(binned(x[name]) for x in group)
-            low, high = (own[int(np.ceil(q * len(own))) - 1] for q in (0.25, 0.75))
-            reach = quality.SPREAD * (high - low)
-            good &= v[name] <= high + max(reach, above) and (below is None or v[name] >= low - max(reach, below))
-        out.append(bool(good))
-    return out
+    values = [{} if base_failed(c) else {"symbols": c[2] / c[0], "dup_lines": c[3] / max(c[5], 1), "repeats": c[4] / c[0], "word_length": c[1] / c[0]} for c in counts]
+    limits = {}
+    for name, margins in quality.MARGINS.items():
+        sketch = lambda fits: collections.Counter({k: quality.UNIT * n for k, n in collections.Counter(binned(v[name]) for r, v in zip(rows, values) if v and fits(r)).items()})  # noqa: E731, B023
+        every = sketch(lambda r: True)
+        for group in {r[1:] for r, v in zip(rows, values) if v}:
+            lang = lend(sketch(lambda r: r[1] == group[0]), every)  # noqa: B023
+            own = lend(sketch(lambda r: r[1:] == group), lang)  # noqa: B023
+            fences = [fence(x, margins) for x in (own, lang, *([every] if name in quality.SHARES else []))]
+            limits[group, name] = max(f[0] for f in fences), min(f[1] for f in fences)
+    return [bool(v) and all(limits[r[1:], n][0] <= x <= limits[r[1:], n][1] for n, x in v.items()) for r, v in zip(rows, values)]
 
 
 def test_whole_table_by_brute_force(spark, sf):
@@ -115,3 +120,25 @@ def test_a_source_one_third_junk_does_not_keep_it(spark):
     assert [r.quality.kept for r in got] == ["#" not in t for t, _, _ in rows]
     counted = quality.sketches(quality.measure(docs, ["lang", "source"]), "lang", "source").where("measure = 'symbols'")
     assert sum(r.n for r in counted.collect()) == len(rows) - 150
+
+
+def test_one_measure_is_judged_by_what_is_usual_in_a_source(spark):
+    random.seed(9)
+    text = lambda letters: " ".join("".join(random.choices("abcdefgh", k=letters)) for _ in range(60))
+    rows = [(text(4), "en", "chat") for _ in range(400)] + [(text(9), "en", "chemistry") for _ in range(400)]
+    rows += [(text(11), "en", "chat"), (text(11), "en", "chemistry"), (text(11), "en", "new")]
+    docs = spark.createDataFrame([(*r, n) for n, r in enumerate(rows)], "text string, lang string, source string, n int")
+    got = sorted(quality.judge_quality(docs, ["n"]).collect())
+    assert [r.quality.kept for r in got] == kept_by_hand(rows)
+    assert all(r.quality.kept for r in got[:800]) and [r.quality.kept for r in got[800:]] == [False, True, True]
+
+
+def test_fences_move_smoothly_with_the_size_of_a_group(spark):
+    """No number of documents at which a group is suddenly judged by itself."""
+    sketch = [("en", "big", "word_length", b, 1000) for b in range(80, 90)]
+    fences = []
+    for n in (50, 99, 100, 101, 400, 4000):
+        rows = [(*r[:4], r[4] if r[1] == "big" else n) for r in [*sketch, ("en", "own", "word_length", 100, 0)]]
+        found = quality.limits(spark.createDataFrame(rows, "lang string, source string, measure string, bin int, n long"))
+        fences.append(found.where("source = 'own'").first().word_length_most)
+    assert abs(fences[1] - fences[2]) < 0.2 and abs(fences[2] - fences[3]) < 0.2
