@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from registry.base import STRICT, Registry, sql_with
 from tallywright.operators import audit_log, governance, ingest
 from tallywright.session import work_dir
-from tallywright.sources import bindings
+from tallywright.sources import bindings, sealed_log
 from tallywright.sources.append_log import AppendLog
 
 REGISTRY = Registry()
@@ -224,3 +224,42 @@ def retention_expired(spark: SparkSession, folder: str) -> DataFrame:
     orders = bindings.sales_orders(spark, folder, customer=False, profit=False)
     _, expired = governance.retention(orders, "sales_orders", "order_date", "2001-08-01")
     return expired.select("order_id", "order_date", "order_status")
+
+
+_NOTES = """coalesce('"' || replace(replace(notes, '\\', '\\\\'), '"', '\\"') || '"', 'null')"""
+_SEALED = sql_with("access", body=f"""
+    , hashed AS (SELECT sha256(log_id) AS place, sha256('{{"action":"' || action || '","audit_date":"' || CAST(audit_date AS VARCHAR) || '","auditor_id":"' || auditor_id || '","entity_id":'
+                        || coalesce('"' || entity_id || '"', 'null') || ',"entity_type":"' || entity_type || '","log_id":"' || log_id || '","notes":' || {_NOTES} || '}}') AS row_hash FROM access),
+    two AS (SELECT 2 AS level, left(place, 2) AS prefix, CAST(COUNT(*) AS BIGINT) AS n, sha256(string_agg(row_hash, '' ORDER BY place, row_hash)) AS digest FROM hashed GROUP BY 2),
+    one AS (SELECT 1 AS level, left(prefix, 1) AS prefix, CAST(SUM(n) AS BIGINT) AS n, sha256(string_agg(digest, '' ORDER BY prefix)) AS digest FROM two GROUP BY left(prefix, 1)),
+    zero AS (SELECT 0 AS level, '' AS prefix, CAST(SUM(n) AS BIGINT) AS n, sha256(string_agg(digest, '' ORDER BY prefix)) AS digest FROM one)
+    SELECT * FROM two UNION ALL SELECT * FROM one UNION ALL SELECT * FROM zero""")
+
+
+def _whole_log(spark: SparkSession, folder: str) -> DataFrame:
+    return bindings.access_log(spark, folder).withColumn("audit_date", F.col("audit_date").cast("string"))
+
+
+def _sealed(spark: SparkSession, log: DataFrame, digits: int) -> sealed_log.SealedLog:
+    return sealed_log.SealedLog(spark, f"{work_dir(spark)}/sealed-{uuid.uuid4().hex}").seal(log, digits)
+
+
+@REGISTRY.query(_SEALED)
+def log_root(spark: SparkSession, folder: str) -> DataFrame:
+    """The Merkle tree over the whole log, all columns of its lines digested."""
+    log = _sealed(spark, _whole_log(spark, folder), 2)
+    return reduce(DataFrame.unionByName, [log.nodes(level).select(F.lit(level).alias("level"), "prefix", "n", "digest") for level in range(3)])
+
+
+@REGISTRY.query(
+    sql_with("access", body="""
+        SELECT log_id, CASE WHEN event_id % 503 = 0 THEN 'DELETED' ELSE 'CHANGED' END AS violation FROM access WHERE event_id % 503 = 0 OR event_id % 101 = 0
+        UNION ALL SELECT 'X' || log_id, 'INSERTED' FROM access WHERE event_id % 997 = 0""")
+)
+def log_diff(spark: SparkSession, folder: str) -> DataFrame:
+    """Changed notes, removed and inserted lines of a log, located through its tree."""
+    log = _whole_log(spark, folder)
+    key = F.col("log_id").cast("bigint")
+    later = log.where(key % 503 != 0).withColumn("notes", F.when(key % 101 == 0, "TAMPERED").otherwise(F.col("notes")))
+    added = log.where(key % 997 == 0).withColumn("log_id", F.concat(F.lit("X"), "log_id"))
+    return sealed_log.differences(_sealed(spark, log, 1), _sealed(spark, later.unionByName(added), 1))

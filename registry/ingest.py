@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from registry.base import Registry, sql_with
 from tallywright.functions import money
-from tallywright.operators import ingest
+from tallywright.operators import erp, ingest
 from tallywright.sources import bindings, readers
 
 REGISTRY = Registry()
@@ -187,3 +187,86 @@ def erp_sap_open_items(spark: SparkSession, folder: str) -> DataFrame:
         ).alias("AUGDT"),
     )
     return readers.read_erp_extract(extract, "sap", "accounts_receivable", "1999-01-01", "1999-12-31")
+
+
+def _both_systems(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Orders that two systems know in part, with the day of their last change; Oracle lacks some currencies."""
+    sap, oracle = bindings.erp_orders(spark, folder, "sap"), bindings.erp_orders(spark, folder, "oracle")
+    key = F.col("VBELN").cast("long")
+    sap = sap.where(key % 4 != 0).withColumn("AEDAT", F.date_format(F.date_add(F.to_date("AUDAT", "yyyyMMdd"), (key % 5).cast("int")), "yyyyMMdd"))
+    key = F.col("OrderNumber").cast("long")
+    oracle = oracle.where(key % 3 != 0).withColumns(
+        {
+            "LastUpdateDate": F.date_add(F.to_date(F.left("OrderedDate", F.lit(10))), (key % 4).cast("int")).cast("string"),
+            "CurrencyCode": F.when(key % 5 != 0, "EUR"),
+            "LineTotal": (money.to_money(F.col("LineTotal")) + F.when(key % 11 == 0, 1).otherwise(0)).cast("string"),
+        }
+    )
+    extra = {"AEDAT": "changed_date", "PRIO": "priority", "LAST_UPDATE_DATE": "changed_date"}
+    return {
+        "sap": erp.from_erp(sap, "sap", "sales_orders", extra, amounts_in_cents=True).drop("status_unmapped"),
+        "oracle": erp.from_erp(oracle, "oracle", "sales_orders", extra).drop("status_unmapped"),
+    }
+
+
+_SYSTEMS = """
+    , both_ AS (SELECT o_orderkey AS k, o_orderkey % 4 <> 0 AS s, o_orderkey % 3 <> 0 AS o, *, s AND (NOT o OR k % 5 >= k % 4) AS s_new,
+                       concat_ws(',', CASE WHEN o THEN 'oracle' END, CASE WHEN s THEN 'sap' END) AS systems,
+                       CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day FROM orders WHERE o_orderkey % 12 <> 0)"""
+
+
+@REGISTRY.query(
+    f"""WITH none_ AS (SELECT 1) {_SYSTEMS}
+    SELECT CAST(k AS VARCHAR) AS order_id, day AS order_date, CAST(o_custkey AS VARCHAR) AS customer_id,
+           CAST(CAST(o_totalprice AS DECIMAL(18,2)) + CASE WHEN o AND k % 11 = 0 THEN 1 ELSE 0 END AS DOUBLE) AS sales,
+           CASE WHEN o THEN 'oracle' ELSE 'sap' END AS sales_from,
+           CASE WHEN s AND (s_new OR k % 5 = 0) THEN 'USD' WHEN k % 5 <> 0 THEN 'EUR' END AS currency,
+           CASE WHEN s AND (s_new OR k % 5 = 0) THEN 'sap' WHEN k % 5 <> 0 THEN 'oracle' END AS currency_from,
+           CASE WHEN k % 17 = 0 THEN CASE WHEN s_new THEN 'X' ELSE 'ON_HOLD' END WHEN o_orderstatus = 'P' THEN 'CANCELED' WHEN o_orderstatus = 'F' THEN 'COMPLETE'
+                WHEN k % 3 = 0 THEN 'NEW' ELSE 'PROCESSING' END AS order_status,
+           CASE WHEN s_new THEN 'sap' ELSE 'oracle' END AS order_status_from, CASE WHEN s THEN o_orderpriority END AS priority, systems
+    FROM both_"""
+)
+def erp_combined(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders of two systems in one frame: sales as Oracle has them, all else as last changed."""
+    rows = erp.combine(_both_systems(spark, folder), "order_id", "changed_date", {"sales": ["oracle", "sap"]})
+    return rows.select("order_id", "order_date", "customer_id", "sales", "sales_from", "currency", "currency_from", "order_status", "order_status_from", "priority", "systems")
+
+
+@REGISTRY.query(
+    f"""WITH none_ AS (SELECT 1) {_SYSTEMS}
+    SELECT 'D' || k AS document_id, CASE WHEN s THEN CAST(k AS VARCHAR) END AS order_id, CASE WHEN o THEN CAST(k AS VARCHAR) END AS invoice_id, day AS invoice_date,
+           CAST(o_custkey AS VARCHAR) AS customer_id, CAST(CAST(o_totalprice AS DECIMAL(18,2)) + CASE WHEN NOT s_new AND k % 13 = 0 THEN 2 ELSE 0 END AS DOUBLE) AS invoice_amount,
+           CASE WHEN s_new THEN 'sap' ELSE 'oracle' END AS invoice_amount_from, CASE WHEN o THEN CASE WHEN o_orderstatus = 'F' THEN 0 ELSE o_totalprice END END AS outstanding_amount,
+           CASE WHEN o THEN 'EUR' END AS currency, systems
+    FROM both_"""
+)
+def erp_combined_ar(spark: SparkSession, folder: str) -> DataFrame:
+    """Receivables of two systems in one frame, by document number."""
+    orders = bindings.table(spark, folder, "orders")
+    key, day = F.col("o_orderkey"), F.to_date("o_orderdate")
+    amount, text = money.to_money(F.col("o_totalprice")), key.cast("string")
+    sap = orders.where(key % 4 != 0).select(
+        F.concat(F.lit("D"), text).alias("BELNR"),
+        F.lpad(text, 10, "0").alias("VBELN"),
+        F.lpad(F.col("o_custkey").cast("string"), 10, "0").alias("KUNNR"),
+        F.date_format(day, "yyyyMMdd").alias("BLDAT"),
+        amount.cast("string").alias("DMBTR"),
+        F.date_format(F.date_add(day, (key % 5).cast("int")), "yyyyMMdd").alias("AEDAT"),
+    )
+    oracle = orders.where(key % 3 != 0).select(
+        text.alias("CUSTOMER_TRX_ID"),
+        F.concat(F.lit("D"), text).alias("TRX_NUMBER"),
+        day.cast("string").alias("TRX_DATE"),
+        F.col("o_custkey").cast("string").alias("BILL_TO_CUSTOMER_ID"),
+        F.lit("EUR").alias("INVOICE_CURRENCY_CODE"),
+        (amount + F.when(key % 13 == 0, 2).otherwise(0)).cast("string").alias("TOTAL_LINE_AMOUNT"),
+        F.when(F.col("o_orderstatus") == "F", "0").otherwise(amount.cast("string")).alias("AMOUNT_DUE_REMAINING"),
+        F.date_add(day, (key % 4).cast("int")).cast("string").alias("LAST_UPDATE_DATE"),
+    )
+    both = {
+        "sap": erp.from_erp(sap, "sap", "accounts_receivable", {"AEDAT": "changed_date"}),
+        "oracle": erp.from_erp(oracle, "oracle", "accounts_receivable", {"TRX_NUMBER": "document_id", "LAST_UPDATE_DATE": "changed_date"}),
+    }
+    rows = erp.combine(both, "document_id", "changed_date")
+    return rows.select("document_id", "order_id", "invoice_id", "invoice_date", "customer_id", "invoice_amount", "invoice_amount_from", "outstanding_amount", "currency", "systems")

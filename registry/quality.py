@@ -185,3 +185,18 @@ def sync_failures(spark: SparkSession, folder: str) -> DataFrame:
 )
 def auth_failures(spark: SparkSession, folder: str) -> DataFrame:
     return quality.auth_failures(bindings.table(spark, folder, "events").where(F.col("event_type") == "error"))
+
+
+@REGISTRY.query(
+    sql_with("compared", body="""
+        , days AS (SELECT COALESCE(order_date, invoice_date) AS run_date, COUNT(*) FILTER (status = 'OPS_ONLY') AS ops, COUNT(*) FILTER (status = 'FIN_ONLY') AS fin FROM compared GROUP BY 1),
+        sides AS (SELECT 'OPS_ONLY' AS side, run_date, ops AS orphans FROM days UNION ALL SELECT 'FIN_ONLY', run_date, fin FROM days),
+        seen AS (SELECT *, lag(orphans) OVER w AS previous_orphans, COUNT(*) OVER e AS n, CAST(SUM(orphans) OVER e AS HUGEINT) AS s, CAST(SUM(orphans * orphans) OVER e AS HUGEINT) AS q
+                 FROM sides WINDOW w AS (PARTITION BY side ORDER BY run_date), e AS (PARTITION BY side ORDER BY run_date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+        SELECT side, CAST(run_date AS VARCHAR) AS run_date, orphans, previous_orphans, n AS earlier_runs, round_even(CAST(s AS DOUBLE) / n, 4) AS earlier_mean,
+               n >= 5 AND COALESCE(n * orphans > s AND (n * orphans - s) * (n * orphans - s) > 9 * (n * q - s * s), FALSE) AS surge
+        FROM seen""")
+)
+def orphan_surge(spark: SparkSession, folder: str) -> DataFrame:
+    """Orphans of each day against those of all earlier days."""
+    return quality.orphan_surge(quality.orphan_runs(_compared(spark, folder)))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -160,3 +161,30 @@ def judged(df: DataFrame, system: str, table: str, extra: Extra | None = None, a
 def rejects(df: DataFrame, system: str, table: str, extra: Extra | None = None, amounts_in_cents: bool = False) -> DataFrame:
     """The rejected rows of :func:`judged`: the mapped fields as they came and ``reject_reason``."""
     return judged(df, system, table, extra, amounts_in_cents).where(F.col("reject_reason").isNotNull()).select("told.*", "reject_reason")
+
+
+def combine(extracts: Mapping[str, DataFrame], key: str, changed: str, prefer: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """One row a key from the canonical rows of several systems, each field with the system it comes from.
+
+    Of the systems that have a field, the one with the newest ``changed`` gives it, of equally new ones the
+    earlier in ``extracts``.  ``prefer`` names fields for which an order of systems goes before recency.
+    Further rows of a system compete in the same way; of equals the greater value wins.  Rows without a
+    key are left out, a row never changed comes last.  ``<field>_from`` tells the system, ``systems`` all
+    that know the key.  Tasks send one row a key.
+    """
+    prefer, known = dict(prefer or {}), list(extracts)
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [df.withColumn("_system", F.lit(name)) for name, df in extracts.items()])
+    fields = [c for c in both.columns if c not in (key, changed, "_system")]
+
+    def rank(order: Sequence[str]) -> Column:
+        return reduce(lambda rest, pair: F.when(F.col("_system") == pair[1], F.lit(-pair[0])).otherwise(rest), enumerate(order), F.lit(-len(order)))
+
+    def winner(field: str) -> Column:
+        newest = [F.col(changed).isNotNull(), F.col(changed)]
+        place = [rank(prefer[field]), *newest] if field in prefer else [*newest]
+        order = F.struct(*[p.alias(f"p{n}") for n, p in enumerate([*place, rank(known), F.col(field)])])
+        return F.max_by(F.struct(F.col(field).alias("value"), F.col("_system").alias("system")), F.when(F.col(field).isNotNull(), order)).alias(field)
+
+    kept = both.where(F.col(key).isNotNull()).groupBy(key).agg(*[winner(f) for f in fields], F.array_join(F.sort_array(F.collect_set("_system")), ",").alias("systems"))
+    told = [c for f in fields for c in (F.col(f"{f}.value").alias(f), F.col(f"{f}.system").alias(f"{f}_from"))]
+    return kept.select(key, *told, "systems")

@@ -31,6 +31,9 @@ MAX_COUNT_CHANGE = 0.2
 MAX_RESPONSE_SECONDS = 10
 MAX_AUTH_FAILURES_PER_HOUR = 3
 
+#: A run's orphans surge beyond so many standard deviations above the mean of at least so many earlier runs.
+SURGE_DEVIATIONS, SURGE_RUNS = 3, 5
+
 
 def shape(df: DataFrame) -> DataFrame:
     """Rows and columns, one row."""
@@ -232,6 +235,37 @@ def sync_monitors(runs: DataFrame) -> DataFrame:
     )
 
 
+def orphan_runs(compared: DataFrame) -> DataFrame:
+    """Orphans of each side and day, days without any included: ``side``, ``run_date``, ``orphans``."""
+    sides = ("OPS_ONLY", "FIN_ONLY")
+    days = compared.groupBy(F.coalesce("order_date", "invoice_date").alias("run_date")).agg(*[F.count_if(F.col("status") == side).alias(side) for side in sides])
+    pairs = F.explode(F.array(*[F.struct(F.lit(side).alias("side"), F.col(side).alias("orphans")) for side in sides])).alias("pair")
+    return days.where("run_date IS NOT NULL").select("run_date", pairs).select("pair.side", "run_date", "pair.orphans")
+
+
+def orphan_surge(runs: DataFrame, deviations: int = SURGE_DEVIATIONS, least_runs: int = SURGE_RUNS) -> DataFrame:
+    """Each run's orphans against those of all earlier runs of its side.
+
+    ``runs``: side, run_date, orphans.  The test uses whole numbers only: with n earlier runs of sum s and
+    squares q, x surges if n x > s and (n x - s)^2 > d^2 (n q - s^2).
+    """
+    seen = windows.earlier_moments(runs, ["side"], "run_date", "orphans", F.trunc("run_date", "month"))
+    n, total = F.col("n").cast("decimal(9,0)"), F.col("sum").cast("decimal(18,0)")
+    above = n * F.col("orphans").cast("decimal(9,0)") - total
+    spread = n * F.col("squares").cast("decimal(27,0)") - total * total
+    beyond = (above > 0) & (above * above > spread * (deviations * deviations))
+    mean = F.try_divide(F.col("sum").cast("double"), F.col("n").cast("double"))
+    return seen.select(
+        "side",
+        "run_date",
+        "orphans",
+        F.col("last").alias("previous_orphans"),
+        F.col("n").alias("earlier_runs"),
+        F.bround(mean, 4).alias("earlier_mean"),
+        ((F.col("n") >= least_runs) & F.coalesce(beyond, F.lit(False))).alias("surge"),
+    )
+
+
 def sync_failures(runs: DataFrame) -> DataFrame:
     """Per system: failure rate over its runs, and the alert."""
     rate = money.ratio(F.col("failures"), F.col("runs"))

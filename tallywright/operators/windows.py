@@ -69,3 +69,24 @@ def previous_value(
         .withColumn(out, F.when(F.col("_n") == 1, F.col("_carried.v")).otherwise(F.col("_prev")))
         .drop("_bucket", "_n", "_prev", "_carried")
     )
+
+
+def earlier_moments(df: DataFrame, keys: list[str], order: str, value: str, bucket: Column) -> DataFrame:
+    """Number (``n``), sum, sum of squares and last of the whole numbers ``value`` in all earlier rows of a key.
+
+    As in :func:`previous_value`, ``bucket`` must grow with ``order``: a window runs inside a bucket, and what
+    earlier buckets hold is merged from one summary row each.  Moments are exact decimals, so neither the
+    split nor the order of adding matters.  ``n`` is 0 and the others NULL in the first row.
+    """
+    number = F.col(value).cast("decimal(12,0)")
+    moments = {"n": F.count(value), "sum": F.sum(number), "squares": F.sum(number * number)}
+    bucketed = df.withColumn("_bucket", bucket)
+    inside = Window.partitionBy(*keys, "_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    whole = bucketed.groupBy(*keys, "_bucket").agg(*[m.alias(name) for name, m in moments.items()], F.max_by(value, order).alias("last"))
+    carried = whole.select(*keys, "_bucket", *[F.sum(name).over(before).alias(f"_{name}") for name in moments], F.last("last").over(before).alias("_last"))
+    ranked = bucketed.withColumns({name: m.over(inside) for name, m in moments.items()} | {"last": F.last(value).over(inside)})
+    joined = ranked.join(carried, [*keys, "_bucket"], "left")
+    plus = lambda name: F.when(F.col(name).isNull(), F.col(f"_{name}")).otherwise(F.col(name) + F.coalesce(F.col(f"_{name}"), F.lit(0)))
+    merged = {name: plus(name) for name in moments} | {"last": F.coalesce("last", "_last")}
+    return joined.withColumns(merged).drop("_bucket", "_last", *[f"_{name}" for name in moments])
