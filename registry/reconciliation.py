@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from registry.base import BASIC, STRICT, Registry, sql_with
 from tallywright.functions import dates
 from tallywright.operators import recon
 from tallywright.plans import full_audit
+from tallywright.session import work_dir
 from tallywright.sources import bindings
+from tallywright.sources.comparison import Comparison
 
 REGISTRY = Registry()
 AS_OF = "2001-08-01 00:00:00"
@@ -247,3 +251,63 @@ def recon_handling(spark: SparkSession, folder: str) -> DataFrame:
 def recon_draft_ar(spark: SparkSession, folder: str) -> DataFrame:
     drafts = recon.draft_ar(_orders(spark, folder), bindings.accounts_receivable(spark, folder))
     return drafts.drop("created_at", "updated_at")
+
+
+def _kept(spark: SparkSession, folder: str, customer: bool = False) -> Comparison:
+    """A comparison after three change sets: rows of both sides that lack, or have outdated, a part; then the
+    rest and corrections; then deletes and what comes too late to count."""
+    orders, invoices = _orders(spark, folder, customer), bindings.accounts_receivable(spark, folder)
+    key = F.col("order_id").cast("long")
+
+    def shape(df: DataFrame, seq: int, gone: bool = False) -> DataFrame:
+        return df.withColumns({"seq": F.lit(seq), "gone": F.lit(gone)})
+
+    def off(df: DataFrame, column: str) -> DataFrame:
+        return df.withColumn(column, (F.col(column) + 1).cast(df.schema[column].dataType))
+
+    def other(df: DataFrame, where: Column) -> DataFrame:
+        return df.where(where).withColumn("order_id", F.concat(F.lit("X"), "order_id"))
+
+    extra_order, extra_invoice, late = other(orders, key % 13 == 0), other(invoices, key % 26 == 0), key % 7 == 0
+    sets = [
+        (shape(off(orders.where(key % 5 == 0), "sales"), 0).unionByName(shape(orders.where((key % 5 != 0) & (key % 3 != 0)), 0)).unionByName(shape(extra_order, 0)),
+         shape(invoices.where(key % 4 != 0), 0).unionByName(shape(extra_invoice, 0))),
+        (shape(orders.where((key % 5 == 0) | (key % 3 == 0)), 2), shape(off(invoices.where(key % 4 == 0), "invoice_amount"), 1)),
+        (shape(off(orders.where(late), "sales"), -1).unionByName(shape(extra_order, 3, True)),
+         shape(invoices.where(key % 4 == 0), 3).unionByName(shape(extra_invoice, 3, True))),
+    ]
+    kept = Comparison(spark, f"{work_dir(spark)}/comparison-{uuid.uuid4().hex}", buckets=16)
+    for number, (ops, fin) in enumerate(sets):
+        kept.apply(ops, fin, number, gone=F.col("gone"))
+    return kept
+
+
+@REGISTRY.query(
+    sql_with("compared", body="""
+        SELECT order_id, CAST(order_date AS VARCHAR) AS order_date, CAST(invoice_date AS VARCHAR) AS invoice_date, customer_name,
+               CAST(sales AS DOUBLE) AS sales, CAST(invoice_amount AS DOUBLE) AS invoice_amount, in_ops, in_fin, active, live,
+               CAST(amount_diff AS DOUBLE) AS amount_diff, days_apart, status FROM compared""")
+)
+def recon_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """The kept comparison after three change sets, out of order and with deletes."""
+    return _kept(spark, folder, customer=True).read()
+
+
+@REGISTRY.query(
+    sql_with("compared", body="""
+        SELECT COUNT(*) FILTER (active) AS total_ops_orders, COUNT(*) FILTER (in_fin) AS total_fin_records,
+               COUNT(*) FILTER (active AND live) AS matched_count,
+               round_even(COUNT(*) FILTER (active AND live) / CAST(COUNT(*) FILTER (active) AS DOUBLE) * 100, 2) AS match_rate,
+               COUNT(*) FILTER (status = 'OPS_ONLY') AS ops_orphan_count, COUNT(*) FILTER (status = 'FIN_ONLY') AS fin_orphan_count,
+               round_even(COUNT(*) FILTER (status IN ('OPS_ONLY', 'FIN_ONLY')) / CAST(COUNT(*) AS DOUBLE) * 100, 2) AS orphan_rate,
+               COUNT(*) FILTER (status = 'AMOUNT_MISMATCH') AS amount_mismatch_count,
+               CAST(COALESCE(SUM(amount_diff) FILTER (status = 'AMOUNT_MISMATCH'), 0) AS DOUBLE) AS amount_mismatch_total,
+               COUNT(*) FILTER (status = 'DATE_MISMATCH') AS date_mismatch_count,
+               COUNT(*) FILTER (status = 'OPS_ONLY' OR (status = 'OK' AND days_apart <> 0)) AS auto_resolved,
+               COUNT(*) FILTER (status IN ('FIN_ONLY', 'DATE_MISMATCH')) AS pending_review,
+               COUNT(*) FILTER (status = 'AMOUNT_MISMATCH') AS confirmed_anomaly
+        FROM compared""")
+)
+def recon_incremental_report(spark: SparkSession, folder: str) -> DataFrame:
+    """The control report from figures that moved with the changes."""
+    return _kept(spark, folder).control_report()

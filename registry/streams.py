@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Iterator
 
@@ -11,6 +12,7 @@ from registry.base import Registry, sql_with
 from registry.changes import LIVE, order_changes
 from tallywright.session import settings, work_dir
 from tallywright.sources import bindings
+from tallywright.sources.append_log import AppendLog
 from tallywright.sources.merge_table import MergeTable
 from tallywright.streaming import monitors, panes, reconcile, runner, sync
 
@@ -196,3 +198,26 @@ def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
         stream = runner.read_files(spark, f"{base}/landing", change.schema)
         sync.upsert_stream(stream, table, "order_id", "seq", f"{base}/checkpoint", op="op").awaitTermination()
     return table.read().drop("year", "op")
+
+
+@REGISTRY.query(
+    """
+    WITH bounds AS (SELECT min(ts) + to_seconds(CAST(floor(epoch(max(ts) - min(ts)) / 3) AS BIGINT)) - INTERVAL 1 DAY AS since FROM events)
+    SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at, user_id, event_type, value FROM events, bounds WHERE ts >= since"""
+)
+def sync_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """Events loaded in three runs, the first one day back: every tenth is seen by readers only after the run
+    in whose last hours it falls, and the second run breaks off once, before its mark moves."""
+    base, events = _work(spark, "sync"), _landed(spark, folder)
+    first, last = (dt.datetime.fromisoformat(str(t)) for t in events.agg(F.min("ts").cast("string"), F.max("ts").cast("string")).first())
+    third, overlap = dt.timedelta(seconds=int((last - first).total_seconds() // 3)), dt.timedelta(hours=6)
+    ends = [first + third, first + 2 * third, last + dt.timedelta(seconds=1)]
+    log = AppendLog(spark, f"{base}/log", "content", F.date_format("ts", "yyyy-MM-dd"), prefixes=4)
+    marks, broken = sync.Marks(spark, f"{base}/marks"), sync.Marks(spark, f"{base}/broken")
+    for run, end in enumerate(ends):
+        unseen = (F.col("event_id") % 10 == 0) & (F.col("ts") >= F.lit(str(end - overlap / 2)).cast("timestamp"))
+        seen = events if run == 2 else events.where(~unseen)
+        if run == 1:  # its rows are in the log, the mark is where it was
+            sync.load_new(seen, "ts", log, broken, "shop", "events", end, overlap, third + overlap)
+        sync.load_new(seen, "ts", log, marks, "shop", "events", end, overlap)
+    return log.read().select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"), "user_id", "event_type", "value")

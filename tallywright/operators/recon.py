@@ -266,18 +266,14 @@ def leakage(
     )
 
 
-def summary(compared: DataFrame) -> DataFrame:
-    """Counts of one comparison (:func:`full`), one row.
-
-    ``key_matched`` holds every active order with a live invoice, ``fully_matched``
-    only those that agree in amount and date.
-    """
+def summary_counts() -> list[Column]:
+    """Counts of :func:`summary`, sums over the rows of a comparison."""
 
     def n(condition: Column) -> Column:
         return F.count_if(condition)
 
     status = F.col("status")
-    return compared.agg(
+    return [
         n(F.col("active")).alias("ops_orders"),
         n(F.col("live")).alias("fin_records"),
         n(F.col("active") & F.col("live")).alias("key_matched"),
@@ -288,21 +284,41 @@ def summary(compared: DataFrame) -> DataFrame:
             "amount_mismatched"
         ),
         n(status == "DATE_MISMATCH").alias("date_mismatched"),
-    )
+    ]
 
 
-def audit_row(
-    compared: DataFrame, as_of: str, period: str = "all", executed_by: str = "scheduler", notes: str | None = None
-) -> DataFrame:
-    """The run's line for ``reconciliation_audit``; a rerun gives the same id."""
-    counts = compared.agg(
+def summary(compared: DataFrame) -> DataFrame:
+    """Counts of one comparison (:func:`full`), one row.
+
+    ``key_matched`` holds every active order with a live invoice, ``fully_matched``
+    only those that agree in amount and date.
+    """
+    return compared.agg(*summary_counts())
+
+
+def audit_counts() -> list[Column]:
+    """Counts of :func:`audit_row`, sums over the rows of a comparison."""
+    return [
         F.count_if("in_ops").alias("total_ops_records"),
         F.count_if("in_fin").alias("total_fin_records"),
         F.count_if(F.col("status") == "OK").alias("matched_records"),
         F.count_if(F.col("status") == "OPS_ONLY").alias("orphan_ops_count"),
         F.count_if(F.col("status") == "FIN_ONLY").alias("orphan_fin_count"),
         F.count_if(F.col("status") == "AMOUNT_MISMATCH").alias("amount_mismatch_count"),
-    )
+    ]
+
+
+def audit_row(
+    compared: DataFrame, as_of: str, period: str = "all", executed_by: str = "scheduler", notes: str | None = None
+) -> DataFrame:
+    """The run's line for ``reconciliation_audit``; a rerun gives the same id."""
+    return audit_line(compared.agg(*audit_counts()), as_of, period, executed_by, notes)
+
+
+def audit_line(
+    counts: DataFrame, as_of: str, period: str = "all", executed_by: str = "scheduler", notes: str | None = None
+) -> DataFrame:
+    """:func:`audit_row` of counts that are there already."""
     return counts.select(
         content_id(F.lit(as_of), F.lit(period), F.lit(executed_by)).alias("audit_id"),
         F.lit(as_of).cast("timestamp").alias("audit_date"),
@@ -316,12 +332,12 @@ def audit_row(
     )
 
 
-def control_report(compared: DataFrame) -> DataFrame:
-    """Figures of the control report: totals, orphans, differences, handling state."""
+def report_counts() -> list[Column]:
+    """Counts and amounts of :func:`control_report`, sums over the rows of a comparison."""
     status = F.col("status")
     orphan = status.isin("OPS_ONLY", "FIN_ONLY")
     auto, review = _handled_automatically(), _needs_review()
-    counts = compared.agg(
+    return [
         F.count_if("active").alias("total_ops_orders"),
         F.count_if("in_fin").alias("total_fin_records"),
         F.count_if(F.col("active") & F.col("live")).alias("matched_count"),
@@ -337,7 +353,16 @@ def control_report(compared: DataFrame) -> DataFrame:
         F.count_if(auto).alias("auto_resolved"),
         F.count_if(review).alias("pending_review"),
         F.count_if(status == "AMOUNT_MISMATCH").alias("confirmed_anomaly"),
-    )
+    ]
+
+
+def control_report(compared: DataFrame) -> DataFrame:
+    """Figures of the control report: totals, orphans, differences, handling state."""
+    return report_line(compared.agg(*report_counts()))
+
+
+def report_line(counts: DataFrame) -> DataFrame:
+    """:func:`control_report` of counts that are there already."""
     return counts.select(
         "total_ops_orders",
         "total_fin_records",

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tallywright.operators import windows
-from tallywright.sources.manifest import Manifest
+from tallywright.sources.manifest import Conflict, Manifest
 from tallywright.sources.sinks import DELETED, SEQUENCE
 
 BUCKET = "_bucket"
@@ -70,6 +70,26 @@ class MergeTable:
             raise ValueError(f"no table in {self.folder}")
         return self._merged(content).where(~F.col(DELETED)).drop(SEQUENCE, DELETED, BUCKET)
 
+    def read_keys(self, keys: DataFrame) -> DataFrame:
+        """The live rows of the given keys (rows of the key columns); buckets without one are not read."""
+        _, content = self.manifest.read()
+        if not content:
+            raise ValueError(f"no table in {self.folder}")
+        wanted = {str(r[0]) for r in keys.select(self._bucket(content["n_buckets"])).distinct().collect()}  # one number a bucket
+        live = self._merged(content, wanted).where(~F.col(DELETED)).drop(SEQUENCE, DELETED, BUCKET)
+        return live.join(keys.select(*self.key), self.key, "left_semi")
+
+    def notes(self) -> dict:
+        """What the last writer that left notes has noted."""
+        return self.manifest.read()[1].get("notes", {})
+
+    def applied(self, stream: str) -> int:
+        """Number of the last batch of a stream that is in the table, -1 for none."""
+        return self.manifest.read()[1].get("applied", {}).get(stream, -1)
+
+    def _bucket(self, buckets: int) -> Column:
+        return F.pmod(F.xxhash64(*self.key), F.lit(buckets)).cast("int")
+
     # -- writing ---------------------------------------------------------------
 
     def _written(self, rows: DataFrame, kind: str) -> tuple[str, dict[str, int]]:
@@ -79,23 +99,36 @@ class MergeTable:
         counted = self.spark.read.schema(rows.schema).parquet(f"{self.folder}/{name}").groupBy(BUCKET).count().collect()  # one row a bucket
         return name, {str(r[0]): r[1] for r in counted}
 
-    def upsert(self, changes: DataFrame, seq: str | Column, deleted: Column | None = None, batch: tuple[str, int] | None = None) -> bool:
+    def upsert(
+        self,
+        changes: DataFrame,
+        seq: str | Column,
+        deleted: Column | None = None,
+        batch: tuple[str, int] | None = None,
+        notes: dict | None = None,
+        after: int | None = None,
+    ) -> bool:
         """Add changes; the one with the greatest ``seq`` wins, whether it comes now or came before, and of
         equal ones the earlier call's.  Rows without a key are left out.
 
         ``batch`` (a stream and the number of its batch) makes a repeated call do nothing; False then.
-        Only the batch is written, whatever the size of the table.
+        Only the batch is written, whatever the size of the table.  ``notes`` become part of the same version as the changes.
+        ``after`` names the version that the changes were made from; it fails if there is a newer one.
         """
         version, content = self.manifest.read()
+        if after is not None and version != after:
+            raise Conflict(f"version {version} follows version {after}")
         if batch and content and content["applied"].get(batch[0], -1) >= batch[1]:
             return False
         buckets = content["n_buckets"] if content else self._buckets
         marked = changes.withColumns({SEQUENCE: F.col(seq) if isinstance(seq, str) else seq, DELETED: F.coalesce(deleted, F.lit(False)) if deleted is not None else F.lit(False)})
         fresh = windows.keep_last(marked.drop(seq) if isinstance(seq, str) else marked, self.key, SEQUENCE)
-        placed = fresh.withColumn(BUCKET, F.pmod(F.xxhash64(*self.key), F.lit(buckets)).cast("int"))
+        placed = fresh.withColumn(BUCKET, self._bucket(buckets))
         content = content or {"n_buckets": buckets, "schema": placed.schema.jsonValue(), "buckets": {}, "applied": {}}
         if batch:
             content["applied"][batch[0]] = batch[1]
+        if notes is not None:
+            content["notes"] = notes
         ordered = placed.select([f["name"] for f in content["schema"]["fields"]])
         name, rows = self._written(ordered, "delta")
         for bucket, n in rows.items():
