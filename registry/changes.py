@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from registry.base import Registry, sql_with
 from tallywright.operators import erp, ingest, windows
+from tallywright.session import work_dir
 from tallywright.sources import bindings, quarantine, readers, sinks
 
 REGISTRY = Registry()
@@ -39,7 +40,10 @@ def upsert_orders(spark: SparkSession, folder: str) -> DataFrame:
     name = f"tw_orders_{uuid.uuid4().hex}"
     for change in order_changes(spark, folder):
         sinks.upsert(change, name, "order_id", "seq", "year", F.col("op") == "D")
-    return sinks.live(spark, name).drop("year", "op")
+    work_dir(spark)
+    state = sinks.live(spark, name).drop("year", "op").checkpoint()
+    spark.sql(f"DROP TABLE {name}")
+    return state
 
 
 @REGISTRY.query(
@@ -55,6 +59,21 @@ def keep_last_accounts(spark: SparkSession, folder: str) -> DataFrame:
     return lines.agg(F.count("*").alias("lines"), F.count("order_id").alias("with_key")).withColumn("orders", kept.scalar())
 
 
+@REGISTRY.query(
+    sql_with("raw", body="""
+        SELECT order_id, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS DOUBLE) AS l_quantity FROM (
+            SELECT *, ROW_NUMBER() OVER (PARTITION BY order_id ORDER BY l_linenumber DESC, l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC) AS rn
+            FROM raw WHERE order_id IS NOT NULL AND l_linenumber % 3 <> 0)
+        WHERE rn = 1
+        UNION ALL SELECT order_id, NULL, NULL, NULL, NULL FROM raw WHERE order_id IS NOT NULL GROUP BY order_id HAVING COUNT(*) FILTER (l_linenumber % 3 <> 0) = 0""")
+)
+def keep_last_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows kept where a third of the lines has no sequence."""
+    raw = bindings.raw_extract(spark, folder, product=False, customer=False)
+    lines = raw.select(F.col("Order ID").alias("order_id"), F.when(F.col("seq.l_linenumber") % 3 != 0, F.col("seq")).alias("seq"))
+    return windows.keep_last(lines, "order_id", "seq").select("order_id", *[f"seq.{c}" for c in ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")])
+
+
 def _export(spark: SparkSession, folder: str) -> DataFrame:
     """A transaction export with unreadable cells."""
     key = F.col("o_orderkey")

@@ -148,10 +148,14 @@ def access_anomaly(spark: SparkSession, folder: str) -> DataFrame:
     return governance.access_anomaly(bindings.access_log(spark, folder), ACCESS_AS_OF, limit=3)
 
 
+_NOTES = """coalesce('"' || replace(replace(notes, '\\', '\\\\'), '"', '\\"') || '"', 'null')"""
+
+
 def _json_sql(action: str) -> str:
     return (
-        f"""'{{"action":"' || {action} || '","auditor_id":"' || auditor_id || '","entity_id":"' || entity_id """
-        """|| '","entity_type":"' || entity_type || '","log_id":"' || log_id || '"}'"""
+        f"""'{{"action":"' || {action} || '","audit_date":"' || CAST(audit_date AS VARCHAR) || '","auditor_id":"' || auditor_id || '","entity_id":' """
+        """|| coalesce('"' || entity_id || '"', 'null') || ',"entity_type":"' || entity_type || '","log_id":"' || log_id || '","notes":' || """
+        f"""{_NOTES} || '}}'"""
     )
 
 
@@ -166,10 +170,10 @@ def _tampered(log: DataFrame) -> DataFrame:
 
 
 @REGISTRY.query(
-    sql_with("access", body=f"SELECT log_id, auditor_id, action, entity_type, entity_id, {_ORIGINAL} AS row_hash FROM access")
+    sql_with("access", body=f"SELECT log_id, CAST(audit_date AS VARCHAR) AS audit_date, auditor_id, action, entity_type, entity_id, notes, {_ORIGINAL} AS row_hash FROM access")
 )
 def row_hash(spark: SparkSession, folder: str) -> DataFrame:
-    return governance.with_row_hash(bindings.hashed_log(spark, folder))
+    return governance.with_row_hash(_whole_log(spark, folder))
 
 
 @REGISTRY.query(
@@ -177,7 +181,7 @@ def row_hash(spark: SparkSession, folder: str) -> DataFrame:
         SELECT log_id, {_CHANGED} AS found_hash, {_ORIGINAL} AS stored_hash FROM access WHERE event_id % 101 = 0""")
 )
 def verify_hashes(spark: SparkSession, folder: str) -> DataFrame:
-    log = bindings.hashed_log(spark, folder)
+    log = _whole_log(spark, folder)
     return governance.verify_hashes(_tampered(log), governance.with_row_hash(log))
 
 
@@ -187,7 +191,7 @@ def verify_hashes(spark: SparkSession, folder: str) -> DataFrame:
         FROM access WHERE event_id % 503 = 0 OR event_id % 101 = 0""")
 )
 def append_only_check(spark: SparkSession, folder: str) -> DataFrame:
-    log = bindings.hashed_log(spark, folder)
+    log = _whole_log(spark, folder)
     later = _tampered(log).where(F.col("log_id").cast("bigint") % 503 != 0)
     return governance.append_only_check(governance.with_row_hash(log), governance.with_row_hash(later))
 
@@ -226,7 +230,6 @@ def retention_expired(spark: SparkSession, folder: str) -> DataFrame:
     return expired.select("order_id", "order_date", "order_status")
 
 
-_NOTES = """coalesce('"' || replace(replace(notes, '\\', '\\\\'), '"', '\\"') || '"', 'null')"""
 _SEALED = sql_with("access", body=f"""
     , hashed AS (SELECT sha256(log_id) AS place, sha256('{{"action":"' || action || '","audit_date":"' || CAST(audit_date AS VARCHAR) || '","auditor_id":"' || auditor_id || '","entity_id":'
                         || coalesce('"' || entity_id || '"', 'null') || ',"entity_type":"' || entity_type || '","log_id":"' || log_id || '","notes":' || {_NOTES} || '}}') AS row_hash FROM access),

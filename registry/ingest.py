@@ -87,8 +87,8 @@ def ingest_products(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _numbered(product: bool) -> str:
-    """The good lines with their stored ids: the SHA-256 of all columns by name and of the number
-    among identical lines."""
+    """The good lines with their stored ids: the SHA-256 of the digest of all columns by name and of
+    the number among identical lines."""
     own = {"product_name", "category_name"} if product else set()
     lacking = {"category_name", "customer_city", "customer_country", "customer_name", "customer_segment", "days_for_shipment_real",
                "days_for_shipment_scheduled", "delivery_status", "market", "product_name", "region"} - own
@@ -96,7 +96,7 @@ def _numbered(product: bool) -> str:
     sources = {c: "''" for c in lacking} | {"customer_key": "customer_id", "product_price": "sales"} | ({} if product else {"profit": "'0.00'"})
     told = ", ".join(f"coalesce(CAST({sources.get(c, c)} AS VARCHAR), '')" for c in columns)
     content = f"concat_ws('|', {told})"
-    return f"""SELECT *, sha256({content} || '|' || row_number() OVER (PARTITION BY {content})) AS line_id FROM good"""
+    return f"""SELECT *, sha256(sha256({content}) || '|' || row_number() OVER (PARTITION BY {content})) AS line_id FROM good"""
 
 
 @REGISTRY.query(
@@ -106,7 +106,7 @@ def _numbered(product: bool) -> str:
         FROM ({_numbered(False)})""")
 )
 def ingest_shipping(spark: SparkSession, folder: str) -> DataFrame:
-    logs = ingest.build_shipping_logs(ingest.numbered_lines(_good(spark, folder, product=False, customer=False)))
+    logs = ingest.build_shipping_logs(ingest.numbered_lines(_good(spark, folder, product=False, customer=False), keep=ingest.SHIPPING_COLUMNS))
     return logs.select("log_id", "order_id", "shipping_mode", "shipping_date", "late_delivery_risk", "days_for_shipment_real", "market")
 
 
@@ -135,7 +135,7 @@ def ingest_ar(spark: SparkSession, folder: str) -> DataFrame:
                'COGS for Order ' || order_id, order_id FROM ({_numbered(True)}) WHERE sales - profit > 0""")
 )
 def ingest_ledger(spark: SparkSession, folder: str) -> DataFrame:
-    ledger = ingest.build_general_ledger(ingest.numbered_lines(_good(spark, folder, customer=False)))
+    ledger = ingest.build_general_ledger(ingest.numbered_lines(_good(spark, folder, customer=False), keep=ingest.LEDGER_COLUMNS))
     return ledger.drop("created_at")
 
 

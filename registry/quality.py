@@ -15,11 +15,14 @@ def _orders(spark: SparkSession, folder: str) -> DataFrame:
     return bindings.sales_orders(spark, folder, customer=False, profit=False)
 
 
-def _compared(spark: SparkSession, folder: str) -> DataFrame:
-    return recon.full(_orders(spark, folder), bindings.accounts_receivable(spark, folder))
+def _compared(spark: SparkSession, folder: str, customer: bool = False) -> DataFrame:
+    orders = bindings.sales_orders(spark, folder, customer=customer, profit=False)
+    return recon.full(orders, bindings.accounts_receivable(spark, folder))
 
 
-_PROFILED = ("order_id", "order_date", "invoice_date", "sales", "invoice_amount", "amount_diff", "days_apart", "status")
+_PROFILED = (
+    "order_id", "order_date", "invoice_date", "customer_name", "sales", "invoice_amount", "in_ops", "in_fin", "active", "live", "amount_diff", "days_apart", "status",
+)
 
 
 @REGISTRY.query(
@@ -31,22 +34,36 @@ _PROFILED = ("order_id", "order_date", "invoice_date", "sales", "invoice_amount"
     + ") WHERE missing_count > 0")
 )
 def null_profile(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.null_profile(_compared(spark, folder).select(*_PROFILED))
+    return quality.null_profile(_compared(spark, folder, customer=True))
 
 
-@REGISTRY.query("SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem")
+# Every eleventh order's lines twice as they are and a third time with another tax.
+_COPIED = """
+    WITH copied AS (
+        SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem WHERE l_orderkey % 11 = 0
+        UNION ALL SELECT * REPLACE (l_tax + 1 AS l_tax) FROM lineitem WHERE l_orderkey % 11 = 0)"""
+
+
+def _copied(spark: SparkSession, folder: str) -> DataFrame:
+    lines = bindings.table(spark, folder, "lineitem")
+    again = F.array_repeat(F.lit(0.0), F.when(F.col("l_orderkey") % 11 == 0, 2).otherwise(1))
+    more = F.when(F.col("l_orderkey") % 11 == 0, F.array(F.lit(1.0))).otherwise(F.array().cast("array<double>"))
+    return lines.withColumn("_more", F.explode(F.concat(again, more))).withColumn("l_tax", F.col("l_tax") + F.col("_more")).drop("_more")
+
+
+@REGISTRY.query(_COPIED + "SELECT DISTINCT * REPLACE (strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate) FROM copied")
 def dedupe_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.dedupe(bindings.table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber"))
+    return quality.dedupe(_copied(spark, folder))
 
 
 @REGISTRY.query(
-    """
-    SELECT COUNT(*) AS rows_before, (SELECT COUNT(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS rows_after,
-           COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS rows_removed
-    FROM lineitem"""
+    _COPIED + """
+    SELECT COUNT(*) AS rows_before, (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM copied)) AS rows_after,
+           COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT * FROM copied)) AS rows_removed
+    FROM copied"""
 )
 def dedupe_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.dedupe_summary(bindings.table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber"))
+    return quality.dedupe_summary(_copied(spark, folder))
 
 
 @REGISTRY.query("SELECT COUNT(*) AS row_count, 11 AS column_count FROM lineitem")

@@ -173,6 +173,19 @@ def rule_frequency_bands(spark: SparkSession, folder: str) -> DataFrame:
     return events.select("event_id", bands.severity(F.col("value"), bands.FREQUENCY_BANDS).alias("severity"))
 
 
+@REGISTRY.query(
+    """
+    WITH counted AS (SELECT user_id % 10 AS customer, CAST(ts AS DATE) AS day, COUNT(DISTINCT event_id) AS orders FROM events GROUP BY ALL)
+    SELECT customer, CAST(day AS VARCHAR) AS day, orders,
+           CASE WHEN orders >= 50 THEN 'CRITICAL' WHEN orders >= 30 THEN 'HIGH' WHEN orders >= 15 THEN 'MEDIUM' ELSE 'LOW' END AS severity
+    FROM counted WHERE orders > 5"""
+)
+def rule_group_frequency(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders a day of groups of customers, busy enough for the upper bands."""
+    events = bindings.table(spark, folder, "events").withColumn("group", F.col("user_id") % 10)
+    return rules.order_frequency(events, "group", F.to_date("ts"), "event_id", limit=5)
+
+
 def _score_sql(rows: str) -> str:
     return f"""
         counts AS ({rows}),

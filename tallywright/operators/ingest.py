@@ -247,17 +247,36 @@ def build_products(lines: DataFrame, seq: str = "seq", loaded_at: str | None = N
     )
 
 
-def numbered_lines(lines: DataFrame, seq: str = "seq") -> DataFrame:
+#: Columns of a line that its shipment and its ledger entries are made of.
+SHIPPING_COLUMNS = (
+    "order_id",
+    "shipping_mode",
+    "shipping_date",
+    "days_for_shipment_scheduled",
+    "days_for_shipment_real",
+    "delivery_status",
+    "late_delivery_risk",
+    "customer_country",
+    "customer_city",
+    "market",
+    "region",
+)
+LEDGER_COLUMNS = ("order_id", "order_date", "sales", "profit")
+
+
+def numbered_lines(lines: DataFrame, seq: str = "seq", keep: Iterable[str] | None = None) -> DataFrame:
     """All lines with a ``line_id`` in place of ``seq``, for keys that are stored.
 
-    The id is made of the line's content and its number among identical lines, so it depends
-    neither on files, splits nor the order of reading.  Identical lines are counted (with partial
-    counts before the shuffle) and then repeated.
+    The id is made of the digest of the line's whole content and its number among identical lines, so
+    it depends neither on files, splits nor the order of reading.  Identical lines are counted (with
+    partial counts before the shuffle) and then repeated.  ``keep`` names the columns that are needed
+    later; no others are shuffled.
     """
     told = sorted(c for c in lines.columns if c != seq)
-    counted = lines.groupBy(*told).agg(F.count("*").alias("_times"))
+    kept = told if keep is None else [c for c in told if c in set(keep)]
+    counted = lines.groupBy(content_id(*told).alias("_digest"), *kept).agg(F.count("*").alias("_times"))
     each = counted.withColumn("_nth", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-    return each.select(*told, content_id(*told, "_nth").alias("line_id"))
+    return each.select(*kept, content_id("_digest", "_nth").alias("line_id"))
 
 
 def build_shipping_logs(lines: DataFrame, seq: str = "line_id", loaded_at: str | None = None) -> DataFrame:
@@ -265,17 +284,7 @@ def build_shipping_logs(lines: DataFrame, seq: str = "line_id", loaded_at: str |
     never the order date."""
     return lines.select(
         content_id(F.lit("SHIP"), "order_id", seq).alias("log_id"),
-        "order_id",
-        "shipping_mode",
-        "shipping_date",
-        "days_for_shipment_scheduled",
-        "days_for_shipment_real",
-        "delivery_status",
-        "late_delivery_risk",
-        "customer_country",
-        "customer_city",
-        "market",
-        "region",
+        *SHIPPING_COLUMNS,
         _stamp(loaded_at).alias("created_at"),
     )
 

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-NULL_SLOTS = 256
-
 
 def join_to_unique(many: DataFrame, one: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join ``many`` rows per key to ``one`` row per key (``inner`` or ``left``).
@@ -23,10 +21,10 @@ def _with_stand_in(df: DataFrame, column: str, side: str) -> DataFrame:
     """Add ``_match``: the text key, or for a missing one a text found on this side only.
 
     Rows without a key match nothing, yet outer and anti joins keep them, and hashing
-    NULL would put them all into one task.  :data:`NULL_SLOTS` stand-ins spread them.
+    NULL would put them all into one task.  Stand-ins made of the row's hash spread them over
+    all tasks, however many there are; of the same rows those of different partitions part as well.
     """
-    slot = F.pmod(F.xxhash64(*df.columns, F.spark_partition_id()), F.lit(NULL_SLOTS))
-    stand_in = F.concat(F.lit(f"\u0000{side}"), slot.cast("string"))
+    stand_in = F.concat(F.lit(f"\u0000{side}"), F.xxhash64(*df.columns, F.spark_partition_id()).cast("string"))
     return df.withColumn("_match", F.coalesce(F.col(column), stand_in))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from tallywright.functions import money
-from tallywright.operators import windows
+from tallywright.operators import recon, windows
 
 # Control limits as shares of 1.
 MAX_ORPHAN_RATE = 0.001
@@ -111,7 +111,7 @@ def left_join_integrity(left: DataFrame, right: DataFrame, key: str) -> DataFram
 # -- control limits over one comparison (recon.full) --------------------------
 
 
-def _rates(compared: DataFrame) -> DataFrame:
+def _rates(compared: DataFrame, tolerance_days: int = recon.DATE_TOLERANCE_DAYS) -> DataFrame:
     status = F.col("status")
     pair = F.col("active") & F.col("live")
     return compared.agg(
@@ -120,15 +120,17 @@ def _rates(compared: DataFrame) -> DataFrame:
         F.count_if(pair).alias("pairs"),
         F.count_if(status == "OK").alias("ok"),
         F.count_if(status.isin("OPS_ONLY", "FIN_ONLY")).alias("orphans"),
-        F.count_if(pair & (F.abs("days_apart") > 1)).alias("date_off"),
+        F.count_if(pair & (F.abs("days_apart") > tolerance_days)).alias("date_off"),
         F.sum(F.when(pair, F.col("amount_diff"))).alias("diff_sum"),
         F.sum(F.when(pair, F.col("sales"))).alias("sales_sum"),
     )
 
 
-def control_checks(compared: DataFrame, orders: DataFrame) -> DataFrame:
-    """Measured rate, limit and verdict per control, NOT_COMPUTABLE without a base."""
-    rates = _rates(compared)
+def control_checks(compared: DataFrame, orders: DataFrame, tolerance_days: int = recon.DATE_TOLERANCE_DAYS) -> DataFrame:
+    """Measured rate, limit and verdict per control, NOT_COMPUTABLE without a base.
+
+    ``tolerance_days`` is that of the comparison."""
+    rates = _rates(compared, tolerance_days)
 
     def share(top: str, bottom: str) -> Column:
         return F.try_divide(F.col(top).cast("double"), F.col(bottom).cast("double"))

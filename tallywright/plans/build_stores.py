@@ -34,7 +34,7 @@ def canonical_tables(
     parted = quarantine.split(raw, judge) if reuse else None
     lines = parted.rows.drop(quarantine.OUTCOME) if parted else judge(raw)
     good = ingest.accepted_lines(lines)
-    numbered = ingest.numbered_lines(good)
+    numbered = ingest.numbered_lines(good, keep={*ingest.SHIPPING_COLUMNS, *ingest.LEDGER_COLUMNS})
     return CanonicalTables(
         products=ingest.build_products(good, loaded_at=loaded_at),
         sales_orders=ingest.build_sales_orders(good, loaded_at=loaded_at, sum_lines=sum_lines),

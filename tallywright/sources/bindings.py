@@ -343,11 +343,6 @@ def access_log(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def hashed_log(spark: SparkSession, folder: str) -> DataFrame:
-    """Text columns of the access log, the part that is hashed."""
-    return access_log(spark, folder).select("log_id", "auditor_id", "action", "entity_type", "entity_id")
-
-
 def sync_runs(spark: SparkSession, folder: str) -> DataFrame:
     """One sync run per event type, table and day."""
     runs = table(spark, folder, "events").groupBy(
