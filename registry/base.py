@@ -120,6 +120,11 @@ _BLOCKS = {
     "last_line": """
         SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY order_id ORDER BY l_linenumber DESC, l_shipdate DESC,
                l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC) AS rn FROM good) WHERE rn = 1""",
+    # An unreadable order date does not cost an order its last line.
+    "readable": "SELECT * FROM raw WHERE order_id IS NOT NULL AND order_quantity IS NOT NULL",
+    "last_readable": """
+        SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY order_id ORDER BY l_linenumber DESC, l_shipdate DESC,
+               l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_extendedprice DESC) AS rn FROM readable) WHERE rn = 1""",
     "access": """
         SELECT CAST(event_id AS VARCHAR) AS log_id, event_id, ts AS audit_date, CAST(user_id AS VARCHAR) AS auditor_id,
                CASE event_type WHEN 'signup' THEN 'ROLE_GRANT' WHEN 'error' THEN 'PERMISSION_DENIED'
@@ -138,6 +143,8 @@ _NEEDS = {
     "order_lines": ("so", "sl"),
     "good": ("raw",),
     "last_line": ("good",),
+    "readable": ("raw",),
+    "last_readable": ("readable",),
 }
 
 

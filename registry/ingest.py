@@ -12,8 +12,8 @@ from tallywright.sources import bindings, readers
 REGISTRY = Registry()
 
 
-def _good(spark: SparkSession, folder: str, **parts: bool) -> DataFrame:
-    return ingest.accepted_lines(ingest.judged_lines(ingest.harmonise(bindings.raw_extract(spark, folder, **parts))))
+def _good(spark: SparkSession, folder: str, lenient: tuple[str, ...] = (), **parts: bool) -> DataFrame:
+    return ingest.accepted_lines(ingest.judged_lines(ingest.harmonise(bindings.raw_extract(spark, folder, **parts)), lenient))
 
 
 _TEXT = """order_id, CASE WHEN order_date IS NULL THEN '99/99/9999' ELSE strftime(order_date, '%-m/%-d/%Y') || ' 0:00' END AS order_date,
@@ -57,12 +57,13 @@ _ORDER_COLUMNS = (
 
 
 @REGISTRY.query(
-    sql_with("last_line", body=f"""
+    sql_with("last_readable", body=f"""
         SELECT {_ORDER_HEAD}, order_quantity, CAST(sales AS DOUBLE) AS sales, CAST(discount AS DOUBLE) AS discount,
-               CAST(profit AS DOUBLE) AS profit, {_ORDER_TAIL} FROM last_line""")
+               CAST(profit AS DOUBLE) AS profit, {_ORDER_TAIL} FROM last_readable""")
 )
 def ingest_orders_keep_last(spark: SparkSession, folder: str) -> DataFrame:
-    return ingest.build_sales_orders(_good(spark, folder)).select(*_ORDER_COLUMNS)
+    """The last line of every order; one whose date does not read is kept without it."""
+    return ingest.build_sales_orders(_good(spark, folder, lenient=("order_date",))).select(*_ORDER_COLUMNS)
 
 
 @REGISTRY.query(

@@ -422,3 +422,21 @@ def test_access_queries(spark, rows):
 
 def test_table_counts_needs_tables(spark):
     assert quality.table_counts({"x": spark.range(3)}).collect()[0].row_count == 3
+
+
+def test_orders_with_unreadable_dates_keep_their_last_line(spark, tmp_path, rows):
+    from registry import ingest as queries
+
+    day = dt.datetime(2020, 1, 2)
+    tables = {
+        "orders": ([(223, 1, "F", 1.0, day, "1-URGENT"), (224, 1, "F", 1.0, day, "1-URGENT"), (227, 1, "F", 1.0, day, "1-URGENT")],
+                   "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"),
+        "lineitem": ([(k, 5, 1, n, 2.0, 10.0 * n, 0.1, 0.0, "N", "O", day) for k in (223, 224, 227) for n in (1, 2)],
+                     "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"),
+        "part": ([(5, "Bolt", "b", "Iron", 1, 3.0)], "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"),
+        "customer": ([(1, "Ann", 1, 0.0, "X")], "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"),
+    }
+    for name, (lines, schema) in tables.items():
+        spark.createDataFrame(lines, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
+    got = queries.ingest_orders_keep_last(spark, str(tmp_path))
+    assert rows(got, "order_id", "order_date", "order_year", "sales") == [("223", None, None, Decimal("20.00")), ("224", dt.date(2020, 1, 2), 2020, Decimal("20.00"))]
