@@ -22,8 +22,16 @@ def _digest(place: str, digest: str) -> Column:
 
 
 def leaves(rows: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """(prefix, n, digest) of each bucket, from rows with ``_place`` and ``row_hash``."""
-    return rows.groupBy(F.left("_place", F.lit(digits)).alias("prefix")).agg(F.count("*").alias("n"), _digest("_place", "row_hash").alias("digest"))
+    """(prefix, n, digest) of each bucket, from rows with ``_place`` and ``row_hash``.
+
+    Rows are put in order in runs, a sixteenth of a bucket each; for a bucket's digest only the 32 bytes
+    of every row digest come together, run behind run.
+    """
+    pair = F.struct(F.unhex("_place").alias("place"), F.unhex("row_hash").alias("digest"))
+    ordered = F.transform(F.sort_array(F.collect_list(pair)), lambda x: F.hex(x["digest"]))
+    runs = rows.groupBy(F.left("_place", F.lit(digits + 1)).alias("run")).agg(F.count("*").alias("n"), F.unhex(F.array_join(ordered, "")).alias("digests"))
+    joined = F.transform(F.sort_array(F.collect_list(F.struct("run", "digests"))), lambda x: F.lower(F.hex(x["digests"])))
+    return runs.groupBy(F.left("run", F.lit(digits)).alias("prefix")).agg(F.sum("n").alias("n"), F.sha2(F.array_join(joined, ""), 256).alias("digest"))
 
 
 def above(nodes: DataFrame, level: int) -> DataFrame:
@@ -44,7 +52,7 @@ class SealedLog:
         dealt = marked.withColumn("_bucket", F.left("_place", F.lit(digits)))
         dealt.repartition("_bucket").write.partitionBy("_bucket").parquet(f"{self.folder}/rows")
         stored = self.spark.read.schema(marked.schema).parquet(f"{self.folder}/rows")
-        leaves(stored.select("_place", "row_hash"), digits).coalesce(1).write.parquet(f"{self.folder}/tree/{digits}")
+        leaves(stored.select("_place", "row_hash"), digits).write.parquet(f"{self.folder}/tree/{digits}")
         for level in range(digits - 1, -1, -1):  # at most 16 ** (level + 1) small rows each
             above(self.nodes(level + 1), level).coalesce(1).write.parquet(f"{self.folder}/tree/{level}")
         return self

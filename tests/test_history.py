@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import random
 
 from pyspark.sql import functions as F
 
 from tallywright.operators import erp, quality
+from tallywright.session import settings
 from tallywright.sources import sealed_log
 from tallywright.sources.sealed_log import SealedLog
 
@@ -38,6 +40,21 @@ def test_only_changed_buckets_are_read(spark, tmp_path):
     assert "PartitionFilters: [" in plan and "_bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
 
 
+SPREAD = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+
+
+def test_a_bucket_is_its_row_digests_in_order_and_no_task_has_all(spark, tmp_path):
+    rows = [(f"l{n % 700}", f"note {n}") for n in range(900)] + [(None, "x"), (None, None)]
+    with settings(spark, SPREAD):
+        log = sealed(spark, tmp_path / "a", rows)
+    place = lambda key: hashlib.sha256((key or "").encode()).hexdigest()
+    lines = sorted((place(r.log_id), r.row_hash) for r in log.rows().collect())
+    buckets = sorted({p[:2] for p, _ in lines})
+    want = {b: ([h for p, h in lines if p[:2] == b]) for b in buckets}
+    assert {r.prefix: (r.n, r.digest) for r in log.nodes(2).collect()} == {b: (len(hs), hashlib.sha256("".join(hs).encode()).hexdigest()) for b, hs in want.items()}
+    assert len(list((tmp_path / "a/tree/2").glob("part-*"))) > 1
+
+
 def test_surges_by_brute_force(spark):
     rng = random.Random(4)
     day = dt.date(2024, 1, 1)
