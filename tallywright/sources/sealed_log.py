@@ -14,6 +14,8 @@ from tallywright.functions.hashing import row_digest
 
 #: Levels below the root: 16 ** DIGITS buckets, of which one task digests each.
 DIGITS = 2
+#: Digits of the place by which rows are dealt to tasks at least: a tree of few buckets is written by many tasks too.
+DEAL_DIGITS = 2
 
 
 def _digest(place: str, digest: str) -> Column:
@@ -50,7 +52,7 @@ class SealedLog:
         bucket's digests (70 bytes a row) fit a task with ease: 4 for some billions of rows."""
         marked = log.withColumns({"row_hash": row_digest(log.columns), "_place": F.sha2(F.coalesce(F.col(self.key).cast("string"), F.lit("")), 256)})
         dealt = marked.withColumn("_bucket", F.left("_place", F.lit(digits)))
-        dealt.repartition("_bucket").write.partitionBy("_bucket").parquet(f"{self.folder}/rows")
+        dealt.repartition(F.left("_place", F.lit(max(digits, DEAL_DIGITS)))).write.partitionBy("_bucket").parquet(f"{self.folder}/rows")
         stored = self.spark.read.schema(marked.schema).parquet(f"{self.folder}/rows")
         leaves(stored.select("_place", "row_hash"), digits).write.parquet(f"{self.folder}/tree/{digits}")
         for level in range(digits - 1, -1, -1):  # at most 16 ** (level + 1) small rows each

@@ -55,6 +55,12 @@ def test_a_bucket_is_its_row_digests_in_order_and_no_task_has_all(spark, tmp_pat
     assert len(list((tmp_path / "a/tree/2").glob("part-*"))) > 1
 
 
+def test_few_buckets_are_stored_by_many_tasks(spark, tmp_path):
+    with settings(spark, SPREAD):
+        SealedLog(spark, str(tmp_path / "a")).seal(spark.createDataFrame([(f"l{n}", "x") for n in range(3000)], "log_id string, note string"), 1)
+    assert all(len(list(folder.glob("part-*"))) > 1 for folder in (tmp_path / "a/rows").glob("_bucket=*"))
+
+
 def test_surges_by_brute_force(spark):
     rng = random.Random(4)
     day = dt.date(2024, 1, 1)
