@@ -22,8 +22,10 @@ def _findings(spark: SparkSession, folder: str) -> DataFrame:
     return audit_log.all_findings(
         bindings.sales_orders(spark, folder, customer=False),
         bindings.accounts_receivable(spark, folder),
-        bindings.shipping_logs(spark, folder),
+        bindings.shipping_lines(spark, folder),
         AS_OF,
+        bindings.SHIPMENT,
+        bindings.shipment_id(),
     )
 
 
@@ -88,10 +90,13 @@ def findings_not_logged(spark: SparkSession, folder: str) -> DataFrame:
 def append_log(spark: SparkSession, folder: str) -> DataFrame:
     """Findings logged on three days, each day repeating all that was found before: a line keeps the day on
     which it came first."""
-    found = _findings(spark, folder).select("log_id", "action", "entity_id")
+    found = _findings(spark, folder).select("log_id", "action", "entity_id").persist()  # found once, logged thrice
     log = AppendLog(spark, f"{work_dir(spark)}/log-{uuid.uuid4().hex}", "log_id", F.col("day"), prefixes=16)
-    for k in range(3):
-        log.append(found.where(F.col("entity_id").cast("long") % 3 <= k).withColumn("day", F.lit(f"2002-01-0{k + 1}")))
+    try:
+        for k in range(3):
+            log.append(found.where(F.col("entity_id").cast("long") % 3 <= k).withColumn("day", F.lit(f"2002-01-0{k + 1}")))
+    finally:
+        found.unpersist()
     return log.read().select("log_id", "day", "action")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallywright.functions import money
@@ -56,10 +58,18 @@ def _flag_rows(df: DataFrame, triggers: dict[str, Column]) -> DataFrame:
     return df.withColumn("rule_id", F.explode(hits))
 
 
-def all_findings(orders: DataFrame, invoices: DataFrame, shipments: DataFrame, as_of: str) -> DataFrame:
+def all_findings(
+    orders: DataFrame,
+    invoices: DataFrame,
+    shipments: DataFrame,
+    as_of: str,
+    line: Iterable[str] = ("log_id",),
+    line_id: Column | None = None,
+) -> DataFrame:
     """Findings of the four rules over one run.
 
-    Two joins serve the four rules: orders with invoices, orders with shipments.
+    Two joins serve the four rules: orders with invoices, orders with shipments.  Where ``line_id`` is made
+    of the columns ``line`` of the shipments, these are joined and only findings get the id.
     """
     booked = _flag_rows(
         recon.reconcile(orders, invoices),
@@ -69,14 +79,14 @@ def all_findings(orders: DataFrame, invoices: DataFrame, shipments: DataFrame, a
         },
     )
     shipped = _flag_rows(
-        rules.orders_shipping(orders, shipments),
+        rules.orders_shipping(orders, shipments, line=line),
         {
             "SC_TIMING_FRAUD": F.col("shipping_date") < F.col("order_date"),
             "SC_NEGATIVE_MARGIN": F.col("profit") < 0,
         },
     )
     return to_findings(booked, "rule_id", as_of).unionByName(
-        to_findings(shipped, "rule_id", as_of, line=F.col("log_id"))
+        to_findings(shipped, "rule_id", as_of, line=F.col("log_id") if line_id is None else line_id)
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 from decimal import Decimal
 
@@ -32,15 +33,15 @@ ZSCORE_LIMIT = 3.0
 DAILY_ORDER_LIMIT = 10
 
 
-def orders_shipping(orders: DataFrame, shipments: DataFrame, preset: str = "basic") -> DataFrame:
-    """Active orders with each of their shipment lines (1:N).
+def orders_shipping(orders: DataFrame, shipments: DataFrame, preset: str = "basic", line: Iterable[str] = ("log_id",)) -> DataFrame:
+    """Active orders with each of their shipment lines (1:N); ``line`` names the columns that tell lines apart.
 
     One order may own a large share of the lines; see :func:`joins.join_to_unique` for what that means.
     """
     ops = filters.active_orders(orders, preset).select(
         "order_id", "order_date", "profit", "sales", "order_status", "customer_name"
     )
-    lines = shipments.select("order_id", "log_id", "shipping_date")
+    lines = shipments.select("order_id", *line, "shipping_date")
     return joins.join_to_unique(lines, ops, "order_id")
 
 

@@ -24,6 +24,8 @@ from tallywright.operators import ingest, joins
 from tallywright.schemas import MONEY
 
 GHOST_OFFSET = 100_000_000
+#: Columns that tell the shipments of an order apart.
+SHIPMENT = ("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
 
 
 def _schema(**kinds: str) -> StructType:
@@ -142,23 +144,33 @@ def sales_orders(
     return orders.drop("o_orderkey", "o_custkey")
 
 
-def shipping_logs(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per order line."""
+def shipping_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The order lines as shipments, with the columns that :func:`shipment_id` is made of."""
     return table(spark, folder, "lineitem").select(
-        content_id(
-            F.lit("SHIP"),
-            "l_orderkey",
-            "l_linenumber",
-            "l_partkey",
-            "l_suppkey",
-            F.col("l_quantity").cast("int"),
-            F.date_format("l_shipdate", "yyyy-MM-dd"),
-        ).alias("log_id"),
         F.col("l_orderkey").cast("string").alias("order_id"),
         F.col("l_shipdate").cast("date").alias("shipping_date"),
+        *SHIPMENT,
+    )
+
+
+def shipment_id() -> Column:
+    """The id of a shipment, which may be made after a join: it is wider than what it is made of."""
+    return content_id(
+        F.lit("SHIP"),
+        "order_id",
+        "l_linenumber",
+        "l_partkey",
+        "l_suppkey",
+        F.col("l_quantity").cast("int"),
+        F.date_format("l_shipdate", "yyyy-MM-dd"),
     )
 
 
+def shipping_logs(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per order line."""
+    return shipping_lines(spark, folder).select(shipment_id().alias("log_id"), "order_id", "shipping_date")
+
+
 def invoice_columns(orders: DataFrame) -> DataFrame:
     """Invoices of the orders table, batch or stream: most orders have one, some are off
     in amount or date, and ghosts belong to no order."""

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tallywright.session import settings
 from tallywright.sources import append_log
 from tallywright.sources.append_log import AppendLog
 from tallywright.sources.manifest import Conflict, Manifest
@@ -167,3 +168,16 @@ def test_findings_logged_from_a_stream_with_replays(spark, tmp_path):
         stream = runner.read_files(spark, str(land), rows_of(spark, [], "d").schema, max_files=1)
         audit.log_stream(stream, log, str(tmp_path / checkpoint)).awaitTermination()
         assert sorted(r.id for r in log.read().collect()) == ["a", "b", "c"]
+
+
+def test_findings_are_made_once_for_three_days(spark, monkeypatch):
+    from registry import governance as queries
+
+    made = spark.createDataFrame([(str(n), "R", str(n)) for n in range(9)], "log_id string, action string, entity_id string")
+    monkeypatch.setattr(queries, "_findings", lambda *_: made)
+    plans, append = [], AppendLog.append
+    monkeypatch.setattr(AppendLog, "append", lambda log, batch, *more: plans.append(batch._jdf.queryExecution().executedPlan().toString()) or append(log, batch, *more))
+    got = queries.append_log(spark, "")
+    assert len(plans) == 3 and all("InMemoryTableScan" in plan for plan in plans)
+    assert not made.select("log_id", "action", "entity_id").storageLevel.useMemory
+    assert sorted((r.log_id, r.day) for r in got.collect()) == [(str(n), f"2002-01-0{n % 3 + 1}") for n in range(9)]
