@@ -293,24 +293,19 @@ def build_general_ledger(lines: DataFrame, seq: str = "line_id", loaded_at: str
     """Per line of :func:`numbered_lines` a revenue credit and, where the cost is positive, a cost debit."""
     cost = (F.col("sales") - F.col("profit")).cast(MONEY)
     zero = F.lit(0).cast(MONEY)
-
-    def entry(code: str, name: str, debit: Column, credit: Column, label: str) -> Column:
-        return F.struct(
-            F.lit(code).alias("account_code"),
-            F.lit(name).alias("account_name"),
-            debit.alias("debit_amount"),
-            credit.alias("credit_amount"),
-            F.concat(F.lit(label), F.col("order_id")).alias("description"),
-        )
-
-    revenue = entry("4000", "Sales Revenue", zero, F.col("sales").cast(MONEY), "Sales for Order ")
-    goods = entry("5000", "Cost of Goods Sold", cost, zero, "COGS for Order ")
-    entries = F.array_compact(F.array(revenue, F.when(cost > 0, goods)))
-    return lines.select("order_id", "order_date", seq, F.explode(entries).alias("e")).select(
-        content_id(F.lit("GL"), "order_id", seq, "e.account_code").alias("entry_id"),
+    # Only the code is repeated, by an expression that is compiled; arrays of whole entries are not.
+    codes = F.when(cost > 0, F.array(F.lit("4000"), F.lit("5000"))).otherwise(F.array(F.lit("4000")))
+    revenue = F.col("account_code") == "4000"
+    label = F.when(revenue, "Sales for Order ").otherwise("COGS for Order ")
+    return lines.select("order_id", "order_date", seq, "sales", "profit", F.explode(codes).alias("account_code")).select(
+        content_id(F.lit("GL"), "order_id", seq, "account_code").alias("entry_id"),
         F.col("order_date").alias("transaction_date"),
         "order_id",
-        "e.*",
+        "account_code",
+        F.when(revenue, "Sales Revenue").otherwise("Cost of Goods Sold").alias("account_name"),
+        F.when(revenue, zero).otherwise(cost).alias("debit_amount"),
+        F.when(revenue, F.col("sales").cast(MONEY)).otherwise(zero).alias("credit_amount"),
+        F.concat(label, F.col("order_id")).alias("description"),
         F.col("order_id").alias("reference_number"),
         _stamp(loaded_at).alias("created_at"),
     )

@@ -440,3 +440,17 @@ def test_orders_with_unreadable_dates_keep_their_last_line(spark, tmp_path, rows
         spark.createDataFrame(lines, schema).write.parquet(str(tmp_path / f"{name}.parquet"))
     got = queries.ingest_orders_keep_last(spark, str(tmp_path))
     assert rows(got, "order_id", "order_date", "order_year", "sales") == [("223", None, None, Decimal("20.00")), ("224", dt.date(2020, 1, 2), 2020, Decimal("20.00"))]
+
+
+def test_ledger_entries_are_made_by_compiled_code(spark, rows):
+    lines = spark.createDataFrame([("1", dt.date(2020, 1, 2), Decimal("5.00"), Decimal("2.00"), "a"), ("2", None, Decimal("5.00"), Decimal("5.00"), "b"), (None, None, Decimal("1.00"), None, "c")],
+                                  "order_id string, order_date date, sales decimal(18,2), profit decimal(18,2), line_id string")
+    ledger = ingest.build_general_ledger(lines)
+    assert "lambda" not in ledger._jdf.queryExecution().optimizedPlan().toString()
+    five, none = Decimal("5.00"), Decimal("0.00")
+    assert rows(ledger, "order_id", "account_code", "account_name", "debit_amount", "credit_amount", "description") == [
+        ("1", "4000", "Sales Revenue", none, five, "Sales for Order 1"),
+        ("1", "5000", "Cost of Goods Sold", Decimal("3.00"), none, "COGS for Order 1"),
+        ("2", "4000", "Sales Revenue", none, five, "Sales for Order 2"),
+        (None, "4000", "Sales Revenue", none, Decimal("1.00"), None),
+    ]
