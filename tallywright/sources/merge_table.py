@@ -20,6 +20,8 @@ BUCKET = "_bucket"
 BUCKETS = 64
 #: Rows of deltas to rows of the base above which a bucket is compacted.
 COMPACT_SHARE = 0.25
+#: Shares into which rows are dealt for writing: a table of few buckets is written by many tasks too.
+DEALT = 256
 
 
 class MergeTable:
@@ -54,11 +56,13 @@ class MergeTable:
         if not any(state["deltas"] for bucket, state in content["buckets"].items() if wanted is None or bucket in wanted):
             return base
         fresh = windows.keep_last(self._rows(content, "deltas", wanted), [*self.key], SEQUENCE)
-        newer = F.coalesce(F.col("_new") > F.col("_old"), F.col("_old").isNull() & F.col("_new").isNotNull())
-        over = base.join(fresh.select(*self.key, F.col(SEQUENCE).alias("_new"), F.lit(True).alias("_there")), self.key, "left").withColumn("_old", F.col(SEQUENCE))
-        kept = over.where(F.col("_there").isNull() | ~newer).select(base.columns)
-        under = fresh.join(base.select(*self.key, F.col(SEQUENCE).alias("_old"), F.lit(True).alias("_there")), self.key, "left").withColumn("_new", F.col(SEQUENCE))
-        return kept.unionByName(under.where(F.col("_there").isNull() | newer).select(base.columns))
+        rest = [c for c in base.columns if c not in self.key]
+        new = fresh.select(*self.key, *[F.col(c).alias(f"_new_{c}") for c in rest], F.lit(True).alias("_there"))
+        both = base.withColumn("_here", F.lit(True)).join(new, self.key, "full_outer")
+        was, now = F.col(SEQUENCE), F.col(f"_new_{SEQUENCE}")
+        newer = F.col("_here").isNull() | F.coalesce(now > was, was.isNull() & now.isNotNull())
+        taken = F.col("_there").isNotNull() & newer
+        return both.select(*[F.col(c) if c in self.key else F.when(taken, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in base.columns])
 
     def exists(self) -> bool:
         return bool(self.manifest.read()[1])
@@ -95,7 +99,8 @@ class MergeTable:
     def _written(self, rows: DataFrame, kind: str) -> tuple[str, dict[str, int]]:
         """Write rows by bucket; the folder's name and the rows of each bucket."""
         name = f"{kind}-{uuid.uuid4().hex}"
-        rows.repartition(BUCKET).write.partitionBy(BUCKET).parquet(f"{self.folder}/{name}")
+        share = F.pmod(F.shiftright(F.xxhash64(*self.key), 32), F.lit(-(-DEALT // self._buckets)))
+        rows.repartition(BUCKET, share).write.partitionBy(BUCKET).parquet(f"{self.folder}/{name}")
         counted = self.spark.read.schema(rows.schema).parquet(f"{self.folder}/{name}").groupBy(BUCKET).count().collect()  # one row a bucket
         return name, {str(r[0]): r[1] for r in counted}
 

@@ -170,6 +170,29 @@ def test_findings_logged_from_a_stream_with_replays(spark, tmp_path):
         assert sorted(r.id for r in log.read().collect()) == ["a", "b", "c"]
 
 
+SPREAD = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+
+
+def test_a_bucket_is_written_by_many_tasks(spark, tmp_path):
+    table = MergeTable(spark, str(tmp_path / "t"), "k", buckets=2)
+    with settings(spark, SPREAD):
+        table.upsert(spark.createDataFrame([(f"k{n}", n, 1, "U") for n in range(2000)], SCHEMA), "seq")
+    folders = list((tmp_path / "t").glob("delta-*/_bucket=*"))
+    assert len(folders) == 2 and all(len(list(f.glob("part-*"))) > 1 for f in folders)
+    assert len(live(table)) == 2000
+
+
+def test_base_and_changes_meet_in_one_join(spark, tmp_path):
+    table = MergeTable(spark, str(tmp_path / "t"), "k", buckets=2)
+    table.upsert(spark.createDataFrame([("a", 1, 1, "U"), ("b", 1, None, "U"), ("c", 1, 5, "U"), ("f", None, None, "U")], SCHEMA), "seq")
+    table.upsert(spark.createDataFrame([("a", 2, None, "U"), ("b", None, 0, "U"), ("c", 9, 5, "U"), ("d", 4, None, "U"), ("f", 3, None, "U")], SCHEMA), "seq")
+    rows = table.read()
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+    assert live(table) == {"a": 1, "b": None, "c": 1, "d": 4, "f": None}
+    plan = rows.select("k")._jdf.queryExecution().executedPlan().toString()
+    assert any(",v:" not in scan for scan in plan.split("ReadSchema: ")[1:])  # the base's columns that are not asked for are not read
+
+
 def test_findings_are_made_once_for_three_days(spark, monkeypatch):
     from registry import governance as queries
 
