@@ -16,6 +16,8 @@ def stream_settings(partitions: int | None = None) -> dict[str, str]:
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         # A commit then ships the changes of the batch, not a snapshot of the state.
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        # The number of rows is known from the tables; to count them would look up each key once more.
+        "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
     }
     if partitions:
         wanted["spark.sql.shuffle.partitions"] = str(partitions)

@@ -198,3 +198,7 @@ def test_panes_take_late_rows(spark, land, tmp_path, rows):
     assert rows(panes.late_counts(store.stored())) == before
     store.add(spark.createDataFrame([(1, "u", "x", at(9))], EVENTS), "ts", "user", "kind", 1)  # a repeated batch
     assert rows(panes.late_counts(store.stored())) == before
+
+
+def test_states_are_not_looked_up_only_to_be_counted():
+    assert runner.stream_settings()["spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"] == "false"
